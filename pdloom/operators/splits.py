@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pdloom.constants import TARGET
@@ -48,22 +48,23 @@ def time_cuts(
     key, dtype = _order_key(df, id_col)
     rows = df.select(parsed_date(df, date_col).alias("d"), key.alias("k"))
     per_date = rows.groupBy("d").agg(F.count("*").alias("n"))
-    # One row per calendar day at most, so the running sum over it is small.
-    upto = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = per_date.withColumn("end", F.sum("n").over(upto)).orderBy("d").collect()
+    # One row per calendar day at most reaches the driver.
+    days, total = [], 0
+    for row in sorted(per_date.collect(), key=lambda r: r["d"] or dt.date.min):
+        if row["d"] is None:
+            raise ValueError(f"unreadable dates in {date_col}")
+        days.append({"d": row["d"], "n": row["n"], "start": total})
+        total += row["n"]
     if not days:
         raise ValueError("no rows to split")
-    if days[0]["d"] is None:
-        raise ValueError(f"unreadable dates in {date_col}")
-    total = days[-1]["end"]
     sizes = sizes_of(total)
     if any(s <= 0 or s >= total for s in sizes):
         raise ValueError("a side of the split would be empty")
-    picked = [next(d for d in days if d["end"] >= size) for size in sizes]
+    picked = [next(d for d in days if d["start"] + d["n"] >= size) for size in sizes]
     cuts: list[Cut | None] = [None] * len(sizes)
     wanted, names = {}, {}
     for i, (size, day) in enumerate(zip(sizes, picked)):
-        wanted[f"k{i}"] = (size - (day["end"] - day["n"]) - 1, day["n"])
+        wanted[f"k{i}"] = (size - day["start"] - 1, day["n"])
         names[f"k{i}"] = F.when(F.col("d") == F.lit(day["d"]), F.col("k")).alias(f"k{i}")
     at_cut = rows.where(F.col("d").isin([d["d"] for d in picked]))
     found = kth_smallest(at_cut.select(*names.values()), wanted, dtype)
