@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "pdloom", cpus: str | int | None = None, **conf: str) -> SparkSession:
@@ -54,3 +58,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def small_table(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: str) -> DataFrame:
+    """A few driver-side rows as a local relation, without a Python worker."""
+    fields = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], fields)
+    columns = {f.name: [row[i] for row in rows] for i, f in enumerate(fields)}
+    return spark.createDataFrame(pa.table(columns), schema=fields)
