@@ -98,7 +98,7 @@ def parse_date(column: Column, dtype: T.DataType) -> Column:
         return column.cast("date")
     text = F.trim(column)
     expr = F.lit(None).cast("date")
-    for shape, fmt in DATE_FORMATS.items():
+    for shape, fmt in reversed(DATE_FORMATS.items()):
         expr = F.when(text.rlike(shape), F.try_to_date(text, fmt)).otherwise(expr)
     return expr
 

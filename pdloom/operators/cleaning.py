@@ -29,6 +29,7 @@ from pdloom.functions.columns import (
     status_label,
     to_number,
 )
+from pdloom.session import small_table
 
 
 BOUNDED_COLUMNS = ("loan_amnt", "annual_inc", "int_rate", "dti")
@@ -117,7 +118,7 @@ def status_lookup(
     """``define_target`` as an inner join with the status table (one row per mapped status)."""
     require_columns(df, [STATUS_COLUMN])
     rows = sorted(mapping.items())
-    table = df.sparkSession.createDataFrame(rows, f"{STATUS_COLUMN} string, `{target}` int")
+    table = small_table(df.sparkSession, rows, f"{STATUS_COLUMN} string, `{target}` int")
     return df.join(F.broadcast(table), STATUS_COLUMN)
 
 

@@ -11,6 +11,7 @@ from pdloom.constants import PSI_EPSILON, PSI_MODERATE, PSI_SIGNIFICANT, TARGET
 from pdloom.functions.columns import finite, quoted
 from pdloom.operators.ordering import exact_percentiles
 from pdloom.operators.profiles import numeric_columns, tidy
+from pdloom.session import small_table
 
 
 def numeric_summary(df: DataFrame, period: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -142,7 +143,7 @@ def psi(
     )
     usable = [c for c in columns if len(cuts.get(c, [])) > 2]
     known = F.col("feature").isin(usable) & (F.col("base_rows") > 0) & (F.col("new_rows") > 0)
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    names = small_table(df.sparkSession, [(c,) for c in columns], "feature string")
     return names.join(scored, "feature", "left").select(
         "feature", F.when(known, F.col("psi")).otherwise(F.lit(float("nan"))).alias("psi")
     )

@@ -24,7 +24,7 @@ from pdloom.constants import (
     TARGET_MEAN_MAX,
 )
 from pdloom.functions.columns import is_missing, quoted
-from pdloom.operators.lookup import fits_broadcast, lookup_join
+from pdloom.operators.lookup import fits_broadcast, is_small, key_bytes, lookup_join
 from pdloom.session import materialize
 
 MAX_ONE_HOT = 2_000
@@ -113,14 +113,15 @@ def fit_lookup_encoders(
     totals = counts.groupBy("feature").agg(
         F.count("*").alias("k"),
         F.sum("n").alias("n"),
+        key_bytes("category").alias("bytes"),
         *([F.sum("positives").alias("positives")] if target_mean else []),
     )
     sizes = {row["feature"]: row for row in totals.collect()}
     encoders: dict[str, LookupEncoder] = {}
     for column in columns:
         table = counts.where(F.col("feature") == column)
-        small = fits_broadcast(table, ["category"])
         size = sizes.get(column)
+        small = size is None or is_small(size["k"], size["bytes"])
         total = size["n"] if size else 0
         if column in frequency:
             share = F.col("n") / F.lit(float(total or 1))
@@ -177,7 +178,12 @@ def oof_target_mean(
     output = output or f"{column}__target_mean"
     fold = fold_of(df, id_col, folds)
     counts = materialize(category_counts(df, [column], target, fold))
-    whole = counts.agg(F.sum("n").alias("n"), F.sum("positives").alias("positives")).first()
+    whole = counts.agg(
+        F.count("*").alias("rows"),
+        key_bytes("category").alias("bytes"),
+        F.sum("n").alias("n"),
+        F.sum("positives").alias("positives"),
+    ).first()
     prior = whole["positives"] / whole["n"] if whole["n"] else float("nan")
     category = Window.partitionBy("category")
     others = F.sum("n").over(category) - F.col("n")
@@ -192,7 +198,7 @@ def oof_target_mean(
         table,
         ["category", "fold"],
         ["_value"],
-        small=fits_broadcast(table, ["category", "fold"]),
+        small=is_small(whole["rows"], whole["bytes"]),
         total=whole["n"] or 0,
     )
     value = F.coalesce(F.col("_value"), F.lit(prior))
@@ -282,7 +288,7 @@ def group_rare(
         common,
         ["category"],
         ["_common"],
-        small=fits_broadcast(common, ["category"]),
+        small=fits_broadcast(common, "category"),
         total=total,
     )
     grouped = (

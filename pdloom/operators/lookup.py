@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pdloom.functions.columns import quoted
@@ -16,13 +16,20 @@ HOT_KEY_BYTES = 64 * 1024
 SALTS = 1_024
 
 
-def fits_broadcast(table: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether a fitted (already computed) table is small enough to send to every task."""
-    size = F.lit(0)
-    for key in keys:
-        size = size + F.coalesce(F.octet_length(quoted(key).cast("string")), F.lit(0))
-    row = table.agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).first()
-    return row["n"] <= BROADCAST_ROWS and (row["bytes"] or 0) <= BROADCAST_BYTES
+def key_bytes(key: str) -> Column:
+    """Aggregate: bytes all texts of a key column take."""
+    return F.sum(F.coalesce(F.octet_length(quoted(key).cast("string")), F.lit(0)))
+
+
+def is_small(rows: int, size: int | None) -> bool:
+    """Whether a fitted table of this size may be sent to every task."""
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def fits_broadcast(table: DataFrame, key: str) -> bool:
+    """``is_small`` of a table that is already computed."""
+    row = table.agg(F.count("*").alias("n"), key_bytes(key).alias("bytes")).first()
+    return is_small(row["n"], row["bytes"])
 
 
 def lookup_join(
@@ -38,7 +45,7 @@ def lookup_join(
 ) -> DataFrame:
     """Left join of ``table`` on ``keys``; ``match_null`` lets a null key match a null key.
 
-    A ``small`` table (see ``fits_broadcast``) goes to every task and ``df`` is not moved.
+    A ``small`` table (see ``is_small``) goes to every task and ``df`` is not moved.
     Otherwise the hot keys, those with at least ``1/HOT_KEYS`` of the fitted weight and so
     at most ``HOT_KEYS`` of them, are broadcast, and the rows they match are spread by a salt
     no other table row has, so that the shuffle for the remaining keys has no hot key.

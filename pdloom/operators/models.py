@@ -22,7 +22,7 @@ from pdloom.functions.columns import quoted
 from pdloom.operators.metrics import roc_auc
 from pdloom.operators.ordering import split_points
 from pdloom.operators.preprocess import Preprocessor, fit_preprocess, weight_column
-from pdloom.session import materialize, shared_dir
+from pdloom.session import materialize, shared_dir, small_table
 
 HASH_BITS = 10
 
@@ -180,7 +180,7 @@ def tune_grid(
     best = max(range(len(results)), key=lambda i: (results[i][-1], -i))
     schema = ", ".join([*[f"{k} double" for k in grid], "roc_auc double", "is_best boolean"])
     rows = [(*r, i == best) for i, r in enumerate(results)]
-    return train.sparkSession.createDataFrame(rows, schema)
+    return small_table(train.sparkSession, rows, schema)
 
 
 def canary_lr(

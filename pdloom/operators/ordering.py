@@ -3,7 +3,7 @@
 Both start from a quantile sketch, a bounded summary one scan makes. Its values become
 literal split points, so every later step is a plain, repeatable plan:
 
-* order statistics: the sketch brackets each wanted rank; one more scan counts the rows
+* order statistics (of more values than one task should sort): the sketch brackets each wanted rank; one more scan counts the rows
   between the brackets exactly and keeps the distinct values inside them;
 * running totals: the splits cut the value range into buckets of similar size, a window
   runs inside each bucket and small per-bucket totals give the offset of the bucket.
@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pdloom.functions.columns import finite, quoted
-from pdloom.session import materialize, shuffle_partitions
+from pdloom.session import materialize, shuffle_partitions, small_table
 
 ACCURACY = 10_000
 MAX_BUCKETS = 8_192
+# Up to this many values in all, sorting them in one task beats two more scans.
+SMALL_VALUES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -110,8 +112,9 @@ def _read_ranks(
             else:
                 wanted.append((i, segment, rank - starts[segment], rank))
     if wanted:
-        spark = df.sparkSession
-        wanted_df = spark.createDataFrame(wanted, "c int, segment int, local long, rank long")
+        wanted_df = small_table(
+            df.sparkSession, wanted, "c int, segment int, local bigint, rank bigint"
+        )
         upto = Window.partitionBy("c", "segment").orderBy("value")
         hits = (
             counts.join(wanted_df.select("c", "segment").distinct(), ["c", "segment"], "left_semi")
@@ -124,8 +127,23 @@ def _read_ranks(
     return found, missed
 
 
+def _sorted_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[str, dict[int, Any]]:
+    """Values at the wanted ranks of few values, by sorting them."""
+    picks = []
+    for i, (name, ranks) in enumerate(wanted.items()):
+        values = F.sort_array(F.collect_list(quoted(name)))
+        picks.append(F.array(*[values[rank] for rank in ranks]).alias(f"v{i}"))
+    row = df.agg(*picks).first()
+    return {name: dict(zip(ranks, row[i])) for i, (name, ranks) in enumerate(wanted.items())}
+
+
 def _select(
-    df: DataFrame, dtype: str, probs: Mapping[str, Sequence[float]], ranks_of, accuracy: int
+    df: DataFrame,
+    dtype: str,
+    probs: Mapping[str, Sequence[float]],
+    ranks_of,
+    accuracy: int,
+    small: int,
 ) -> dict[str, tuple[int, dict[int, Any]]]:
     """Row count and the values at ``ranks_of(name, n)`` of each column, nulls left out."""
     eps = 2.0 / accuracy
@@ -159,6 +177,11 @@ def _select(
             brackets.append(_Bracket(below, above))
         ranks = sorted(set(ranks_of(name, n)))
         plan[name] = (_merge(brackets), ranks)
+    if sum(result[name][0] for name in plan) <= small and plan:
+        ranks = {name: wanted for name, (_, wanted) in plan.items()}
+        for name, values in _sorted_ranks(df, ranks).items():
+            result[name][1].update(values)
+        return result
     while plan:
         found, missed = _read_ranks(df, dtype, plan)
         for name, values in found.items():
@@ -175,7 +198,10 @@ def _select(
 
 
 def exact_percentiles(
-    df: DataFrame, probs: Mapping[str, Sequence[float]], accuracy: int = ACCURACY
+    df: DataFrame,
+    probs: Mapping[str, Sequence[float]],
+    accuracy: int = ACCURACY,
+    small: int = SMALL_VALUES,
 ) -> dict[str, list[float] | None]:
     """Percentiles with linear interpolation, exact at any size; None for an empty column.
 
@@ -188,7 +214,7 @@ def exact_percentiles(
         spots = [(n - 1) * p for p in probs[name]]
         return [r for s in spots for r in (math.floor(s), math.ceil(s))]
 
-    chosen = _select(df, "double", probs, ranks_of, accuracy)
+    chosen = _select(df, "double", probs, ranks_of, accuracy, small)
     result: dict[str, list[float] | None] = {}
     for name, (n, values) in chosen.items():
         if not n:
@@ -211,10 +237,15 @@ def kth_smallest(
     wanted: Mapping[str, tuple[int, int]],
     dtype: str,
     accuracy: int = ACCURACY,
+    small: int = SMALL_VALUES,
 ) -> dict[str, Any]:
     """Exact value at a zero-based rank: ``{column: (rank, non-null rows)}``."""
+    if sum(n for _, n in wanted.values()) <= small:
+        ranks = {name: [rank] for name, (rank, _) in wanted.items()}
+        chosen = _sorted_ranks(df, ranks)
+        return {name: values[wanted[name][0]] for name, values in chosen.items()}
     probs = {name: [(rank + 0.5) / n] for name, (rank, n) in wanted.items()}
-    chosen = _select(df, dtype, probs, lambda name, n: [wanted[name][0]], accuracy)
+    chosen = _select(df, dtype, probs, lambda name, n: [wanted[name][0]], accuracy, small)
     return {name: values[wanted[name][0]] for name, (_, values) in chosen.items()}
 
 

@@ -78,13 +78,13 @@ def label_by_cuts(
     output: str = "split",
 ) -> DataFrame:
     """Name of the part each row falls into, ``len(cuts) + 1`` parts in time order."""
-    date, (key, _) = parsed_date(df, date_col), _order_key(df, id_col)
-    expr = F.lit(names[-1])
+    key, _ = _order_key(df, id_col)
+    date, expr = F.col("_date"), F.lit(names[-1])
     for cut, name in reversed(list(zip(cuts, names))):
         day = F.lit(cut.date)
         before = (date < day) | ((date == day) & (key <= F.lit(cut.key)))
         expr = F.when(before, F.lit(name)).otherwise(expr)
-    return df.withColumn(output, expr)
+    return df.withColumn("_date", parsed_date(df, date_col)).withColumn(output, expr).drop("_date")
 
 
 def time_split(

@@ -26,6 +26,7 @@ from pdloom.operators.preprocess import fit_preprocess
 from pdloom.operators.profiles import target_checks
 from pdloom.operators.splits import split_meta, temporal_overlap, time_split3
 from pdloom.plans.inputs import content_hash
+from pdloom.session import small_table
 
 
 class ValidationError(RuntimeError):
@@ -112,7 +113,7 @@ def validate_matrix(
     target = spec["target"]["name"]
     checks = schema_checks(matrix.columns, spec, cleaned_columns, forbidden)
     checks.append(("target_present", target in matrix.columns, ""))
-    table = spark.createDataFrame(checks, "check string, passed boolean, detail string")
+    table = small_table(spark, checks, "check string, passed boolean, detail string")
     if target not in matrix.columns:
         return table
     allowed = spec["target"].get("allowed_values", [0, 1])

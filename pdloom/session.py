@@ -25,6 +25,7 @@ def build_session(app: str = "pdloom", cpus: str | int | None = None, **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():

@@ -19,6 +19,7 @@ from pdloom.operators.encoders import LookupEncoder, OneHotEncoder
 from pdloom.operators.lookup import fits_broadcast
 from pdloom.operators.models import score_loans
 from pdloom.plans.feature_matrix import FeatureMatrix
+from pdloom.session import small_table
 
 
 def read_features(
@@ -87,7 +88,7 @@ def save_bundle(
     model.write().overwrite().save(f"{folder}/model")
     plan: dict[str, Any] | None = None
     if features is not None:
-        tables = spark.createDataFrame([], _ENCODERS)
+        tables = small_table(spark, [], _ENCODERS)
         for encoder in features.lookups.values():
             tables = tables.unionByName(
                 encoder.table.select(
@@ -112,7 +113,7 @@ def save_bundle(
             },
         }
     row = (name, json.dumps(plan), json.dumps(dict(metadata or {})))
-    table = spark.createDataFrame([row], "name string, plan string, metadata string")
+    table = small_table(spark, [row], "name string, plan string, metadata string")
     write_report(table.coalesce(1), f"{folder}/metadata")
     return folder
 
@@ -144,7 +145,7 @@ def load_bundle(spark: SparkSession, root: str, name: str | None = None) -> Mode
                 "category", "n", F.col("value").alias("_value")
             )
             lookups[output] = LookupEncoder(
-                column, output, table, prior, total, match_null, fits_broadcast(table, ["category"])
+                column, output, table, prior, total, match_null, fits_broadcast(table, "category")
             )
         reference = plan["reference"]
         features = FeatureMatrix(
