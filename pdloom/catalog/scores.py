@@ -277,9 +277,11 @@ _MODEL_TEXT = ["term", "home_ownership"]
 def _baseline(spark, sf):
     """Split rows with domain features, and the linear baseline fitted on the first part."""
     rows = splits.prepare_split(cleaned(spark, sf))
-    train = part(rows, "train")
+    train = part(rows, "train").persist()
     pre = preprocess.fit_preprocess(train, _MODEL_NUMERIC, _MODEL_TEXT)
-    return rows, pre, models.train_lr(train, pre)
+    model = models.train_lr(train, pre)
+    train.unpersist()
+    return rows, pre, model
 
 
 @query("train_lr")
@@ -296,9 +298,11 @@ def score_loans(spark, sf):
 
 
 def _boosted(rows, rounds):
-    train = part(rows, "train")
+    train = part(rows, "train").persist()
     pre = preprocess.fit_preprocess(train, _MODEL_NUMERIC, _MODEL_TEXT, center=False)
-    return models.train_gbt(train, pre, max_depth=4, step=0.1, rounds=rounds, id_col="loan_id")
+    model = models.train_gbt(train, pre, max_depth=4, step=0.1, rounds=rounds, id_col="loan_id")
+    train.unpersist()
+    return model
 
 
 @query("train_gbt")
@@ -372,9 +376,10 @@ def importance_limits(spark, sf):
 def model_bundle(spark, sf):
     dated = split2(spark, sf)
     plan = fit_feature_matrix(part(dated, "train"))
-    train = plan.transform(part(dated, "train"), ["loan_id"])
+    train = plan.transform(part(dated, "train"), ["loan_id"]).persist()
     pre = preprocess.fit_preprocess(train, plan.feature_columns)
     model = models.train_lr(train, pre, max_iter=50)
+    train.unpersist()
     root = scratch_path(spark, "bundles")
     save_bundle(spark, root, "pd_lr_v1", model, plan)
     bundle = load_bundle(spark, root)

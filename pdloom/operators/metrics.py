@@ -1,7 +1,7 @@
 """Exact evaluation metrics of a 0/1 label against a score.
 
-Rows are first counted per distinct score, which combines ties before the shuffle; curves
-and areas come from running totals over those counts.
+Rows are counted per distinct score before they move, which combines ties; curves and
+areas come from running totals over those counts.
 """
 
 from __future__ import annotations
@@ -17,14 +17,16 @@ from pdloom.operators.ordering import exact_percentiles, running_totals, split_p
 EPS = 2.220446049250313e-16
 
 
-def score_counts(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per group and distinct score."""
+def _scores(df: DataFrame, label: str, prob: str, by: Sequence[str]) -> DataFrame:
+    """Group, score and a one for a positive or a negative; unscored rows left out."""
     rows = df.where(quoted(label).isNotNull() & quoted(prob).isNotNull())
-    # Adding zero folds the two signed zeros into one score.
-    score = (quoted(prob).cast("double") + F.lit(0.0)).alias("score")
-    rows = rows.select(*by, score, (quoted(label) == 1).alias("positive"))
-    return rows.groupBy(*by, "score").agg(
-        F.count_if(F.col("positive")).alias("pos"), F.count_if(~F.col("positive")).alias("neg")
+    positive = quoted(label) == 1
+    return rows.select(
+        *by,
+        # Adding zero folds the two signed zeros into one score.
+        (quoted(prob).cast("double") + F.lit(0.0)).alias("score"),
+        positive.cast("long").alias("pos"),
+        (~positive).cast("long").alias("neg"),
     )
 
 
@@ -35,10 +37,11 @@ def ranked_scores(
     by: Sequence[str] = (),
     points: Sequence[float] | None = None,
 ) -> DataFrame:
-    """``score_counts`` with the counts below each score and the group totals."""
+    """Positives and negatives per group and distinct score, the counts below it and the
+    group totals."""
     if points is None:
         points = split_points(df, prob)
-    return running_totals(score_counts(df, label, prob, by), "score", ["pos", "neg"], points, by)
+    return running_totals(_scores(df, label, prob, by), "score", ["pos", "neg"], points, by)
 
 
 def _d(name: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pdloom.constants import MAX_AUC_GAP, MAX_BASELINE_AUC, TARGET, TUNING_GRID
@@ -27,13 +27,10 @@ from pdloom.session import materialize, shared_dir, small_table
 HASH_BITS = 10
 
 
-def _training_rows(train: DataFrame, pre: Preprocessor, target: str, balanced: bool) -> DataFrame:
-    rows = train.withColumns(
-        {
-            "label": quoted(target).cast("double"),
-            "weight": weight_column(train, target) if balanced else F.lit(1.0),
-        }
-    )
+def _training_rows(
+    train: DataFrame, pre: Preprocessor, target: str, weight: Column
+) -> DataFrame:
+    rows = train.withColumns({"label": quoted(target).cast("double"), "weight": weight})
     return assemble(pre).transform(rows).select("features", "label", "weight")
 
 
@@ -52,11 +49,12 @@ def train_lr(
     balanced: bool = True,
 ) -> PipelineModel:
     """L2 logistic regression; ``c`` is the inverse penalty on the sum of losses."""
-    rows = _training_rows(train, pre, target, balanced)
-    total = train.agg(F.sum(weight_column(train, target)) if balanced else F.count("*")).first()[0]
+    # Balanced weights add up to the number of rows, so the penalty scale is the same.
+    weight = weight_column(train, target) if balanced else F.lit(1.0)
+    rows = _training_rows(train, pre, target, weight)
     model = LogisticRegression(
         weightCol="weight",
-        regParam=1.0 / (c * float(total)),
+        regParam=1.0 / (c * train.count()),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
@@ -192,8 +190,10 @@ def canary_lr(
     max_gap: float = MAX_AUC_GAP,
 ) -> DataFrame:
     """Quick linear model: a suspiciously high area or gap points at leakage."""
+    train = train.persist()
     pre = fit_preprocess(train, features, center=False)
     model = train_lr(train, pre, target, max_iter=400)
+    train.unpersist()
     both = train.select(*features, target, F.lit("train").alias("part")).unionByName(
         val.select(*features, target, F.lit("val").alias("part"))
     )

@@ -262,34 +262,42 @@ def with_bucket(df: DataFrame, column: str, points: Sequence[float], name: str)
     """Bucket number of a value; equal values share a bucket and buckets keep the order."""
     splits = [-math.inf, *(points or [0.0]), math.inf]
     cutter = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep")
-    return cutter.transform(df)
+    return cutter.transform(df).withColumn(name, F.col(name).cast("int"))
 
 
 def running_totals(
-    counts: DataFrame,
+    df: DataFrame,
     order: str,
     sums: Sequence[str],
     points: Sequence[float],
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Adds ``<sum>_below`` (rows ordered before) and ``<sum>_total`` per group.
+    """One row per group and order value: each sum, its total over the values before
+    (``<sum>_below``) and over the group (``<sum>_total``).
 
-    ``counts`` has one row per group and order value. Each window runs inside one bucket,
-    and the bucket offsets come from a table of at most buckets x groups rows.
+    Rows are summed per value before they move, and each window runs inside one bucket. The
+    bucket offsets come from a second look at the rows that shuffles at most
+    buckets x groups rows per task.
     """
     keys = [*by, "_bucket"]
-    rows = with_bucket(counts, order, points, "_bucket")
+    rows = with_bucket(df.select(*by, order, *sums), order, points, "_bucket")
+    added = [F.sum(s).alias(s) for s in sums]
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*by)
-    offsets = rows.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = offsets.select(
-        *keys,
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_{s}_offset") for s in sums],
-        *[F.sum(s).over(group).alias(f"{s}_total") for s in sums],
+    offsets = (
+        rows.groupBy(*keys)
+        .agg(*added)
+        .select(
+            *keys,
+            *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_{s}_offset") for s in sums],
+            *[F.sum(s).over(group).alias(f"{s}_total") for s in sums],
+        )
     )
     inner = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        rows.join(offsets, keys)
+        rows.groupBy(*keys, order)
+        .agg(*added)
+        .join(offsets, keys)
         .withColumns(
             {
                 f"{s}_below": F.col(f"_{s}_offset") + F.coalesce(F.sum(s).over(inner), F.lit(0))
