@@ -135,7 +135,8 @@ def apply_target_mean(spark, sf):
     ),
 )
 def oof_target_mean(spark, sf):
-    encoded = encoders.oof_target_mean(cleaned(spark, sf), "emp_length", "loan_id")
+    fold = (F.col("loan_id") % 5).cast("int")
+    encoded = encoders.oof_target_mean(cleaned(spark, sf), "emp_length", "loan_id", fold=fold)
     return rounded(encoded, 9, "emp_length__target_mean").select(
         "loan_id", "emp_length__target_mean"
     )

@@ -60,11 +60,9 @@ def category_counts(
     return rows.select("p.*", *extra).groupBy(*keys).agg(*aggs)
 
 
-def fold_of(df: DataFrame, id_col: str, folds: int) -> Column:
-    """Fold of a row from its id, so that any run gives the same folds."""
-    kind = df.schema[id_col].dataType.typeName()
-    key = F.col(id_col) if kind in ("long", "integer", "short") else F.xxhash64(id_col)
-    return F.pmod(key, F.lit(folds)).cast("int")
+def fold_of(id_col: str, folds: int) -> Column:
+    """Fold of a row from a hash of its id, so that any run gives the same folds."""
+    return F.pmod(F.xxhash64(quoted(id_col)), F.lit(folds)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -168,15 +166,17 @@ def oof_target_mean(
     target: str = TARGET,
     folds: int = 5,
     output: str | None = None,
+    fold: Column | None = None,
 ) -> DataFrame:
     """Mean target of the category over the other folds; else the overall mean.
 
-    One pass: totals per category and fold, minus the row's own fold.
+    One pass: totals per category and fold, minus the row's own fold. ``fold`` replaces
+    the default fold, a hash of the id.
     """
     if target not in df.columns:
         raise KeyError(f"missing target column: {target}")
     output = output or f"{column}__target_mean"
-    fold = fold_of(df, id_col, folds)
+    fold = fold_of(id_col, folds) if fold is None else fold
     counts = materialize(category_counts(df, [column], target, fold))
     whole = counts.agg(
         F.count("*").alias("rows"),

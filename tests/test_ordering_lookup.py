@@ -36,15 +36,25 @@ def test_exact_percentiles(skewed, small):
 
 
 def test_ranks_outside_their_bracket_are_found(skewed, monkeypatch):
-    """Even brackets that miss every wanted rank lead to the exact value."""
-    monkeypatch.setattr(
-        ordering, "_merge", lambda b, real=ordering._merge: real(
-            [ordering._Bracket(b[0].low, b[0].low), ordering._Bracket(b[1].high, b[1].high), *b[2:][-1:]]
-        ) if len(b) > 3 else real(b)
-    )
-    got = ordering.exact_percentiles(skewed, {"x": [0.2, 0.5, 0.7, 0.95]}, accuracy=50, small=0)
+    """Brackets that miss the wanted ranks lead to a search of the gaps, and the exact value."""
+    merge, read, calls = ordering._merge, ordering._read_ranks, []
+
+    def ends_only(brackets):
+        if calls:
+            return merge(brackets)
+        low, high = min(b.low for b in brackets), max(b.high for b in brackets)
+        return [ordering._Bracket(low, low), ordering._Bracket(high, high)]
+
+    def counted(*args):
+        calls.append(1)
+        return read(*args)
+
+    monkeypatch.setattr(ordering, "_merge", ends_only)
+    monkeypatch.setattr(ordering, "_read_ranks", counted)
+    got = ordering.exact_percentiles(skewed, {"x": [0.2, 0.5, 0.95]}, accuracy=50, small=0)
     values = skewed.toPandas()["x"].replace([np.inf, -np.inf], np.nan).dropna()
-    assert np.allclose(got["x"], np.quantile(values, [0.2, 0.5, 0.7, 0.95]))
+    assert np.allclose(got["x"], np.quantile(values, [0.2, 0.5, 0.95]))
+    assert len(calls) == 2
 
 
 @pytest.mark.parametrize("small", [0, 10**9])
@@ -114,7 +124,9 @@ def test_encoders_match_pandas_on_both_join_paths(categories, large, monkeypatch
 def test_out_of_fold_means(categories, large, monkeypatch):
     if large:
         monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-    out = encoders.oof_target_mean(categories, "job", "loan_id").toPandas()
+    out = encoders.oof_target_mean(
+        categories, "job", "loan_id", fold=F.col("loan_id") % 5
+    ).toPandas()
     out["fold"] = out.loan_id % 5
     assert len(out) == 3000
     for (job, fold), group in out.groupby(["job", "fold"]):
