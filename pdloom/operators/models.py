@@ -24,7 +24,7 @@ from pdloom.operators.ordering import split_points
 from pdloom.operators.preprocess import Preprocessor, fit_preprocess, weight_column
 from pdloom.session import materialize, shared_dir, small_table
 
-HASH_BITS = 10
+HASH_BITS = 12
 
 
 def _training_rows(

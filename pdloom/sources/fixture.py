@@ -58,11 +58,10 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     at the scan, instead of every filter repeating the expressions of the view. A changed
     input table (file name, size or time) is written anew.
     """
-    files = []
-    for name in ("orders", "customer"):
-        listed = spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet")
-        rows = listed.select("path", "length", "modificationTime").collect()
-        files += sorted(tuple(row) for row in rows)
+    inputs = [f"{sf_dir}/{name}.parquet" for name in ("orders", "customer")]
+    listed = spark.read.format("binaryFile").load(inputs)
+    rows = listed.select("path", "length", "modificationTime").collect()
+    files = sorted(tuple(row) for row in rows)
     key = (spark.sparkContext.applicationId, *files)
     if key not in _STORED:
         view, path = loans_view(spark, sf_dir), scratch_path(spark, "loans")

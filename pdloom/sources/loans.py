@@ -31,7 +31,13 @@ def _base(path: str) -> str:
 def _scan(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
     """All columns as text, in one scan; texts that stand for missing become null."""
     raw = spark.read.csv(
-        paths, header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE"
+        paths,
+        header=True,
+        quote='"',
+        escape='"',
+        multiLine=multi_line,
+        mode="PERMISSIVE",
+        enforceSchema=False,
     )
     return raw.select(
         *[F.when(~quoted(c).isin(CSV_MISSING), quoted(c)).alias(c) for c in raw.columns]
@@ -62,18 +68,24 @@ def read_loans_union(
     contains: str = "_2007_to_2018Q4",
     multi_line: bool = False,
     check: bool = True,
+    uniform: bool = False,
 ) -> DataFrame:
     """Every CSV file of a folder whose name holds ``contains``, stacked by column name.
 
-    Files with the same header share one scan. ``check`` raises if a file has no rows.
+    Files with the same header share one scan; finding that out opens every file once,
+    which ``uniform`` (all headers are known to be equal) saves for folders of many files.
+    ``check`` raises if a file has no rows.
     """
     files = list_files(spark, folder, f"*{contains}*.[cC][sS][vV]")
     if not files:
         raise RuntimeError(f"no .csv file containing {contains!r} in {folder}")
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in files:
-        header = tuple(spark.read.csv(path, header=True).columns)
-        by_header.setdefault(header, []).append(path)
+    if uniform:
+        by_header[()] = files
+    else:
+        for path in files:
+            header = tuple(spark.read.csv(path, header=True).columns)
+            by_header.setdefault(header, []).append(path)
     parts = [_scan(spark, paths, multi_line) for paths in by_header.values()]
     if check:
         for paths in by_header.values():
