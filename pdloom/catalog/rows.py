@@ -23,7 +23,7 @@ from pdloom.plans.inputs import feature_manifest, modeling_inputs
 from pdloom.session import scratch_path
 from pdloom.sources import tables
 from pdloom.sources.fixture import loans
-from pdloom.sources.loans import read_loans_union
+from pdloom.sources.loans import read_loans_csv, read_loans_union
 
 CLEAN_COLUMNS = (
     'loan_id, loan_amnt, annual_inc, int_rate, term, dti, grade, sub_grade, emp_length, '
@@ -33,6 +33,21 @@ CLEAN_COLUMNS = (
 # ---------------------------------------------------------------- scans and sinks
 
 
+@query(
+    "scan_loans_csv",
+    using(
+        "labelled",
+        """select loan_id, loan_amnt, annual_inc, rate as int_rate, term, dti, grade, sub_grade,
+        emp_length, home_ownership, issue_d, loan_status from labelled""",
+    ),
+)
+def scan_loans_csv(spark, sf):
+    path = scratch_path(spark, "raw") + ".csv"
+    loans(spark, sf).write.csv(path, header=True, ignoreLeadingWhiteSpace=False)
+    typed = cleaning.coerce_numeric(read_loans_csv(spark, path))
+    return typed.withColumn("loan_id", F.col("loan_id").cast("long"))
+
+
 @query(
     "scan_loans_union",
     using(

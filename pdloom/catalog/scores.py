@@ -20,7 +20,7 @@ from pdloom.catalog.base import (
 from pdloom.operators import attribution, metrics, models, preprocess, splits
 from pdloom.plans.feature_matrix import align_features, fit_feature_matrix
 from pdloom.plans.validate import importance_checks, validate_matrix
-from pdloom.session import scratch_path
+from pdloom.session import cached, materialize, scratch_path
 from pdloom.sources.fixture import loans
 from pdloom.sources.tables import load_bundle, save_bundle
 from pdloom.streaming.scoring import score_stream
@@ -277,17 +277,15 @@ _MODEL_TEXT = ["term", "home_ownership"]
 def _baseline(spark, sf):
     """Split rows with domain features, and the linear baseline fitted on the first part."""
     rows = splits.prepare_split(cleaned(spark, sf))
-    train = part(rows, "train").persist()
-    pre = preprocess.fit_preprocess(train, _MODEL_NUMERIC, _MODEL_TEXT)
-    model = models.train_lr(train, pre)
-    train.unpersist()
-    return rows, pre, model
+    with cached(part(rows, "train")) as train:
+        pre = preprocess.fit_preprocess(train, _MODEL_NUMERIC, _MODEL_TEXT)
+        return rows, pre, models.train_lr(train, pre)
 
 
 @query("train_lr")
 def train_lr(spark, sf):
     rows, _, model = _baseline(spark, sf)
-    scored_rows = models.score_loans(model, rows)
+    scored_rows = materialize(models.score_loans(model, rows).select("split", "default", "pd"))
     return metrics.evaluate_binary(scored_rows, "default", "pd", by=["split"])
 
 
@@ -298,17 +296,18 @@ def score_loans(spark, sf):
 
 
 def _boosted(rows, rounds):
-    train = part(rows, "train").persist()
-    pre = preprocess.fit_preprocess(train, _MODEL_NUMERIC, _MODEL_TEXT, center=False)
-    model = models.train_gbt(train, pre, max_depth=4, step=0.1, rounds=rounds, id_col="loan_id")
-    train.unpersist()
-    return model
+    with cached(part(rows, "train")) as train:
+        pre = preprocess.fit_preprocess(train, _MODEL_NUMERIC, _MODEL_TEXT, center=False)
+        return models.train_gbt(
+            train, pre, max_depth=4, step=0.1, rounds=rounds, id_col="loan_id"
+        )
 
 
 @query("train_gbt")
 def train_gbt(spark, sf):
     rows = splits.prepare_split(cleaned(spark, sf))
-    scored_rows = models.score_loans(_boosted(rows, 8), rows)
+    boosted = models.score_loans(_boosted(rows, 8), rows)
+    scored_rows = materialize(boosted.select("split", "default", "pd"))
     return metrics.evaluate_binary(scored_rows, "default", "pd", by=["split"])
 
 
@@ -376,10 +375,9 @@ def importance_limits(spark, sf):
 def model_bundle(spark, sf):
     dated = split2(spark, sf)
     plan = fit_feature_matrix(part(dated, "train"))
-    train = plan.transform(part(dated, "train"), ["loan_id"]).persist()
-    pre = preprocess.fit_preprocess(train, plan.feature_columns)
-    model = models.train_lr(train, pre, max_iter=50)
-    train.unpersist()
+    with cached(plan.transform(part(dated, "train"), ["loan_id"])) as train:
+        pre = preprocess.fit_preprocess(train, plan.feature_columns)
+        model = models.train_lr(train, pre, max_iter=50)
     root = scratch_path(spark, "bundles")
     save_bundle(spark, root, "pd_lr_v1", model, plan)
     bundle = load_bundle(spark, root)

@@ -22,7 +22,7 @@ from pdloom.functions.columns import quoted
 from pdloom.operators.metrics import roc_auc
 from pdloom.operators.ordering import split_points
 from pdloom.operators.preprocess import Preprocessor, fit_preprocess, weight_column
-from pdloom.session import materialize, shared_dir, small_table
+from pdloom.session import cached, materialize, shared_dir, small_table
 
 HASH_BITS = 12
 
@@ -155,26 +155,26 @@ def tune_grid(
     **fixed: Any,
 ) -> DataFrame:
     """Area on the holdout of every grid point; ``is_best`` marks the first best one."""
-    train, holdout = train.persist(), holdout.persist()
-    pre = fit_preprocess(train, numeric, categorical, impute=False)
     results = []
-    for values in product(*grid.values()):
-        params = dict(zip(grid, values))
-        model = train_gbt(
-            train,
-            pre,
-            target,
-            max_depth=params.get("max_depth", 6),
-            step=params.get("learning_rate", 0.05),
-            rounds=params.get("n_estimators", 200),
-            subsample=params.get("subsample", 1.0),
-            column_share=params.get("colsample_bytree", 1.0),
-            min_leaf=fixed.get("min_leaf", 1),
-        )
-        area = roc_auc(score_loans(model, holdout), target, "pd").first()["roc_auc"]
-        results.append((*[float(v) for v in values], area))
-    train.unpersist()
-    holdout.unpersist()
+    with cached(train), cached(holdout):
+        pre = fit_preprocess(train, numeric, categorical, impute=False)
+        for values in product(*grid.values()):
+            params = dict(zip(grid, values))
+            model = train_gbt(
+                train,
+                pre,
+                target,
+                max_depth=params.get("max_depth", 6),
+                step=params.get("learning_rate", 0.05),
+                rounds=params.get("n_estimators", 200),
+                subsample=params.get("subsample", 1.0),
+                column_share=params.get("colsample_bytree", 1.0),
+                min_leaf=fixed.get("min_leaf", 1),
+            )
+            scored = score_loans(model, holdout).select(target, "pd")
+            with cached(scored):
+                area = roc_auc(scored, target, "pd").first()["roc_auc"]
+            results.append((*[float(v) for v in values], area))
     best = max(range(len(results)), key=lambda i: (results[i][-1], -i))
     schema = ", ".join([*[f"{k} double" for k in grid], "roc_auc double", "is_best boolean"])
     rows = [(*r, i == best) for i, r in enumerate(results)]
@@ -190,14 +190,14 @@ def canary_lr(
     max_gap: float = MAX_AUC_GAP,
 ) -> DataFrame:
     """Quick linear model: a suspiciously high area or gap points at leakage."""
-    train = train.persist()
-    pre = fit_preprocess(train, features, center=False)
-    model = train_lr(train, pre, target, max_iter=400)
-    train.unpersist()
+    with cached(train):
+        pre = fit_preprocess(train, features, center=False)
+        model = train_lr(train, pre, target, max_iter=400)
     both = train.select(*features, target, F.lit("train").alias("part")).unionByName(
         val.select(*features, target, F.lit("val").alias("part"))
     )
-    areas = roc_auc(score_loans(model, both), target, "pd", by=["part"])
+    scored = materialize(score_loans(model, both).select("part", target, "pd"))
+    areas = roc_auc(scored, target, "pd", by=["part"])
     wide = areas.agg(
         F.max(F.when(F.col("part") == "train", F.col("roc_auc"))).alias("train_auc"),
         F.max(F.when(F.col("part") == "val", F.col("roc_auc"))).alias("val_auc"),

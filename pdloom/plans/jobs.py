@@ -20,6 +20,7 @@ from pdloom.operators.preprocess import fit_preprocess
 from pdloom.operators.profiles import categorical_columns, numeric_columns
 from pdloom.operators.splits import prepare_split, sample_rows, time_split
 from pdloom.plans.inputs import feature_manifest
+from pdloom.session import cached, materialize
 from pdloom.sources.loans import read_loans_union
 from pdloom.sources.tables import write_table
 
@@ -65,11 +66,11 @@ def train_job(
     """Fit the baseline on the first part in time; metrics of both parts."""
     split = prepare_split(features, date_col, id_col, target, train_fraction)
     numeric, categorical = model_columns(split, target, id_col)
-    train = split.where(F.col("split") == "train").persist()
-    pre = fit_preprocess(train, numeric, categorical)
-    fitted = train_lr(train, pre, target, **model)
-    train.unpersist()
-    scored = score_loans(fitted, split)
+    with cached(split.where(F.col("split") == "train")) as train:
+        pre = fit_preprocess(train, numeric, categorical)
+        fitted = train_lr(train, pre, target, **model)
+    # Metrics look at the scores several times: keep those, not the wide feature rows.
+    scored = materialize(score_loans(fitted, split).select("split", target, "pd"))
     return fitted, evaluate_binary(scored, target, "pd", by=["split"])
 
 
@@ -86,7 +87,8 @@ def evaluate_job(
 ) -> Mapping[str, DataFrame]:
     """Metrics and curves of a fitted model on the held-out part."""
     split = prepare_split(features, date_col, id_col, target, train_fraction)
-    scored = score_loans(fitted, split.where(F.col("split") == "holdout"))
+    holdout = split.where(F.col("split") == "holdout")
+    scored = materialize(score_loans(fitted, holdout).select(target, "pd"))
     return {
         "metrics": evaluate_binary(scored, target, "pd", threshold),
         "roc_curve": roc_curve(scored, target, "pd"),

@@ -176,6 +176,16 @@ def test_validate_reports_each_failure(cleaned):
         validate.require_valid(validate.validate_matrix(broken, "loan_id"))
 
 
+def test_validate_with_the_model_checks(cleaned):
+    matrix = fit_feature_matrix(cleaned).transform(cleaned, ["loan_id"]).persist()
+    checks = validate.validate_matrix(
+        matrix, "loan_id", run_canary=True, run_importance=True, importance_rounds=2
+    )
+    got = {r["check"]: r["passed"] for r in checks.collect()}
+    assert {"canary_auc", "canary_gap", "single_importance", "time_importance"} <= set(got)
+    assert got["canary_auc"] and got["time_importance"]
+
+
 def test_contract_takes_one_hot_by_prefix():
     columns = ["grade_A", "grade_numeric", "term_months", "x"]
     got = validate.contracted_columns(columns, FEATURE_SPEC)

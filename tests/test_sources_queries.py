@@ -64,6 +64,16 @@ def test_csv_errors(spark, tmp_path):
         read_loans_csv(spark, write(tmp_path / "header.csv", "x,y\n"))
 
 
+def test_csv_folder_only_if_spark_wrote_it(spark, tmp_path):
+    table = small_table(spark, [("a",), ("b",)], "x string")
+    table.repartition(2).write.csv(str(tmp_path / "w.csv"), header=True)
+    assert read_loans_csv(spark, str(tmp_path / "w.csv")).count() == 2
+    (tmp_path / "d.csv").mkdir()
+    write(tmp_path / "d.csv" / "a.csv", "x\n1\n")
+    with pytest.raises(RuntimeError):
+        read_loans_csv(spark, str(tmp_path / "d.csv"))
+
+
 def test_csv_reads_text_and_missing(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'x,y\n" 36 months",NA\nNONE,"a ""b"", c"\n')
     rows = [tuple(r) for r in read_loans_csv(spark, path).collect()]
