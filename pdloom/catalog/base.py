@@ -64,6 +64,7 @@ def scored_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    """Rounded columns; the SQL adds zero where a rounded value may be a negative zero."""
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 

@@ -205,7 +205,7 @@ _PRE_FILLED = (
     + ", ".join(
         f"""round((coalesce({c}, (select median({c}) from train)) - (select avg(coalesce({c},
         (select median({c}) from train))) from train)) / (select stddev_pop(coalesce({c},
-        (select median({c}) from train))) from train), 6) as num__{c}"""
+        (select median({c}) from train))) from train), 6) + 0 as num__{c}"""
         for c in _NUMERIC
     )
     + ", "
@@ -224,7 +224,7 @@ _PRE_FILLED = (
 _PRE_PLAIN = (
     "select loan_id, "
     + ", ".join(
-        f"""round(({c} - (select avg({c}) from train)) / (select stddev_pop({c}) from train), 6)
+        f"""round(({c} - (select avg({c}) from train)) / (select stddev_pop({c}) from train), 6) + 0
         as num__{c}"""
         for c in _NUMERIC
     )
@@ -426,7 +426,7 @@ def _explained(spark, sf):
     using(
         "split2",
         """select loan_id, feature, round(value, 6) as value,
-        round(attribution, 9) as attribution from long""",
+        round(attribution, 9) + 0 as attribution from long""",
         **_MEANS,
     ),
 )
@@ -441,7 +441,7 @@ def linear_attribution(spark, sf):
     "top_k_abs",
     using(
         "split2",
-        """select loan_id, feature, round(attribution, 9) as attribution from (select *,
+        """select loan_id, feature, round(attribution, 9) + 0 as attribution from (select *,
         row_number() over (partition by loan_id order by abs(attribution) desc, i) as r
         from long) where r <= 3""",
         **_MEANS,

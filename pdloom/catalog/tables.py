@@ -263,7 +263,7 @@ _NUMERIC = ["loan_amnt", "annual_inc", "int_rate", "dti", "loan_to_income"]
     "numeric_profile",
     using(
         "labelled",
-        """select feature, round(missing_rate, 9) as missing_rate, round(skewness, 6) as skewness,
+        """select feature, round(missing_rate, 9) as missing_rate, round(skewness, 6) + 0 as skewness,
         min_value, case when abs(skewness) > 1 then 'log' else 'none' end
         as planned_transformation, case when abs(skewness) > 1 and min_value <= 0
         then abs(min_value) + 1e-6 else 0.0 end as shift_for_transformation from p""",
@@ -552,7 +552,7 @@ def _through(last: str) -> dict[str, str]:
 
 
 def _round_sql(names, digits=6):
-    return ", ".join(f"round({n}, {digits}) as {n}" for n in names)
+    return ", ".join(f"round({n}, {digits}) + 0 as {n}" for n in names)
 
 
 _SIDES = [f"{p}_{s}" for p in ("train", "recent") for s in _STATS]
@@ -594,7 +594,7 @@ _RATES = """select avg("default") filter (where split = 'train') as train_rate,
     using(
         "split2",
         """select round(train_rate, 9) as train_rate, round(recent_rate, 9) as recent_rate,
-        round(recent_rate - train_rate, 9) as delta from rates""",
+        round(recent_rate - train_rate, 9) + 0 as delta from rates""",
         rates=_RATES,
     ),
 )
@@ -650,10 +650,10 @@ def write_report(spark, sf):
     "period_monitor",
     using(
         "split2",
-        """select metric, feature, round(value, 6) as value from (
+        """select metric, feature, round(value, 6) + 0 as value from (
         unpivot rates on train_rate, recent_rate, delta into name metric value value)
         cross join (select 'default' as feature) union all
-        select metric, feature, round(value, 6) from (unpivot (select * exclude (psi_label)
+        select metric, feature, round(value, 6) + 0 from (unpivot (select * exclude (psi_label)
         from report) on columns(* exclude (feature)) into name metric value value)""",
         rates=f"select *, recent_rate - train_rate as delta from ({_RATES})",
         **_through("report"),

@@ -111,6 +111,40 @@ def test_clean_handles_nan_and_late_status(spark):
     assert len(got) == 1 and got[0]["default"] == 1
 
 
+def test_clean_equals_the_single_steps(spark, sf):
+    raw = loans(spark, sf)
+    blank = raw.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in raw.schema]).limit(3)
+    holes = raw.withColumns(
+        {
+            "dti": F.when(F.col("loan_id") % 7 == 0, float("nan")).otherwise(F.col("dti")),
+            "loan_amnt": F.when(F.col("loan_id") % 9 == 0, float("nan")).otherwise(F.col("loan_amnt")),
+            "annual_inc": F.when(F.col("loan_id") % 10 == 0, float("inf")).otherwise(F.col("annual_inc")),
+        }
+    ).unionByName(blank)
+    steps = holes
+    for step in (
+        cleaning.drop_empty_rows, cleaning.normalize_columns, cleaning.define_target,
+        cleaning.select_canonical, cleaning.coerce_numeric, cleaning.drop_missing_critical,
+        cleaning.filter_impossible,
+    ):
+        steps = steps.transform(step)
+    chained = cleaning.clean_loans(holes)
+    assert chained.exceptAll(steps).isEmpty() and steps.exceptAll(chained).isEmpty()
+    text = holes.withColumns({c: F.col(c).cast("string") for c in ("dti", "loan_amnt", "annual_inc")})
+    again = cleaning.clean_loans(text)
+    assert again.exceptAll(steps).isEmpty() and again.count() == steps.count()
+
+
+def test_clean_reads_only_what_it_needs(spark, sf):
+    wide = loans(spark, sf)
+    plan = cleaning.clean_loans(wide).select("grade", "default")._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    read = text[text.index("ReadSchema"):]
+    assert "sub_grade" not in read and "loan_id" not in read and "emp_length" not in read
+    pushed = text[text.index("PushedFilters"):text.index("ReadSchema")]
+    assert "In(loan_status" in pushed and "IsNotNull(loan_amnt)" in pushed
+
+
 def test_empty_result_raises(spark):
     df = spark.createDataFrame([("Current", 1.0)], "loan_status string, loan_amnt double")
     with pytest.raises(cleaning.EmptyResultError):
