@@ -14,6 +14,12 @@ from pdloom.operators.profiles import numeric_columns, tidy
 from pdloom.session import small_table
 
 
+def _finite_columns(df: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:
+    """Period and finite values, computed once for the many expressions over them."""
+    values = [finite(quoted(c).cast("double")).alias(c) for c in columns]
+    return df.select(period, *values)
+
+
 def numeric_summary(df: DataFrame, period: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Mean, sample deviation, minimum and maximum per period and numeric column.
 
@@ -22,7 +28,7 @@ def numeric_summary(df: DataFrame, period: str, columns: Sequence[str] | None =
     columns = columns or [c for c in numeric_columns(df) if c != period]
     aggs = []
     for i, name in enumerate(columns):
-        value = finite(quoted(name).cast("double"))
+        value = quoted(name)
         aggs += [
             F.count(value).alias(f"n{i}"),
             F.avg(value).alias(f"mean{i}"),
@@ -30,7 +36,7 @@ def numeric_summary(df: DataFrame, period: str, columns: Sequence[str] | None =
             F.min(value).alias(f"min{i}"),
             F.max(value).alias(f"max{i}"),
         ]
-    wide = df.groupBy(period).agg(*aggs)
+    wide = _finite_columns(df, period, columns).groupBy(period).agg(*aggs)
     structs = [
         F.struct(
             F.lit(name).alias("feature"),
@@ -88,6 +94,7 @@ def psi(
     are left out; NaN when a side has no values or there are fewer than two bins.
     """
     probs = [i / bins for i in range(bins + 1)]
+    df = _finite_columns(df, period, columns)
     base = df.where(F.col(period) == baseline)
     cuts = {
         name: sorted(set(points))
@@ -97,7 +104,7 @@ def psi(
     parts = []
     for name in columns:
         points = cuts.get(name, [])
-        value = finite(quoted(name).cast("double"))
+        value = quoted(name)
         if len(points) > 2:
             inner = F.lit(0)
             for point in points[1:-1]:
