@@ -102,3 +102,11 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pdloom.llm.sharding import shard_documents
 
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.jaccard import jaccard_components
+
+    found, _ = jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
