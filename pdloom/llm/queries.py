@@ -110,3 +110,15 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found, _ = jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op2_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.labelled import fold
+    from pdloom.llm.quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    return score_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted"
+    )
