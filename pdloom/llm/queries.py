@@ -122,3 +122,15 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs.select("doc_id", "text"), model).select(
         "doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted"
     )
+
+
+@query("op7_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.labelled import fold
+    from pdloom.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
+    return score_toxicity(docs, model).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted"
+    )
