@@ -32,11 +32,11 @@ SECOND_PERSON = frozenset(
 )
 #: Characters that stand for letters in obfuscated words.
 LOOK_ALIKE = str.maketrans("013457@$", "oieastas")
-#: Documents of the sample a lexicon entry is in at least, how many times more often in toxic
-#: ones at least, and how many entries there are at most, the strongest first.
-LEXICON_DOCS, LEXICON_RATIO, LEXICON_ENTRIES = 4, 8.0, 400
+#: A lexicon entry is so many times more often in toxic documents at least, with a likelihood ratio
+#: statistic of so much at least; the most entries there are, the strongest first.
+LEXICON_RATIO, LEXICON_STATISTIC, LEXICON_ENTRIES = 6.0, 22.0, 400
 #: Letters of a word beginning.
-STEM = 6
+STEM = 5
 #: Words between an entry and a word of the second person that count as close.
 CLOSE = 5
 TREES, DEPTH = 30, 4
@@ -73,7 +73,7 @@ class Lexicon:
         known = {w: plain(w) for w in set(raw)}
         tally = Counter(raw)
         hits = {w: p for w, p in known.items() if p in self.words}
-        stems = {w for w, p in known.items() if p[:STEM] in self.stems and len(p) >= STEM}
+        stems = {w for w, p in known.items() if p[:STEM] in self.stems and len(p) > STEM}
         second = {w for w, p in known.items() if p in SECOND_PERSON}
         n_hits, n_stems = sum(tally[w] for w in hits), sum(tally[w] for w in stems)
         close, nearest = 0.0, 0.0
@@ -109,36 +109,51 @@ class Lexicon:
         ]
 
 
-def _ratio(toxic: Column, n: Column, all_toxic: int, rows: int) -> Column:
-    return ((toxic + 0.5) / (all_toxic + 1)) / ((n - toxic + 0.5) / (rows - all_toxic + 1))
+def _times_log(count: Column, share: Column, expected: Column) -> Column:
+    return F.when(count > 0, count * F.log(share / expected)).otherwise(0.0)
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Entries from rows (doc_id, text, label); counts are summed per entry before they move."""
+    """Entries from rows (doc_id, text, label).
+
+    Documents are counted by family, the smallest hash of their words, so that copies of one
+    text count once. Counts are made per entry before they move.
+    """
+    from xxhash import xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            entries, labels = [], []
+            entries, labels, families = [], [], []
             for text, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = {plain(w) for w in set((text or "").split())} - {""}
-                found = {"w" + w for w in words} | {"s" + w[:STEM] for w in words if len(w) >= STEM}
+                found = {"w" + w for w in words} | {"s" + w[:STEM] for w in words if len(w) > STEM}
+                family = min((xxh3_64_intdigest(w) >> 1 for w in words), default=0)
                 entries += sorted(found)
                 labels += [label] * len(found)
+                families += [family] * len(found)
             yield pa.record_batch(
-                [pa.array(entries, pa.string()), pa.array(labels, pa.int32())],
-                names=["entry", "label"],
+                [pa.array(entries, pa.string()), pa.array(labels, pa.int32()), pa.array(families)],
+                names=["entry", "label", "family"],
             )
 
     totals = sample.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
-    rows, toxic = totals["n"], totals["toxic"] or 0
+    rate = ((totals["toxic"] or 0) + 0.5) / (totals["n"] + 1)
+    n, toxic = F.col("n").cast("double"), F.col("toxic").cast("double")
+    share = toxic / n
     counts = (
-        sample.mapInArrow(run, "entry string, label int")
+        sample.mapInArrow(run, "entry string, label int, family bigint")
+        .groupBy("entry", "family")
+        .agg(F.max("label").alias("label"))
         .groupBy("entry")
         .agg(F.count("*").alias("n"), F.sum("label").alias("toxic"))
-        .where(F.col("toxic") >= LEXICON_DOCS)
-        .withColumn("ratio", _ratio(F.col("toxic"), F.col("n"), toxic, rows))
-        .where(F.col("ratio") >= LEXICON_RATIO)
-        .orderBy(F.desc("ratio"), "entry")
+        .withColumn(
+            "statistic",
+            2 * _times_log(toxic, share, F.lit(rate))
+            + 2 * _times_log(n - toxic, 1 - share, F.lit(1 - rate)),
+        )
+        .withColumn("ratio", ((toxic + 0.5) / rate) / ((n - toxic + 0.5) / (1 - rate)))
+        .where((F.col("ratio") >= LEXICON_RATIO) & (F.col("statistic") >= LEXICON_STATISTIC))
+        .orderBy(F.desc("statistic"), "entry")
         .limit(LEXICON_ENTRIES)
     )
     found = {r["entry"]: float(np.log(r["ratio"])) for r in counts.collect()}
@@ -188,9 +203,9 @@ def fit_toxicity(
     )
     total = sample.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
     rate = ((total["toxic"] or 0) + 1) / (total["n"] + 2)
-    lexicon = learn_lexicon(sample.where("part < 4").select("doc_id", "text", "label"))
+    lexicon = learn_lexicon(sample.where("part < 5").select("doc_id", "text", "label"))
     vectors = stored(
-        with_features(sample.where("part >= 4"), lexicon, ["doc_id", "label", "part"]),
+        with_features(sample.where("part >= 5"), lexicon, ["doc_id", "label", "part"]),
         "toxic-vectors",
     )
     # A few thousand short rows: one sorted partition makes the fit the same in every run.
