@@ -134,3 +134,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select(
         "doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted"
     )
+
+
+@query("op3_decontaminate")
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
