@@ -141,3 +141,10 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pdloom.llm.decontaminate import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_near_vectors")
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
