@@ -12,11 +12,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pdloom.llm.common import GROUP_ROWS, SPACE_CLASS, SPACES, stored, with_running_total
+from pdloom.llm.common import (
+    GROUP_ROWS,
+    SPACE_CLASS,
+    SPACES,
+    counted_broadcast,
+    stored,
+    with_running_total,
+)
 
 MAX_EPOCHS = 3
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (1, 2, 3)
+SEED = 17
 #: Characters that prose seldom holds; their share lowers a document's quality weight.
 SYMBOLS = "!#$%&*+/<=>@[]^_`{|}~"
 
@@ -75,14 +83,22 @@ def _sum_if(condition: str, column: str) -> Column:
     return F.sum(F.when(F.expr(condition), F.col(column))).over(Window.partitionBy())
 
 
+def sampling_key(weight: Column, seed: int = SEED) -> Column:
+    """Exponential variable from a hash of doc_id and text, divided by the weight."""
+    # 53 random bits, moved off zero so that the logarithm is finite.
+    hashed = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    uniform = (F.shiftrightunsigned(hashed, 11).cast("double") + 0.5) / float(1 << 53)
+    return -F.log(uniform) / F.coalesce(weight, F.lit(1.0))
+
+
 def mix_sources(
     docs: DataFrame,
     weight: Column | None = None,
     weights: tuple[int, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
-    seed: int = 17,
+    seed: int = SEED,
 ) -> DataFrame:
-    """Adds nothing to the texts: one row per row of ``docs`` with doc_id, source, size,
+    """One row per row of ``docs`` with doc_id, source, size,
     source_size, target, sampling_key, epochs (times it is taken) and taken (words).
 
     ``docs`` has doc_id, text and source; other columns are ignored. The last document of the
@@ -94,15 +110,12 @@ def mix_sources(
     row (default: ``symbol_weight``); null counts as 1.
     """
     weight = symbol_weight(F.col("text")) if weight is None else weight
-    # 53 random bits, moved off zero so that the logarithm is finite.
-    hashed = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    uniform = (F.shiftrightunsigned(hashed, 11).cast("double") + 0.5) / float(1 << 53)
     sizes = stored(
         docs.select(
             "doc_id",
             "source",
             word_count(F.col("text")).alias("size"),
-            (-F.log(uniform) / F.coalesce(weight, F.lit(1.0))).alias("sampling_key"),
+            sampling_key(weight, seed).alias("sampling_key"),
         ),
         "mix-sizes",
     )
@@ -137,3 +150,21 @@ def mix_sources(
         "sampling_key",
         F.least(epochs, F.lit(max_epochs)).alias("epochs"),
     ).withColumn("taken", F.col("epochs") * F.col("size"))
+
+
+def taken_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with the columns of ``docs``.
+
+    Repeated rows have one sampling key and are each taken as often as the first of them.
+    """
+    epochs = mix_sources(docs).where("epochs > 0").groupBy("doc_id", "sampling_key").agg(
+        F.max("epochs").alias("_epochs")
+    )
+    keys = epochs.select(
+        F.col("doc_id").alias("_id"), F.col("sampling_key").alias("_key"), "_epochs"
+    )
+    key = sampling_key(symbol_weight(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    joined = docs.join(counted_broadcast(keys, keys.count()), same)
+    times = F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int"))).alias("_time")
+    return joined.select(*[docs[c] for c in docs.columns], times).drop("_time")

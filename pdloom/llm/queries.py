@@ -148,3 +148,15 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pdloom.llm.embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_license_scan")
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below a directory per source and language."""
+    from pdloom.llm.licenses import license_scan
+
+    path = F.concat_ws("/", "source", "lang", F.concat("doc_id", F.lit(".txt")))
+    files = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("file_id"), path.alias("path"), "text"
+    )
+    return license_scan(files).withColumnRenamed("file_id", "doc_id")

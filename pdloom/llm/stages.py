@@ -1,3 +1,62 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns the next documents."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pdloom.llm.common import counted_broadcast, table
+from pdloom.llm.decontaminate import find_leaks
+from pdloom.llm.jaccard import jaccard_components
+from pdloom.llm.labelled import fold
+from pdloom.llm.mixing import taken_documents
+from pdloom.llm.quality import fit_quality, score_quality
+from pdloom.llm.token_files import tokenize_to_files
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is not among the ids; rows without an id stay."""
+    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(counted_broadcast(ids, ids.count()), docs["doc_id"] == F.col("_id"), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels of these documents, does not reject."""
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    return score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles with a similarity of 0.8 or more;
+    rows that repeat an id with an equal text are one document."""
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if counts.limit(1).count():
+        docs = docs.dropDuplicates(["doc_id", "text"])
+    found, _ = jaccard_components(docs, k=5, percent=80)
+    return without(docs, found.where("doc_id != component_id"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    return taken_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, as read back from them."""
+    from public_tokenizers import path
+
+    return tokenize_to_files(docs, path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality", quality),
+    ("jaccard", one_of_each),
+    ("decontaminate", decontaminated),
+    ("mix", mixed),
+    ("tokens", tokens),
+]
