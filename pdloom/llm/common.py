@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Rows one window or one Python group should hold at most, on average.
-GROUP_ROWS = 100_000
+GROUP_ROWS = 5_000
 #: A table is broadcast only after its rows were counted and found to be at most so many.
 BROADCAST_ROWS = 500_000
 
