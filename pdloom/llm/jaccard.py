@@ -240,29 +240,18 @@ def _meet(batches: Batches) -> Batches:
 
 
 def _sets(k: int) -> Callable[[Batches], Batches]:
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            data = [shingles(t, k).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.record_batch(
-                [batch.column(0), pa.array(data, pa.binary())], names=["id", "items"]
-            )
-
-    return run
-
+    """Sets of the texts, a few documents at a time."""
 
-def _overlap(percent: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x = np.frombuffer(x.as_py(), "<u8")
-                y = np.frombuffer(y.as_py(), "<u8")
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())],
-                names=["a", "b", "linked"],
-            )
+        for whole in batches:
+            for low in range(0, whole.num_rows, 256):
+                batch = whole.slice(low, 256)
+                found = [shingles(t, k) for t in batch.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                items = np.concatenate(found).view(np.int64)
+                yield pa.record_batch(
+                    [batch.column(0), pa.ListArray.from_arrays(ends, items)], names=["id", "items"]
+                )
 
     return run
 
@@ -278,10 +267,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     wanted = docs.join(
         counted_broadcast(ids, ids.count()), F.col("doc_id") == F.col("id"), "left_semi"
     )
-    sets = stored(wanted.mapInArrow(_sets(k), "id bigint, items binary"), "jaccard-sets")
+    sets = stored(wanted.mapInArrow(_sets(k), "id bigint, items array<bigint>"), "jaccard-sets")
     with_a = near.select("a", "b").join(sets.toDF("a", "items_a"), "a")
-    both = with_a.join(sets.toDF("b", "items_b"), "b").select("a", "b", "items_a", "items_b")
-    checked = both.mapInArrow(_overlap(percent), "a bigint, b bigint, linked boolean")
+    common = F.size(F.array_intersect("items_a", "items_b"))
+    union = F.size("items_a") + F.size("items_b") - common
+    checked = with_a.join(sets.toDF("b", "items_b"), "b").select(
+        "a", "b", (100 * common >= percent * union).alias("linked")
+    )
     far = pairs.where(f"not ({fits})").select("a", "b", F.lit(False).alias("linked"))
     out = stored(
         checked.unionByName(far).groupBy("a", "b").agg(F.max("linked").alias("linked")),
