@@ -90,6 +90,12 @@ def _or_nan(value: Column) -> Column:
     return F.coalesce(value, F.lit(float("nan")))
 
 
+def _known(label: str, prob: str) -> Column:
+    """Rows that have a label and a score."""
+    score = quoted(prob)
+    return quoted(label).isNotNull() & score.isNotNull() & ~F.isnan(score.cast("double"))
+
+
 def roc_auc(df: DataFrame, label: str, prob: str, by: Sequence[str] = (), **kw) -> DataFrame:
     """Area under the ROC curve, ties counted half; NaN for a single class."""
     ranked = ranked_scores(df, label, prob, by, **kw)
@@ -108,10 +114,11 @@ def brier(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> DataF
 
 
 def log_loss(df: DataFrame, label: str, prob: str, by: Sequence[str] = ()) -> DataFrame:
-    """Mean negative log likelihood, scores kept off 0 and 1 by the double precision."""
+    """Mean negative log likelihood, scores kept off 0 and 1 by the double precision; rows
+    without a label or score are left out."""
     p = F.least(F.greatest(quoted(prob), F.lit(EPS)), F.lit(1 - EPS))
     loss = F.when(quoted(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))
-    return df.groupBy(*by).agg(F.avg(loss).alias("log_loss"))
+    return df.groupBy(*by).agg(F.avg(F.when(_known(label, prob), loss)).alias("log_loss"))
 
 
 def confusion(
@@ -192,7 +199,9 @@ def pr_curve(df: DataFrame, label: str, prob: str, by: Sequence[str] = (), **kw)
 def calibration_curve(
     df: DataFrame, label: str, prob: str, bins: int = 10, strategy: str = "quantile"
 ) -> DataFrame:
-    """Mean label and mean score per non-empty bin of equal count or equal width."""
+    """Mean label and mean score per non-empty bin of equal count or equal width, over the rows
+    that have both."""
+    df = df.where(_known(label, prob))
     if strategy == "quantile":
         probs = [i / bins for i in range(1, bins)]
         edges = exact_percentiles(df, {prob: probs})[prob] or []

@@ -3,7 +3,7 @@
 Both start from a quantile sketch, a bounded summary one scan makes. Its values become
 literal split points, so every later step is a plain, repeatable plan:
 
-* order statistics (of more values than one task should sort): the sketch brackets each wanted rank; one more scan counts the rows
+* order statistics: the sketch brackets each wanted rank; one more scan counts the rows
   between the brackets exactly and keeps the distinct values inside them;
 * running totals: the splits cut the value range into buckets of similar size, a window
   runs inside each bucket and small per-bucket totals give the offset of the bucket.
@@ -25,8 +25,11 @@ from pdloom.session import materialize, shuffle_partitions, small_table
 
 ACCURACY = 10_000
 MAX_BUCKETS = 8_192
-# Up to this many values in all, sorting them in one task beats two more scans.
-SMALL_VALUES = 1_000_000
+# Distinct values of a bracket that one task sorts at most; a wider bracket is narrowed first.
+BRACKET_VALUES = 200_000
+# Times a bracket is narrowed. A sketch works on doubles, so it can't tell apart longs that only
+# differ beyond their precision, and narrowing would not end there.
+NARROWED = 3
 
 
 @dataclass(frozen=True)
@@ -64,10 +67,25 @@ def _inside(segment: Column, value: Column, brackets: Sequence[_Bracket]) -> Col
     return F.when(segment.isin(wide), value) if wide else F.lit(None)
 
 
+def _narrowed(df: DataFrame, name: str, wide: _Bracket, local: int, rows: int) -> _Bracket:
+    """A bracket inside a wide one around a rank of it, by a sketch of the rows in it."""
+    value, eps = quoted(name), 2.0 / ACCURACY
+    around = [min(max((local + 0.5) / rows + d, 0.0), 1.0) for d in (-eps, eps)]
+    inside = df.where((value >= F.lit(wide.low)) & (value <= F.lit(wide.high)))
+    return _Bracket(*inside.agg(F.percentile_approx(value, around, ACCURACY).alias("q")).first()["q"])
+
+
 def _read_ranks(
-    df: DataFrame, dtype: str, plan: Mapping[str, tuple[list[_Bracket], list[int]]]
+    df: DataFrame,
+    dtype: str,
+    plan: Mapping[str, tuple[list[_Bracket], list[int]]],
+    narrow_wide: bool = True,
 ) -> tuple[dict[str, dict[int, Any]], dict[str, list[_Bracket]]]:
-    """Values at the wanted ranks, and the gap each rank outside its bracket fell into."""
+    """Values at the wanted ranks, and the brackets to read next for the ranks not found.
+
+    A rank outside its bracket asks for the gap it fell into, which surely holds it. A bracket
+    of too many distinct values for one task is replaced by a narrower one and its two ends.
+    """
     names = list(plan)
     parts = []
     for i, name in enumerate(names):
@@ -88,8 +106,11 @@ def _read_ranks(
         .agg(F.count("*").alias("n"))
     )
     sizes: dict[int, dict[int, int]] = {i: {} for i in range(len(names))}
-    for row in counts.groupBy("c", "segment").agg(F.sum("n").alias("n")).collect():
+    values: dict[tuple[int, int], int] = {}
+    totals = counts.groupBy("c", "segment").agg(F.sum("n").alias("n"), F.count("*").alias("values"))
+    for row in totals.collect():
         sizes[row["c"]][row["segment"]] = row["n"]
+        values[row["c"], row["segment"]] = row["values"]
 
     found: dict[str, dict[int, Any]] = {name: {} for name in names}
     missed: dict[str, list[_Bracket]] = {}
@@ -104,11 +125,20 @@ def _read_ranks(
             segment = max(s for s, start in enumerate(starts) if start <= rank and sizes[i].get(s))
             if segment % 2 == 0:
                 inner = segment // 2
-                missed.setdefault(name, []).append(
+                missed.setdefault(name, list(brackets)).append(
                     _Bracket(brackets[inner - 1].high, brackets[inner].low)
                 )
             elif brackets[segment // 2].low == brackets[segment // 2].high:
                 found[name][rank] = brackets[segment // 2].low
+            elif narrow_wide and values[i, segment] > BRACKET_VALUES and (
+                narrow := _narrowed(
+                    df, name, brackets[segment // 2], rank - starts[segment], sizes[i][segment]
+                )
+            ) != brackets[segment // 2]:
+                wide = brackets[segment // 2]
+                ends = [_Bracket(wide.low, wide.low), narrow, _Bracket(wide.high, wide.high)]
+                again = missed.setdefault(name, list(brackets))
+                missed[name] = [b for b in again if b != wide] + ends
             else:
                 wanted.append((i, segment, rank - starts[segment], rank))
     if wanted:
@@ -127,23 +157,12 @@ def _read_ranks(
     return found, missed
 
 
-def _sorted_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[str, dict[int, Any]]:
-    """Values at the wanted ranks of few values, by sorting them."""
-    picks = []
-    for i, (name, ranks) in enumerate(wanted.items()):
-        values = F.sort_array(F.collect_list(quoted(name)))
-        picks.append(F.array(*[values[rank] for rank in ranks]).alias(f"v{i}"))
-    row = df.agg(*picks).first()
-    return {name: dict(zip(ranks, row[i])) for i, (name, ranks) in enumerate(wanted.items())}
-
-
 def _select(
     df: DataFrame,
     dtype: str,
     probs: Mapping[str, Sequence[float]],
     ranks_of,
     accuracy: int,
-    small: int,
 ) -> dict[str, tuple[int, dict[int, Any]]]:
     """Row count and the values at ``ranks_of(name, n)`` of each column, nulls left out."""
     eps = 2.0 / accuracy
@@ -177,22 +196,15 @@ def _select(
             brackets.append(_Bracket(below, above))
         ranks = sorted(set(ranks_of(name, n)))
         plan[name] = (_merge(brackets), ranks)
-    if sum(result[name][0] for name in plan) <= small and plan:
-        ranks = {name: wanted for name, (_, wanted) in plan.items()}
-        for name, values in _sorted_ranks(df, ranks).items():
-            result[name][1].update(values)
-        return result
+    step = 0
     while plan:
-        found, missed = _read_ranks(df, dtype, plan)
+        found, missed = _read_ranks(df, dtype, plan, step < NARROWED)
+        step += 1
         for name, values in found.items():
             result[name][1].update(values)
-        # A rank outside its bracket: search the gap it fell into, which surely holds it.
         plan = {
-            name: (
-                _merge([*plan[name][0], *gaps]),
-                [r for r in plan[name][1] if r not in result[name][1]],
-            )
-            for name, gaps in missed.items()
+            name: (_merge(again), [r for r in plan[name][1] if r not in result[name][1]])
+            for name, again in missed.items()
         }
     return result
 
@@ -201,7 +213,6 @@ def exact_percentiles(
     df: DataFrame,
     probs: Mapping[str, Sequence[float]],
     accuracy: int = ACCURACY,
-    small: int = SMALL_VALUES,
 ) -> dict[str, list[float] | None]:
     """Percentiles with linear interpolation, exact at any size; None for an empty column.
 
@@ -214,7 +225,7 @@ def exact_percentiles(
         spots = [(n - 1) * p for p in probs[name]]
         return [r for s in spots for r in (math.floor(s), math.ceil(s))]
 
-    chosen = _select(df, "double", probs, ranks_of, accuracy, small)
+    chosen = _select(df, "double", probs, ranks_of, accuracy)
     result: dict[str, list[float] | None] = {}
     for name, (n, values) in chosen.items():
         if not n:
@@ -237,15 +248,10 @@ def kth_smallest(
     wanted: Mapping[str, tuple[int, int]],
     dtype: str,
     accuracy: int = ACCURACY,
-    small: int = SMALL_VALUES,
 ) -> dict[str, Any]:
     """Exact value at a zero-based rank: ``{column: (rank, non-null rows)}``."""
-    if sum(n for _, n in wanted.values()) <= small:
-        ranks = {name: [rank] for name, (rank, _) in wanted.items()}
-        chosen = _sorted_ranks(df, ranks)
-        return {name: values[wanted[name][0]] for name, values in chosen.items()}
     probs = {name: [(rank + 0.5) / n] for name, (rank, n) in wanted.items()}
-    chosen = _select(df, dtype, probs, lambda name, n: [wanted[name][0]], accuracy, small)
+    chosen = _select(df, dtype, probs, lambda name, n: [wanted[name][0]], accuracy)
     return {name: values[wanted[name][0]] for name, (_, values) in chosen.items()}
 
 

@@ -34,6 +34,39 @@ from pdloom.operators.features import (
 
 DOMAIN = ("loan_to_income", "term_months", "grade_numeric", "sub_grade_numeric")
 
+# What an entry of a section of the spec adds to the matrix, by its name and rule.
+_OUTPUTS = {
+    "numerical": lambda name, rule: (
+        [name, f"{name}__log1p"] if rule.get("planned_transformation") == "log" else [name]
+    ),
+    "datetime": lambda name, rule: list(rule.get("derived_features", ())),
+    "engineered": lambda name, rule: [name],
+}
+_LOOKUP_SUFFIX = {"target_mean": "target_mean"}
+
+
+def section_outputs(spec: Mapping[str, Any]) -> list[str]:
+    """Columns of the matrix that follow from the spec alone, without fitted encoders."""
+    return [
+        output
+        for section, outputs in _OUTPUTS.items()
+        for name, rule in _section(spec, section).items()
+        for output in outputs(name, rule)
+    ]
+
+
+def encoder_outputs(spec: Mapping[str, Any]) -> tuple[list[str], tuple[str, ...]]:
+    """Columns of the lookup encoders, and the prefixes of the one-hot columns."""
+    strategy = {
+        name: rule.get("encoding_strategy") for name, rule in _section(spec, "categorical").items()
+    }
+    lookups = [
+        f"{name}__{_LOOKUP_SUFFIX.get(kind, 'freq')}"
+        for name, kind in strategy.items()
+        if kind != "one_hot"
+    ]
+    return lookups, tuple(f"{name}_" for name, kind in strategy.items() if kind == "one_hot")
+
 
 def _section(spec: Mapping[str, Any], name: str) -> Mapping[str, Any]:
     return spec.get("features", {}).get(name, {})
@@ -70,13 +103,7 @@ class FeatureMatrix:
 
     @property
     def feature_columns(self) -> list[str]:
-        names = [*_section(self.spec, "numerical"), *self.domain]
-        for column, rule in _section(self.spec, "numerical").items():
-            if rule.get("planned_transformation") == "log":
-                names.append(f"{column}__log1p")
-        for rule in _section(self.spec, "datetime").values():
-            names += rule.get("derived_features", [])
-        names += list(_section(self.spec, "engineered"))
+        names = [*section_outputs(self.spec), *self.domain]
         for encoder in self.one_hot.values():
             names += encoder.outputs
         names += list(self.lookups)

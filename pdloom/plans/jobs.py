@@ -104,21 +104,20 @@ def explain_job(
     id_col: str = "loan_id",
     target: str = TARGET,
     train_fraction: float = 0.8,
-    background: int = 1000,
-    samples: int = 2000,
+    background: int | None = None,
+    samples: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Mean size of each feature's attribution over a sample of the held-out part."""
+    """Mean size of each feature's attribution over the held-out part, or over samples of it."""
     split = prepare_split(features, date_col, id_col, target, train_fraction)
     holdout = split.where(F.col("split") == "holdout")
     coefficients, _ = linear_terms(fitted)
     prepared = fitted.stages[0]
     names = list(coefficients)
-    means = background_means(
-        prepared.transform(sample_rows(holdout, background, id_col, seed)), names
-    )
-    rows = prepared.transform(sample_rows(holdout, samples, id_col, seed + 1))
-    return global_importance(rows, coefficients, means)
+    base = holdout if background is None else sample_rows(holdout, background, id_col, seed)
+    means = background_means(prepared.transform(base), names)
+    rows = holdout if samples is None else sample_rows(holdout, samples, id_col, seed + 1)
+    return global_importance(prepared.transform(rows), coefficients, means)
 
 
 def tune_job(

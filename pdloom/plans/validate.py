@@ -25,6 +25,7 @@ from pdloom.operators.models import (
 from pdloom.operators.preprocess import fit_preprocess
 from pdloom.operators.profiles import target_checks
 from pdloom.operators.splits import split_meta, temporal_overlap, time_split3
+from pdloom.plans.feature_matrix import encoder_outputs, section_outputs
 from pdloom.plans.inputs import content_hash
 from pdloom.session import small_table
 
@@ -34,24 +35,11 @@ class ValidationError(RuntimeError):
 
 
 def contracted_columns(columns: Sequence[str], spec: Mapping[str, Any]) -> list[str]:
-    """Columns a matrix must have by the spec; one-hot groups are found by their prefix."""
-    features = spec.get("features", {})
-    names: set[str] = set()
-    for rule in features.get("datetime", {}).values():
-        names |= set(rule.get("derived_features", []))
-    names |= set(features.get("engineered", {}))
-    for column, rule in features.get("categorical", {}).items():
-        strategy = rule.get("encoding_strategy")
-        if strategy == "one_hot":
-            names |= {c for c in columns if c.startswith(f"{column}_")}
-        else:
-            suffix = "target_mean" if strategy == "target_mean" else "freq"
-            names.add(f"{column}__{suffix}")
-    for column, rule in features.get("numerical", {}).items():
-        names.add(column)
-        if rule.get("planned_transformation") == "log":
-            names.add(f"{column}__log1p")
-    return sorted(names)
+    """Columns a matrix must have by the spec: what the plan of the matrix says it writes, and
+    those of ``columns`` that carry the prefix of a one-hot group."""
+    lookups, prefixes = encoder_outputs(spec)
+    grouped = [c for c in columns if prefixes and c.startswith(prefixes)]
+    return sorted({*section_outputs(spec), *lookups, *grouped})
 
 
 def schema_checks(

@@ -22,11 +22,12 @@ def skewed(spark):
     return df.repartition(6)
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_exact_percentiles(skewed, small):
+@pytest.mark.parametrize("most", [20, 10**9])
+def test_exact_percentiles(skewed, monkeypatch, most):
+    monkeypatch.setattr(ordering, "BRACKET_VALUES", most)
     probs = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.9, 0.999, 1.0]
     got = ordering.exact_percentiles(
-        skewed, {c: probs for c in ("x", "few", "same", "none")}, accuracy=50, small=small
+        skewed, {c: probs for c in ("x", "few", "same", "none")}, accuracy=50
     )
     pdf = skewed.toPandas()
     for name in ("x", "few", "same"):
@@ -51,18 +52,19 @@ def test_ranks_outside_their_bracket_are_found(skewed, monkeypatch):
 
     monkeypatch.setattr(ordering, "_merge", ends_only)
     monkeypatch.setattr(ordering, "_read_ranks", counted)
-    got = ordering.exact_percentiles(skewed, {"x": [0.2, 0.5, 0.95]}, accuracy=50, small=0)
+    got = ordering.exact_percentiles(skewed, {"x": [0.2, 0.5, 0.95]}, accuracy=50)
     values = skewed.toPandas()["x"].replace([np.inf, -np.inf], np.nan).dropna()
     assert np.allclose(got["x"], np.quantile(values, [0.2, 0.5, 0.95]))
     assert len(calls) == 2
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_kth_smallest(spark, small):
+@pytest.mark.parametrize("most", [20, 10**9])
+def test_kth_smallest(spark, monkeypatch, most):
+    monkeypatch.setattr(ordering, "BRACKET_VALUES", most)
     df = spark.range(5000).select((F.col("id") * 7919 % 100003 + 2**60).alias("k"))
     expected = sorted(r["k"] for r in df.collect())
     for rank in (0, 17, 2500, 4999):
-        got = ordering.kth_smallest(df, {"k": (rank, 5000)}, "bigint", accuracy=20, small=small)
+        got = ordering.kth_smallest(df, {"k": (rank, 5000)}, "bigint", accuracy=20)
         assert got["k"] == expected[rank]
 
 
