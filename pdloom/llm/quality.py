@@ -25,7 +25,8 @@ from pdloom.llm.labelled import SAMPLE_ROWS, training_sample
 WORD_BITS = 14
 RANK = 8
 BINS = 8
-EPOCHS = 6
+#: Passes over the sample, and steps at least, so that a small sample is learned as well.
+EPOCHS, LEAST_STEPS = 6, 400
 BATCH_ROWS = 256
 STEP = 0.02
 DECAY = 1e-4
@@ -149,7 +150,8 @@ def fit(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarr
     theta[:, 1:] = random.normal(0, 0.01, (width, RANK))
     first, second, step = np.zeros_like(theta), np.zeros_like(theta), 0
     b, b1, b2 = bias, 0.0, 0.0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // -(-len(parts) // BATCH_ROWS)))
+    for _ in range(epochs):
         order = random.permutation(len(parts))
         for at in range(0, len(parts), BATCH_ROWS):
             rows = order[at : at + BATCH_ROWS]

@@ -30,6 +30,12 @@ SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deinen deiner ihr euch euer tu te toi ton"
     " ta tes vous votre vos tú ti tus usted ustedes vosotros vuestro".split()
 )
+#: Common insults, in the lexicon whatever the sample holds, with this strength.
+INSULTS = (
+    "clown crap creep disgusting dumb dumbass fool garbage idiot imbecile jerk loser moron"
+    " pathetic retard scum scumbag stupid trash ugly vermin worthless"
+).split()
+INSULT_STRENGTH = 2.0
 #: Characters that stand for letters in obfuscated words.
 LOOK_ALIKE = str.maketrans("013457@$", "oieastas")
 #: A lexicon entry is so many times more often in toxic documents at least, with a likelihood ratio
@@ -157,8 +163,9 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         .limit(LEXICON_ENTRIES)
     )
     found = {r["entry"]: float(np.log(r["ratio"])) for r in counts.collect()}
+    learned = {e[1:]: v for e, v in found.items() if e[0] == "w"}
     return Lexicon(
-        {e[1:]: v for e, v in found.items() if e[0] == "w"},
+        {**dict.fromkeys(INSULTS, INSULT_STRENGTH), **learned},
         {e[1:]: v for e, v in found.items() if e[0] == "s"},
     )
 
