@@ -366,7 +366,6 @@ def importance_limits(spark, sf):
         vectors.select("loan_id", "default", "features"),
         pre.outputs,
         "loan_id",
-        repeats=2,
     )
     return importance_checks(found)
 
@@ -377,11 +376,11 @@ def model_bundle(spark, sf):
     plan = fit_feature_matrix(part(dated, "train"))
     with cached(plan.transform(part(dated, "train"), ["loan_id"])) as train:
         pre = preprocess.fit_preprocess(train, plan.feature_columns)
-        model = models.train_lr(train, pre, max_iter=50)
+        model = models.train_lr(train, pre)
     root = scratch_path(spark, "bundles")
     save_bundle(spark, root, "pd_lr_v1", model, plan)
     bundle = load_bundle(spark, root)
-    return bundle.score(part(dated, "holdout"), ("loan_id",)).select(
+    return bundle.score(dated, ("loan_id",)).select(
         "loan_id", "pd", "model_version"
     )
 
@@ -406,19 +405,19 @@ _MEANS = {
                 for c, k in COEFFICIENTS.items())
     + f", 1 / (1 + exp(-({INTERCEPT!r}::double"
     + "".join(f" + {k!r}::double * h.{c}" for c, k in COEFFICIENTS.items())
-    + "))) as pd from split2 h cross join means m where split = 'holdout'",
+    + "))) as pd from split2 h cross join means m",
     "long": " union all ".join(
         f"""select loan_id, {i} as i, '{c}' as feature, cast(v_{c} as double) as value,
-        a_{c} as attribution from attributed"""
+        a_{c} as attribution, split from attributed"""
         for i, c in enumerate(COEFFICIENTS)
     ),
 }
 
 
 def _explained(spark, sf):
+    """Split rows, and the means of the first part that attributions are measured from."""
     rows = splits.prepare_split(cleaned(spark, sf))
-    means = attribution.background_means(part(rows, "train"), list(COEFFICIENTS))
-    return part(rows, "holdout"), means
+    return rows, attribution.background_means(part(rows, "train"), list(COEFFICIENTS))
 
 
 @query(
@@ -426,13 +425,13 @@ def _explained(spark, sf):
     using(
         "split2",
         """select loan_id, feature, round(value, 6) as value,
-        round(attribution, 9) + 0 as attribution from long""",
+        round(attribution, 9) + 0 as attribution from long where split = 'holdout'""",
         **_MEANS,
     ),
 )
 def linear_attribution(spark, sf):
     rows, means = _explained(spark, sf)
-    explained = attribution.linear_attribution(rows, COEFFICIENTS, means)
+    explained = attribution.linear_attribution(part(rows, "holdout"), COEFFICIENTS, means)
     flat = explained.select("loan_id", F.inline("attributions"))
     return rounded(rounded(flat, 6, "value"), 9, "attribution")
 
@@ -459,13 +458,13 @@ def top_k_abs(spark, sf):
     using(
         "split2",
         """select feature, round(avg(abs(attribution)), 9) as mean_abs_attribution
-        from long group by 1 order by 2 desc, 1 limit 5""",
+        from long where split = 'holdout' group by 1 order by 2 desc, 1 limit 5""",
         **_MEANS,
     ),
 )
 def global_importance(spark, sf):
     rows, means = _explained(spark, sf)
-    ranked = attribution.global_importance(rows, COEFFICIENTS, means, top=5)
+    ranked = attribution.global_importance(part(rows, "holdout"), COEFFICIENTS, means, top=5)
     return rounded(ranked, 9, "mean_abs_attribution")
 
 
@@ -477,21 +476,21 @@ def global_importance(spark, sf):
         when pd < 0.25 then 'Medium' else 'High' end as risk_band, 'v1' as model_version,
         round(({INTERCEPT!r}::double"""
         + "".join(f" + {k!r}::double * (select {c} from means)" for c, k in COEFFICIENTS.items())
-        + """), 9) as base_value, factors from attributed join (select loan_id,
-        string_agg(feature, '|' order by r) as factors from (select *,
+        + """), 9) as base_value, cast(r - 1 as integer) as place, feature,
+        round(value, 6) as value, round(attribution, 9) + 0 as attribution
+        from attributed join (select loan_id, feature, value, attribution,
         row_number() over (partition by loan_id order by abs(attribution) desc, i) as r
-        from long) where r <= 4 group by 1) using (loan_id)""",
+        from long) using (loan_id) where r <= 4""",
         **_MEANS,
     ),
 )
 def top_factors(spark, sf):
     rows, means = _explained(spark, sf)
     explained = attribution.top_factors(rows, COEFFICIENTS, INTERCEPT, means, 4, "v1")
-    names = F.concat_ws("|", F.transform("top_factors", lambda f: f["feature"]))
-    flat = explained.select(
-        "loan_id", "pd", "risk_band", "model_version", "base_value", names.alias("factors")
-    )
-    return rounded(flat, 9, "pd", "base_value")
+    told = ["loan_id", "pd", "risk_band", "model_version", "base_value"]
+    placed = explained.select(*told, F.posexplode("top_factors").alias("place", "factor"))
+    flat = placed.select(*told, "place", "factor.feature", "factor.value", "factor.attribution")
+    return rounded(rounded(flat, 6, "value"), 9, "pd", "base_value", "attribution")
 
 
 # ---------------------------------------------------------------- composite jobs

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from pdloom.catalog.base import (
@@ -54,8 +56,7 @@ def freq_encode(spark, sf):
         "split2",
         """select loan_id, round(coalesce(freq, (select 1.0 / count(*) from shares)), 9)
         as emp_length__freq from split2 left join shares
-        on (case when loan_id % 5 = 0 then 'unseen' else emp_length end) is not distinct from c
-        where split = 'holdout'""",
+        on (case when loan_id % 5 = 0 then 'unseen' else emp_length end) is not distinct from c""",
         **_FREQ,
     ),
 )
@@ -63,8 +64,27 @@ def apply_frequency(spark, sf):
     rows = split2(spark, sf)
     fitted = encoders.fit_lookup_encoders(part(rows, "train"), frequency=["emp_length"])
     other = F.when(F.expr("loan_id % 5 = 0"), F.lit("unseen")).otherwise(F.col("emp_length"))
-    holdout = part(rows, "holdout").withColumn("emp_length", other)
-    encoded = fitted["emp_length__freq"].transform(holdout)
+    encoded = fitted["emp_length__freq"].transform(rows.withColumn("emp_length", other))
+    return rounded(encoded, 9, "emp_length__freq").select("loan_id", "emp_length__freq")
+
+
+@query(
+    "apply_frequency_by_shuffle",
+    using(
+        "split2",
+        """select loan_id, round(coalesce(freq, (select 1.0 / count(*) from shares)), 9)
+        as emp_length__freq from split2 left join shares
+        on (case when loan_id % 3 = 0 then 'unseen' else emp_length end) is not distinct from c""",
+        **_FREQ,
+    ),
+)
+def apply_frequency_by_shuffle(spark, sf):
+    """The way of a fitted table too large to broadcast, a third of the rows on one unseen value."""
+    rows = split2(spark, sf)
+    fitted = encoders.fit_lookup_encoders(part(rows, "train"), frequency=["emp_length"])
+    other = F.when(F.expr("loan_id % 3 = 0"), F.lit("unseen")).otherwise(F.col("emp_length"))
+    large = replace(fitted["emp_length__freq"], small=False)
+    encoded = large.transform(rows.withColumn("emp_length", other))
     return rounded(encoded, 9, "emp_length__freq").select("loan_id", "emp_length__freq")
 
 

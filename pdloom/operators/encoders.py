@@ -86,7 +86,6 @@ class LookupEncoder:
             ["category"],
             ["_value"],
             small=self.small,
-            total=self.total,
             match_null=self.match_null,
         )
         value = F.coalesce(F.col("_value"), F.lit(self.prior))
@@ -199,7 +198,6 @@ def oof_target_mean(
         ["category", "fold"],
         ["_value"],
         small=is_small(whole["rows"], whole["bytes"]),
-        total=whole["n"] or 0,
     )
     value = F.coalesce(F.col("_value"), F.lit(prior))
     return joined.withColumn(output, value).drop("category", "fold", "_value")
@@ -289,7 +287,6 @@ def group_rare(
         ["category"],
         ["_common"],
         small=fits_broadcast(common, "category"),
-        total=total,
     )
     grouped = (
         F.when(F.col("category").isNull(), F.lit(MISSING_TOKEN))

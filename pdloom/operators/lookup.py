@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pdloom.functions.columns import quoted
+from pdloom.session import materialize
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -39,16 +40,15 @@ def lookup_join(
     values: Sequence[str],
     *,
     small: bool,
-    weight: str = "n",
-    total: int = 0,
     match_null: bool = False,
 ) -> DataFrame:
     """Left join of ``table`` on ``keys``; ``match_null`` lets a null key match a null key.
 
     A ``small`` table (see ``is_small``) goes to every task and ``df`` is not moved.
-    Otherwise the hot keys, those with at least ``1/HOT_KEYS`` of the fitted weight and so
-    at most ``HOT_KEYS`` of them, are broadcast, and the rows they match are spread by a salt
-    no other table row has, so that the shuffle for the remaining keys has no hot key.
+    Otherwise the keys of ``df`` are counted. The hot ones, those of at least ``1/HOT_KEYS`` of
+    its rows and so at most ``HOT_KEYS``, are broadcast with their values, whether the table
+    holds them or not. Their rows are spread by a salt no table row has, so that the shuffle for
+    the remaining keys has no hot key.
     """
     # Null keys as a flag and a filler, so that plain equality covers them.
     parts: list[str] = []
@@ -64,19 +64,22 @@ def lookup_join(
     if not match_null:
         for i in range(len(keys)):
             table = table.where(~F.col(f"_k{i}_null"))
-    right = table.select(*parts, F.col(weight).alias("_weight"), *values)
+    right = table.select(*parts, *values)
     if small:
-        joined = df.join(F.broadcast(right.drop("_weight")), parts, "left")
-        return joined.drop(*parts)
+        return df.join(F.broadcast(right), parts, "left").drop(*parts)
 
     narrow = F.lit(True)
     for i in range(len(keys)):
         narrow = narrow & (F.octet_length(F.col(f"_k{i}")) <= HOT_KEY_BYTES)
-    is_hot = narrow & (F.col("_weight") * HOT_KEYS >= F.lit(total))
-    hot = right.where(is_hot).select(
+    met = materialize(df.groupBy(*parts).agg(F.count("*").alias("_met")))
+    total = met.agg(F.sum("_met")).first()[0] or 0
+    # The count bounds this table: no more than HOT_KEYS keys can have such a share.
+    frequent = met.where(narrow & (F.col("_met") * HOT_KEYS >= F.lit(total))).select(*parts)
+    held = right.join(F.broadcast(frequent), parts)
+    hot = frequent.join(held, parts, "left").select(
         *parts, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
     )
-    tail = right.where(~is_hot).select(*parts, F.lit(0).alias("_salt"), *values)
+    tail = right.withColumn("_salt", F.lit(0))
     # Rows a hot key serves, and null keys nothing can match, need not meet the tail table.
     settled = F.col("_hot").isNotNull()
     if not match_null:

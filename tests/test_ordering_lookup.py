@@ -145,6 +145,27 @@ def test_hot_keys_do_not_meet_the_tail_shuffle(categories, monkeypatch):
     assert "_salt" in plan and "_hot" in plan
 
 
+def test_unseen_hot_value_is_spread(spark):
+    """Half the rows on a value the fit never saw; no task of the join holds more than a share."""
+    rows = spark.range(20_000).select(
+        "id", F.when(F.col("id") % 2 == 0, "new").otherwise(F.concat(F.lit("c"), F.col("id") % 997)).alias("c")
+    )
+    table = spark.range(900).select(F.concat(F.lit("c"), "id").alias("c"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup.lookup_join(rows, table, ["c"], ["v"], small=False)
+        sizes = out.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        got = out.toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(got) == 20_000 and got[got.c == "new"].v.isna().all()
+    known = got[got.c != "new"]
+    number = known.c.str[1:].astype(int)
+    assert (known.v.fillna(-1) == number.where(number < 900, -1)).all()
+    assert sizes.sum() == 20_000 and sizes.max() < 20_000 * 0.3
+
+
 def test_one_hot(categories):
     fitted = encoders.fit_one_hot(categories, ["job"])["job"]
     assert fitted.outputs[-1] == "job_<NA>" and "job_hot" in fitted.outputs
