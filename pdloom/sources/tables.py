@@ -17,7 +17,7 @@ from pdloom.constants import FEATURE_SPEC, TARGET
 from pdloom.operators.cleaning import require_columns, require_rows
 from pdloom.operators.encoders import LookupEncoder, OneHotEncoder
 from pdloom.operators.lookup import fits_broadcast
-from pdloom.operators.models import score_loans
+from pdloom.operators.models import apply_sigmoid, score_loans
 from pdloom.plans.feature_matrix import FeatureMatrix
 from pdloom.session import small_table
 
@@ -56,17 +56,21 @@ def write_drift_csv(report: DataFrame, path: str, overwrite: bool = True) -> str
 
 @dataclass(frozen=True)
 class ModelBundle:
-    """A fitted classifier with the feature plan that feeds it."""
+    """A fitted classifier with the feature plan that feeds it and, where it was kept, the slope
+    and intercept that calibrate its probability."""
 
     name: str
     model: PipelineModel
     features: FeatureMatrix | None
     metadata: Mapping[str, Any]
+    calibration: tuple[float, float] | None = None
 
     def score(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        """Features, probability and margin of raw loans, with the bundle's name."""
+        """Features, probability and margin of raw loans, with the bundle's name; a calibrated
+        bundle adds ``pd_calibrated``."""
         rows = self.features.transform(df, keep) if self.features else df
-        return score_loans(self.model, rows).withColumn("model_version", F.lit(self.name))
+        scored = score_loans(self.model, rows).withColumn("model_version", F.lit(self.name))
+        return apply_sigmoid(scored, *self.calibration) if self.calibration else scored
 
 
 _ENCODERS = (
@@ -82,8 +86,9 @@ def save_bundle(
     model: PipelineModel,
     features: FeatureMatrix | None = None,
     metadata: Mapping[str, Any] | None = None,
+    calibration: tuple[float, float] | None = None,
 ) -> str:
-    """Write model, encoder tables and metadata below ``root/name``."""
+    """Write model, encoder tables, metadata and calibration below ``root/name``."""
     folder = f"{root.rstrip('/')}/{name}"
     model.write().overwrite().save(f"{folder}/model")
     plan: dict[str, Any] | None = None
@@ -112,8 +117,9 @@ def save_bundle(
                 o: [e.column, e.prior, e.total, e.match_null] for o, e in features.lookups.items()
             },
         }
-    row = (name, json.dumps(plan), json.dumps(dict(metadata or {})))
-    table = small_table(spark, [row], "name string, plan string, metadata string")
+    row = (name, json.dumps(plan), json.dumps(dict(metadata or {})), json.dumps(calibration))
+    kinds = "name string, plan string, metadata string, calibration string"
+    table = small_table(spark, [row], kinds)
     write_report(table.coalesce(1), f"{folder}/metadata")
     return folder
 
@@ -134,7 +140,8 @@ def pick_bundle(spark: SparkSession, root: str, name: str | None = None) -> str:
 def load_bundle(spark: SparkSession, root: str, name: str | None = None) -> ModelBundle:
     name = pick_bundle(spark, root, name)
     folder = f"{root.rstrip('/')}/{name}"
-    row = spark.read.schema("plan string, metadata string").json(f"{folder}/metadata").first()
+    kinds = "plan string, metadata string, calibration string"
+    row = spark.read.schema(kinds).json(f"{folder}/metadata").first()
     plan = json.loads(row["plan"])
     features = None
     if plan is not None:
@@ -156,4 +163,6 @@ def load_bundle(spark: SparkSession, root: str, name: str | None = None) -> Mode
             plan["target"],
         )
     model = PipelineModel.load(f"{folder}/model")
-    return ModelBundle(name, model, features, json.loads(row["metadata"]))
+    slope_intercept = json.loads(row["calibration"] or "null")
+    calibration = tuple(slope_intercept) if slope_intercept else None
+    return ModelBundle(name, model, features, json.loads(row["metadata"]), calibration)
