@@ -5,11 +5,12 @@
 2. A randomised SVD of the TF-IDF passages of all documents in one pass: a task multiplies its
    passages with a random matrix and back, Spark adds the products up per feature, and the driver
    works on the features-by-rank matrix only (Nystroem's method gives vectors and values).
-3. Passages of two lengths and the benchmark items are projected on the singular vectors, each
-   divided by its singular value, so that what most texts share does not outweigh the rest; every
-   passage is compared by cosine with the items of its length, block by block of items.
+3. Passages of texts and of benchmark items (long items are cut) are projected on the singular
+   vectors, each divided by its singular value, so that what most texts share does not outweigh
+   the rest; every passage is compared by cosine with those of items of its length, block by block.
 4. A candidate is checked on its words: longest common subsequence with the item, and the answer
    check, the share of the item's last words and of its rare words that the passage holds.
+5. A verbatim copy is also found by the hash of a run of its words, at any length.
 """
 
 from __future__ import annotations
@@ -31,9 +32,16 @@ FEATURES = 4_096
 RANK = 96
 #: Words of a passage of the decomposition.
 PASSAGE = 192
-#: Words of a chunk; passages of the search are so many chunks, the first kind for items below
-#: SHORT words.
-CHUNK, CHUNKS, SHORT = 16, (2, 3), 30
+#: Words from one window of the search to the next, for passages of items below so many words. A
+#: window holds any passage below 34 words wholly, with fewer than two steps of other words.
+STEPS = ((8, 1), (15, 2), (30, 8))
+#: Step and longest window for longer passages, the longest item that is not cut into passages, and
+#: words of the passages of a cut one.
+STEP, WINDOW, UNCUT, PIECE = 16, 48, 64, 48
+#: Cosines computed at once, and windows of it at most.
+CELLS, WINDOWS = 1 << 22, 1 << 14
+#: Words of the run by which verbatim copies are found; shorter items are one run.
+RUN = 8
 #: Items compared in one pass over the documents.
 ITEM_BLOCK = 20_000
 COSINE = 0.5
@@ -96,19 +104,27 @@ def _batch_chunks(
     return words, offsets[row] + within * size, row, counts
 
 
-def _chunk_sums(weighted: np.ndarray, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _chunk_sums(
+    weighted: np.ndarray, feature: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int
+) -> np.ndarray:
     """Sum of the rows of the words of every chunk; the last row of ``weighted`` is zero."""
-    ends = np.append(starts[1:], len(words))
-    feature = np.append(words % np.uint32(FEATURES), FEATURES).astype(np.int64)
     total = np.zeros((len(starts), weighted.shape[1]), np.float32)
     taken = np.empty_like(total)
-    for i in range(CHUNK):
-        at = np.where(starts + i < ends, starts + i, len(words))
+    for i in range(size):
+        at = np.where(starts + i < ends, starts + i, len(feature) - 1)
         np.take(weighted, feature[at], axis=0, out=taken, mode="clip")
         total += taken
     return total
 
 
+def _run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    total = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for i in range(size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(total)]
+    return total
+
+
 def _product(idf: np.ndarray, matrix: np.ndarray) -> Callable[[Batches], Batches]:
     """Rows of (transposed passages) times passages times matrix, per feature."""
     right = matrix.astype(np.float32)
@@ -188,9 +204,13 @@ class Items:
     ids: list[int]
     words: list[np.ndarray]
     latent: np.ndarray
+    #: Item, first word and words of every passage, a row of ``latent`` each.
+    passages: list[tuple[int, int, int]]
     rare: list[set[int]]
     masks: list[dict[int, int]] = field(default_factory=list)
     counts: list[Counter[int]] = field(default_factory=list)
+    #: Per length of a run: its sorted hashes, with the items and where in them the run is.
+    runs: dict[int, tuple[np.ndarray, list[list[tuple[int, int]]]]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         for words in self.words:
@@ -199,6 +219,39 @@ class Items:
                 masks[w] = masks.get(w, 0) | 1 << i
             self.masks.append(masks)
             self.counts.append(Counter(words.tolist()))
+        self._find_runs()
+
+    def _find_runs(self) -> None:
+        """The run of every item that fewest items hold."""
+        for size in {min(RUN, len(w)) for w in self.words}:
+            mine = {
+                i: _run_hashes(w, size).tolist()
+                for i, w in enumerate(self.words)
+                if min(RUN, len(w)) == size
+            }
+            held = Counter(h for runs in mine.values() for h in set(runs))
+            known: dict[int, list[tuple[int, int]]] = {}
+            for i, runs in mine.items():
+                at = min(range(len(runs)), key=lambda j: held[runs[j]])
+                known.setdefault(runs[at], []).append((i, at))
+            hashes = sorted(known)
+            self.runs[size] = np.array(hashes, np.uint64), [known[h] for h in hashes]
+
+    def copies(
+        self, words: np.ndarray, row: np.ndarray, ends: np.ndarray
+    ) -> Iterator[tuple[int, int, int]]:
+        """Text, item and first word of all verbatim copies; ``row`` is the text of every word."""
+        for size, (hashes, holders) in self.runs.items():
+            runs = _run_hashes(words, size)
+            place = np.minimum(np.searchsorted(hashes, runs), len(hashes) - 1)
+            for at in np.flatnonzero(hashes[place] == runs).tolist():
+                text = int(row[at])
+                for item, before in holders[place[at]]:
+                    first, n = at - before, len(self.words[item])
+                    if first < 0 or row[first] != text or first + n > ends[text]:
+                        continue
+                    if np.array_equal(words[first : first + n], self.words[item]):
+                        yield text, item, first
 
     def checked(self, item: int, passage: list[int]) -> tuple[float, float] | None:
         """Share of the common subsequence and of the answer where both reach their bounds."""
@@ -228,13 +281,21 @@ def _latent(words: np.ndarray, weighted: np.ndarray) -> np.ndarray:
     return total / (np.linalg.norm(total) or 1.0)
 
 
+def _step_and_window(n: int) -> tuple[int, int]:
+    """Words between the windows for a passage of n words, and of a window."""
+    step = next((s for bound, s in STEPS if n < bound), STEP)
+    return step, min(WINDOW, -(-(n + step - 1) // step) * step)
+
+
 def _search(items: Items, weighted: np.ndarray) -> Callable[[Batches], Batches]:
     """Checked hits of all passages: (doc_id, item_id, cosine, lcs, answer, word_from, word_to)."""
-    kinds = []
-    for chunks in CHUNKS:
-        short = chunks == CHUNKS[0]
-        mine = [i for i, w in enumerate(items.words) if (len(w) < SHORT) == short]
-        kinds.append((chunks, np.array(mine, np.int64), items.latent[mine].astype(np.float32)))
+    by_kind: dict[tuple[int, int], list[int]] = {}
+    for p, (_, _, n) in enumerate(items.passages):
+        by_kind.setdefault(_step_and_window(n), []).append(p)
+    kinds = [
+        (*kind, np.array(mine, np.int64), items.latent[mine].astype(np.float32))
+        for kind, mine in by_kind.items()
+    ]
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -256,48 +317,91 @@ _HITS = pa.schema(
 )
 
 
+def _candidates(
+    kinds: list[tuple[int, int, np.ndarray, np.ndarray]],
+    items: Items,
+    weighted: np.ndarray,
+    chunks: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray],
+    chunk: int,
+) -> dict[tuple[int, int, int, int], float]:
+    """Best cosine per text, item, and the first word and end of where the item may be."""
+    words, starts, row, counts = chunks
+    feature = np.append(words % np.uint32(FEATURES), FEATURES).astype(np.int64)
+    ends = np.append(starts[1:], len(words))
+    after = np.cumsum(counts)
+    first = after - counts
+    within = np.arange(len(starts)) - first[row]
+    longest = max(window for _, window, _, _ in kinds) // chunk
+    most = max(len(mine) for _, _, mine, _ in kinds)
+    size = max(1, min(WINDOWS, CELLS // most))
+    found: dict[tuple[int, int, int, int], float] = {}
+    for low in range(0, len(starts), size):
+        high = min(low + size, len(starts))
+        to = min(high + longest, len(starts))
+        sums = _chunk_sums(weighted, feature, starts[low:to], ends[low:to], chunk)
+        running = np.concatenate([np.zeros((1, RANK)), np.cumsum(sums, axis=0, dtype=np.float64)])
+        for step, window, mine, latent in kinds:
+            at = low + np.flatnonzero(within[low:high] % (step // chunk) == 0)
+            stop = np.minimum(at + window // chunk, after[row[at]])
+            passages = (running[stop - low] - running[at - low]).astype(np.float32)
+            passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-12)
+            cosine = passages @ latent.T
+            for place, column in zip(*np.nonzero(cosine >= COSINE)):
+                item, offset, n = items.passages[mine[column]]
+                whole, text = len(items.words[item]), int(row[at[place]])
+                start, end = int(starts[first[text]]), int(ends[after[text] - 1])
+                begin = int(starts[at[place]]) - offset - whole // 2 - start
+                close = int(ends[stop[place] - 1]) + whole - offset - n + whole // 2 - start
+                if n < whole:  # all passages of a long item look at few places
+                    begin = begin // (whole // 4) * (whole // 4)
+                    close = -(-close // (whole // 4)) * (whole // 4)
+                key = text, item, max(begin, 0) + start, min(close + start, end)
+                found[key] = max(found.get(key, 0.0), float(cosine[place, column]))
+    return found
+
+
 def _hits(
     batch: pa.RecordBatch,
-    kinds: list[tuple[int, np.ndarray, np.ndarray]],
+    kinds: list[tuple[int, int, np.ndarray, np.ndarray]],
     items: Items,
     weighted: np.ndarray,
 ) -> Iterator[dict]:
-    words, starts, row, counts = _batch_chunks(batch, CHUNK)
+    if not kinds:
+        return
+    chunk = min(step for step, _, _, _ in kinds)
+    chunks = _batch_chunks(batch, chunk)
+    words = chunks[0]
     if not len(words):
         return
-    sums = _chunk_sums(weighted, words, starts)
-    running = np.concatenate([np.zeros((1, RANK)), np.cumsum(sums, axis=0, dtype=np.float64)])
-    last = (np.cumsum(counts))[row]
     ids = batch.column(0).to_pylist()
-    ends = np.append(starts, len(words))
-    done: set[tuple[int, int, int]] = set()
-    for chunks, mine, latent in kinds:
-        if not len(mine):
+    lengths = np.array([len(w) // 4 for w in batch.column(1).to_pylist()], np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+
+    def hit(text: int, item: int, cosine: float, shares: tuple, low: int, high: int) -> dict:
+        return {
+            "doc_id": ids[text],
+            "item_id": items.ids[item],
+            "cosine": cosine,
+            "lcs_share": shares[0],
+            "answer_share": shares[1],
+            "word_from": low - int(starts[text]),
+            "word_to": high - int(starts[text]),
+        }
+
+    copied: set[tuple[int, int]] = set()
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    for text, item, at in items.copies(words, row, ends):
+        if (text, item) not in copied:
+            copied.add((text, item))
+            yield hit(text, item, 1.0, (1.0, 1.0), at, at + len(items.words[item]))
+    found = _candidates(kinds, items, weighted, chunks, chunk)
+    for (text, item, low, high), cosine in found.items():
+        if (text, item) in copied:
             continue
-        stop = np.minimum(np.arange(len(starts)) + chunks, last)
-        passages = (running[stop] - running[:-1]).astype(np.float32)
-        passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-12)
-        cosine = passages @ latent.T
-        for chunk, column in zip(*np.nonzero(cosine >= COSINE)):
-            item = int(mine[column])
-            reach = len(items.words[item]) // 2
-            low = starts[chunk] - reach
-            high = ends[stop[chunk]] + reach
-            first = starts[np.searchsorted(row, row[chunk])]
-            after = ends[last[chunk]]
-            low, high = max(int(low), int(first)), min(int(high), int(after))
-            found = items.checked(item, words[low:high].tolist())
-            if found and (int(row[chunk]), item, low) not in done:
-                done.add((int(row[chunk]), item, low))
-                yield {
-                    "doc_id": ids[row[chunk]],
-                    "item_id": items.ids[item],
-                    "cosine": float(cosine[chunk, column]),
-                    "lcs_share": found[0],
-                    "answer_share": found[1],
-                    "word_from": low - int(first),
-                    "word_to": high - int(first),
-                }
+        shares = items.checked(item, words[low:high].tolist())
+        if shares:
+            yield hit(text, item, cosine, shares, low, high)
 
 
 def _items(rows: list, weighted: np.ndarray, idf: np.ndarray) -> Items:
@@ -307,11 +411,17 @@ def _items(rows: list, weighted: np.ndarray, idf: np.ndarray) -> Items:
     for _, words in rows:
         ordered = sorted(set(words.tolist()), key=lambda w: (-idf[w % FEATURES], w))
         rare.append(set(ordered[: max(1, len(ordered) // 2)]))
-    latent = [_latent(w, weighted) for _, w in rows]
+    passages = []
+    for i, (_, words) in enumerate(rows):
+        pieces = 1 if len(words) <= UNCUT else -(-len(words) // PIECE)
+        cuts = [len(words) * p // pieces for p in range(pieces + 1)]
+        passages += [(i, at, to - at) for at, to in zip(cuts, cuts[1:])]
+    latent = [_latent(rows[i][1][at : at + n], weighted) for i, at, n in passages]
     return Items(
         [i for i, _ in rows],
         [w for _, w in rows],
         np.stack(latent) if latent else np.zeros((0, RANK)),
+        passages,
         rare,
     )
 

@@ -232,6 +232,47 @@ def test_decontaminate(spark, odd_docs, no_docs):
     assert find_leaks(docs, bench.limit(0)).count() == 0
 
 
+LENGTHS = (3, 4, 6, 8, 10, 12, 15, 20, 29, 30, 48, 64, 65, 100, 200, 300, 500)
+
+
+def _planted(spark, change):
+    """(documents, benchmark, pairs): four items of every length, each within other words."""
+    rows, bench, pairs = [], [], set()
+    for n in LENGTHS:
+        for copy in range(4):
+            number = n * 10 + copy
+            item = [f"w{i}" for i in np.random.default_rng(number).integers(0, 20_000, n)]
+            held = [w if i % 8 != 4 else w + "x" for i, w in enumerate(item)] if change else item
+            around = [f"w{i}" for i in np.random.default_rng(10**6 + number).integers(0, 20_000, 300)]
+            at = 7 * copy + n % 50
+            rows.append((number, " ".join([*around[:at], *held, *around[at:]])))
+            bench.append((number, " ".join(item)))
+            pairs.add((number, number))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return docs, spark.createDataFrame(bench, "item_id bigint, text string"), pairs
+
+
+@pytest.mark.parametrize("copies", [True, False])
+def test_decontaminate_recall_by_length(spark, monkeypatch, copies):
+    """Every verbatim copy is found at any length; nearly all by the cosine alone."""
+    from pdloom.llm.decontaminate import Items
+
+    if not copies:
+        monkeypatch.setattr(Items, "copies", lambda *_: iter(()))
+    docs, bench, pairs = _planted(spark, change=False)
+    got = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, bench).collect()}
+    assert len(pairs - got) <= (0 if copies else 1), sorted(pairs - got)
+    assert {p for p in got - pairs if p[1] >= 80} == set()
+
+
+def test_decontaminate_changed_copies_by_length(spark):
+    """Copies with one word in eight changed, of short and of cut items."""
+    docs, bench, pairs = _planted(spark, change=True)
+    got = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, bench).collect()}
+    missing = {p for p in pairs - got if p[0] >= 80}
+    assert len(missing) <= 1, sorted(missing)
+
+
 def test_licenses(spark):
     rows = [
         ("1", "a/LICENSE", "Released under the MIT License."),
