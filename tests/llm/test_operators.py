@@ -292,6 +292,38 @@ def test_licenses(spark):
     assert license_scan(df.limit(0)).count() == 0
 
 
+def test_license_texts(spark):
+    """Whole licence texts, as wrapped and with a holder, are licence files; wrapped headers count."""
+    from pdloom.llm.licenses import TEXTS
+
+    def wrapped(text, mark, width):
+        lines, line = [], mark
+        for word in text.split():
+            if len(line) + len(word) > width:
+                lines, line = [*lines, line], mark
+            line += " " + word
+        return "\n".join([*lines, line])
+
+    names = sorted(p.stem for p in TEXTS.glob("*.txt"))
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"} <= set(names)
+    rows, expected = [], {}
+    for name in names:
+        text = "Copyright (c) 2024 Some Holder\n\n" + (TEXTS / f"{name}.txt").read_text()
+        rows += [(name, f"{name}/LICENSE", text), (name + " code", f"{name}/src/a.py", "import os")]
+        expected |= {name: (name, "file"), name + " code": (name, "directory")}
+    code = "\n\n" + "\n".join(f"value_{i} = compute(value_{i - 1})" for i in range(60))
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows += [
+        ("wrapped", "c/w.py", wrapped("A tool. " + notice, "#", 30) + code),
+        ("mit block", "c/m.c", wrapped((TEXTS / "MIT.txt").read_text(), " *", 70) + code),
+        ("isc block", "c/i.c", wrapped((TEXTS / "ISC.txt").read_text(), "//", 70) + code),
+    ]
+    expected |= {"wrapped": ("Apache-2.0", "header")}
+    expected |= {"mit block": ("MIT", "header"), "isc block": ("ISC", "header")}
+    df = spark.createDataFrame(rows, "file_id string, path string, text string")
+    assert {r["file_id"]: (r["license"], r["basis"]) for r in license_scan(df).collect()} == expected
+
+
 def _accuracy(scored, labels, column, held):
     rows = scored.withColumn("held", held).join(labels, "doc_id").where("held").collect()
     assert rows and all(0 <= r["score"] <= 1 for r in rows)
