@@ -26,8 +26,12 @@ from pyspark.sql import functions as F
 from pdloom.llm.common import BROADCAST_ROWS, stored, tasks_for
 from pdloom.llm.components import components
 
-#: Filters that keep a vector, on average, per code, and number of codes.
+#: Filters that keep a vector, on average, per code, and least number of codes.
 KEPT, CODES = 24.0, 3
+#: Share of the pairs at the threshold that may share no filter; codes are added for it.
+MISSED = 0.005
+#: Pairs per code on which the share of one code is calculated.
+TRIALS = 400
 #: Least number of words in a codebook; it grows with the root of the number of vectors.
 LEAST_WORDS = 96
 #: Vectors of one block of a bucket.
@@ -88,16 +92,47 @@ def unit_rows(values: list[bytes]) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def filters(values: list[bytes], words: int) -> list[np.ndarray]:
+def pairs_at(cosine: float, size: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors, and one at exactly that cosine to each."""
+    one, other = np.random.default_rng([seed, size]).normal(size=(2, n, size))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (one * other).sum(1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    return one, cosine * one + np.sqrt(1 - cosine**2) * other
+
+
+def codes_for(sizes: list[int], words: int, cosine: float) -> int:
+    """Number of codes with which at most MISSED of the pairs at the cosine share no filter.
+
+    A code of larger codebooks has a higher bound and misses more pairs. The share one code misses
+    is that of random pairs under a few codes, plus two standard errors; codes are independent.
+    """
+    most = CODES
+    for size in sizes:
+        if size < 2 or cosine >= 1:  # such vectors are equal or opposite
+            continue
+        one, two = pairs_at(cosine, size, TRIALS, 1)
+        missed = 0
+        for c in range(CODES):
+            code = Code.make(size, words, KEPT, c)
+            lists = zip(code.decoded(one), code.decoded(two))
+            missed += sum(not np.intersect1d(a, b, assume_unique=True).size for a, b in lists)
+        share = (missed + 1) / (CODES * TRIALS + 2)
+        share = min(share + 2 * np.sqrt(share * (1 - share) / (CODES * TRIALS)), 0.99)
+        most = max(most, int(np.ceil(np.log(MISSED) / np.log(share))))
+    return most
+
+
+def filters(values: list[bytes], words: int, codes: int = CODES) -> list[np.ndarray]:
     """Filters of vectors of any lengths; a filter's number tells its code and the length."""
     found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(values)
     sizes = np.array([len(v) // 8 for v in values])
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
         unit = unit_rows([values[i] for i in at])
-        lists = [_code(int(size), words, c).decoded(unit) for c in range(CODES)]
+        lists = [_code(int(size), words, c).decoded(unit) for c in range(codes)]
         for k, i in enumerate(at):
-            parts = [(c + CODES * int(size)) * words**2 + x[k] for c, x in enumerate(lists)]
+            parts = [(c + codes * int(size)) * words**2 + x[k] for c, x in enumerate(lists)]
             found[i] = np.concatenate(parts)
     return found
 
@@ -116,10 +151,10 @@ def _bytes_of(batches: Batches) -> Batches:
         )
 
 
-def _sizes(words: int) -> Callable[[Batches], Batches]:
+def _sizes(words: int, codes: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            found = filters(batch.column("value").to_pylist(), words)
+            found = filters(batch.column("value").to_pylist(), words, codes)
             flat = np.concatenate(found) if found else np.zeros(0, np.int64)
             bucket, n = np.unique(flat, return_counts=True)
             yield pa.record_batch([pa.array(bucket), pa.array(n)], names=["bucket", "n"])
@@ -127,7 +162,7 @@ def _sizes(words: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _dealt(words: int, large: dict[int, int]) -> Callable[[Batches], Batches]:
+def _dealt(words: int, codes: int, large: dict[int, int]) -> Callable[[Batches], Batches]:
     """A row per filter of a vector; in a bucket of several blocks one per pair of blocks."""
 
     def run(batches: Batches) -> Batches:
@@ -137,14 +172,15 @@ def _dealt(words: int, large: dict[int, int]) -> Callable[[Batches], Batches]:
                 ids, ns = batch.column("vec_id").to_numpy(), batch.column("n").to_numpy()
                 values = batch.column("value").to_pylist()
                 rows: list[tuple] = []
-                for k, own in enumerate(filters(values, words)):
+                for k, own in enumerate(filters(values, words, codes)):
                     packed = own.astype("<i8").tobytes()
-                    for bucket in own.tolist():
+                    for place, bucket in enumerate(own.tolist()):
+                        before = packed[: 8 * place]  # filters ascend; only smaller ones are asked for
                         blocks = large.get(bucket, 1)
                         mine = int(ids[k]) % blocks
                         for other in range(blocks):
                             a, b = min(mine, other), max(mine, other)
-                            rows.append((bucket, a, b, mine, ids[k], ns[k], values[k], packed))
+                            rows.append((bucket, a, b, mine, ids[k], ns[k], values[k], before))
                 columns = list(zip(*rows)) if rows else [[]] * 8
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(columns, _DEALT.types)], schema=_DEALT
@@ -243,7 +279,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     are ignored. Vectors that are null, empty, zero or hold null or non-finite numbers link with
     nothing; vectors of different lengths don't link. Equal vectors link; rows that repeat a
     vec_id are vectors of their own with one id. An empty table gives no row. The codes grow with
-    the number of vectors, so that buckets stay small.
+    the number of vectors, so that buckets stay small, and there are as many as keep the pairs missed
+    at the threshold within MISSED.
     """
     spark = vectors.sparkSession
     rows = stored(
@@ -259,7 +296,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     )
     total = classes.count()
     words = max(LEAST_WORDS, int(np.ceil(np.sqrt(total))))
-    sizes = classes.mapInArrow(_sizes(words), "bucket bigint, n bigint")
+    lengths = classes.select((F.octet_length("value") / 8).cast("int").alias("size")).distinct()
+    codes = codes_for([r["size"] for r in lengths.collect()], words, cosine)
+    sizes = classes.mapInArrow(_sizes(words, codes), "bucket bigint, n bigint")
     full = sizes.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK)
     large = {r["bucket"]: -(-r["n"] // BLOCK) for r in full.collect()}
     if len(large) > BROADCAST_ROWS:
@@ -269,10 +308,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         " value binary, filters binary"
     )
     unit = ["bucket", "block_a", "block_b"]
-    tasks = tasks_for(spark, int(total * KEPT * CODES), 50_000)
+    tasks = tasks_for(spark, int(total * KEPT * codes), 50_000)
     found = stored(
         classes.select("vec_id", "n", "value")
-        .mapInArrow(_dealt(words, large), schema)
+        .mapInArrow(_dealt(words, codes, large), schema)
         .repartition(tasks, *unit)
         .sortWithinPartitions(*unit)
         .mapInArrow(_linked(cosine), "a bigint, b bigint, n bigint"),

@@ -135,6 +135,18 @@ def test_embeddings(spark):
     assert near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+@pytest.mark.parametrize("size, words", [(16, 96), (64, 96), (16, 1_000), (64, 1_000), (16, 5_000)])
+def test_embedding_recall_by_codebook(size, words):
+    """Pairs at the threshold share a filter at any size of the codebooks, as of large tables."""
+    from pdloom.llm.embeddings import codes_for, filters, pairs_at
+
+    codes = codes_for([size], words, 0.9)
+    lists = [filters([r.tobytes() for r in v], words, codes) for v in pairs_at(0.9, size, 400, 7)]
+    recall = np.mean([np.intersect1d(a, b).size > 0 for a, b in zip(*lists)])
+    print("recall", size, words, codes, recall)
+    assert recall >= 0.9875  # five of 400 missed where two are expected
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", "a\\b<\\|", None, "", "<|turn|>x\n\\", "[\\INST]<|more|>é☃"]
     rows = [(1, i, ("user", "assistant", "assistant")[i % 3], t) for i, t in enumerate(texts)]
