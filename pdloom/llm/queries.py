@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pdloom.llm.common import table
@@ -160,3 +160,102 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("file_id"), path.alias("path"), "text"
     )
     return license_scan(files).withColumnRenamed("file_id", "doc_id")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the words of every tenth document, by its id's checksum, from word a on
+    repeated with a period that its checksum and length give."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", checksum.alias("h")).withColumn(
+        "w",
+        F.when(
+            F.col("h") % 10 == 0,
+            F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""),
+        ),
+    )
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    rows = rows.withColumn("a", F.when(n > 0, g % n))
+    rows = rows.withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + g % 8))))
+    a, p = F.col("a"), F.col("p")
+
+    def source(i: Column) -> Column:
+        return F.when(i < a, i).otherwise(a + (i - a) % p)
+
+    planted = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.element_at("w", (source(i) + 1).cast("int"))
+    )
+    return rows.select(
+        "doc_id", F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+@query("op13_periodic_runs")
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.periodic import periodic_runs
+
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run")))
+    )["run"]
+    told = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("run", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("run.start").alias("start"),
+        F.col("run.length").alias("length"),
+        F.col("run.period").alias("period"),
+        F.floor(1000 * F.col("run.length") / F.col("run.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd's rounds over (part, entry, place, value) rows, each a few common table expressions."""
+    near = """
+near{r} as materialized (
+  select row, part, arg_min(entry, dist * 1000 + entry) as entry, min(dist) as dist from (
+    select p.row, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) as dist
+    from pieces p join book{r} b on p.part = b.part and p.place = b.place
+    group by p.row, p.part, b.entry) group by row, part),"""
+    step = """
+book{s} as materialized (
+  select b.part, b.entry, b.place, coalesce(m.x, b.x) as x from book{r} b left join (
+    select n.part, n.entry, p.place, ((sum(p.x) - ((sum(p.x) % count(*)) + count(*)) % count(*))
+      // count(*))::bigint as x
+    from near{r} n join pieces p on n.row = p.row and n.part = p.part
+    group by n.part, n.entry, p.place) m
+  on b.part = m.part and b.entry = m.entry and b.place = m.place),"""
+    chain = "".join(near.format(r=r) + step.format(r=r, s=r + 1) for r in range(rounds))
+    return f"""
+with kept as materialized (
+  select row_number() over (order by vec_id) - 1 as row, vec_id, label, embedding as v from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding,
+    lambda x: x is not null and isfinite(x)))),
+spread as (
+  select row, unnest(generate_series(0, len(v) - 1)) as i, len(v) // {parts} as width,
+    unnest(list_transform(v, lambda x: floor(4096 * x::double)::bigint)) as x from kept),
+pieces as materialized (select row, i // width as part, i % width as place, x from spread),
+book0 as materialized (select part, row as entry, place, x from pieces where row < {entries}),
+{chain}
+{near.format(r=rounds)}
+coded as (
+  select row, string_agg(printf('%02x', entry), '' order by part) as code, sum(dist)::bigint as error
+  from near{rounds} group by row),
+books as (
+  select sha256(string_agg(x::varchar, ',' order by part, entry, place)) as digest from book{rounds})
+select vec_id, code, error,
+  (sum(error) over (partition by label))::bigint as label_error, digest as codebooks_sha256
+from kept join coded using (row), books"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.vector_codes import compress_vectors
+
+    found, books = compress_vectors(table(spark, sf_dir, "embeddings"), vector_col="embedding")
+    return found.select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
