@@ -259,3 +259,18 @@ def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
     )
+
+
+@query("op11_repeated_bytes")
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pdloom.llm.repeats import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
