@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,42 +24,18 @@ from pdloom.constants import (
     TARGET,
     TARGET_MEAN_MAX,
 )
-from pdloom.functions.columns import is_missing, quoted
+from pdloom.functions.columns import quoted
 from pdloom.operators.lookup import fits_broadcast, is_small, key_bytes, lookup_join
+from pdloom.operators.positions import (
+    CategoryPositions,
+    VectorPlan,
+    category_counts,
+    category_text,
+    fit_positions,
+    output_names,
+)
 from pdloom.session import materialize
 
-MAX_ONE_HOT = 2_000
-
-
-def category_text(df: DataFrame, column: str) -> Column:
-    """Category as text; NaN counts as missing."""
-    field = df.schema[column]
-    value = quoted(column)
-    return F.when(~is_missing(value, field.dataType), value.cast("string"))
-
-
-def category_counts(
-    df: DataFrame, columns: Sequence[str], target: str | None = None, fold: Column | None = None
-) -> DataFrame:
-    """Rows (and positives) per feature, category and fold, all columns in one pass."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), category_text(df, c).alias("category"))
-            for c in columns
-        ]
-    )
-    extra = {}
-    if target is not None:
-        extra["_y"] = quoted(target).cast("double")
-    if fold is not None:
-        extra["fold"] = fold
-    rows = df.select(F.explode(pairs).alias("p"), *[v.alias(k) for k, v in extra.items()])
-    keys = ["feature", "category", *(["fold"] if fold is not None else [])]
-    aggs = [F.count("*").alias("n")]
-    if target is not None:
-        aggs.append(F.sum("_y").alias("positives"))
-    return rows.select("p.*", *extra).groupBy(*keys).agg(*aggs)
-
 
 def fold_of(id_col: str, folds: int) -> Column:
     """Fold of a row from a hash of its id, so that any run gives the same folds."""
@@ -205,16 +182,23 @@ def oof_target_mean(
 
 @dataclass(frozen=True)
 class OneHotEncoder:
-    """0/1 columns of the categories seen in training, and one for null."""
+    """The categories seen in training and null, as 0/1 columns or as a sparse vector."""
 
     column: str
-    categories: tuple[str, ...]
+    positions: CategoryPositions
     null_column: bool = True
+    others: tuple[str, ...] = ()
+    taken: tuple[str, ...] = ()
 
-    @property
+    @cached_property
+    def categories(self) -> tuple[str, ...]:
+        return tuple(c for c in self.positions.categories(self.column) if c is not None)
+
+    @cached_property
     def outputs(self) -> list[str]:
-        names = [f"{self.column}_{value}" for value in self.categories]
-        return names + ([f"{self.column}_{NULL_CATEGORY}"] if self.null_column else [])
+        """A name per category; no two categories, nor null, share one."""
+        told = [*self.categories, *([None] if self.null_column else [])]
+        return output_names(self.column, told, NULL_CATEGORY, self.others, self.taken)
 
     def expressions(self, df: DataFrame) -> dict[str, Column]:
         value = category_text(df, self.column)
@@ -227,20 +211,40 @@ class OneHotEncoder:
         """Adds the columns; a category not seen in training sets none of them."""
         return df.withColumns(self.expressions(df))
 
+    @property
+    def width(self) -> int:
+        """Length of the vector: the seen categories, then null."""
+        return self.positions.sizes[self.column] + self.null_column
+
+    def index(self, df: DataFrame, output: str) -> DataFrame:
+        """Adds the position of a row's category, by a join; ``width`` for an unknown one."""
+        value = category_text(df, self.column)
+        known = self.positions.index(df, self.column, value, output)
+        size = F.lit(float(self.positions.sizes[self.column]))
+        # A null is no category of the table: its place is the last one.
+        unknown = F.col(output) == size
+        place = F.when(unknown & value.isNull() & F.lit(self.null_column), size)
+        return known.withColumn(
+            output, F.when(unknown, F.coalesce(place, F.lit(float(self.width)))).otherwise(F.col(output))
+        )
+
+    def vectors(self, df: DataFrame, output: str) -> DataFrame:
+        """Adds one sparse vector in the order of ``outputs``, with no column per category."""
+        return VectorPlan(0, (self.width,)).assemble(self.index(df, "_index0"), output)
+
 
 def fit_one_hot(
-    train: DataFrame, columns: Sequence[str], null_column: bool = True, most: int = MAX_ONE_HOT
+    train: DataFrame, columns: Sequence[str], null_column: bool = True, taken: Sequence[str] = ()
 ) -> dict[str, OneHotEncoder]:
-    """Sorted categories of each column; raises when a column has more than ``most``."""
-    counts = category_counts(train, columns).where(F.col("category").isNotNull())
-    rows = counts.select("feature", "category").limit(most * len(columns) + 1).collect()
-    seen: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
-        seen[row["feature"]].append(row["category"])
-    for column, values in seen.items():
-        if len(values) > most or len(rows) > most * len(columns):
-            raise ValueError(f"too many categories to one-hot encode: {column}")
-    return {c: OneHotEncoder(c, tuple(sorted(v)), null_column) for c, v in seen.items()}
+    """Encoders of the categories of each column, any number of them, from one pass.
+
+    ``taken`` are names of other columns the outputs must differ from.
+    """
+    positions = fit_positions(train, columns, with_null=False)
+    return {
+        c: OneHotEncoder(c, positions, null_column, tuple(o for o in columns if o != c), tuple(taken))
+        for c in columns
+    }
 
 
 def category_cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:

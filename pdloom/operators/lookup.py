@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pdloom.functions.columns import quoted
 from pdloom.session import materialize
@@ -33,6 +34,10 @@ def fits_broadcast(table: DataFrame, key: str) -> bool:
     return is_small(row["n"], row["bytes"])
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    return [quoted(f.name) for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+
+
 def lookup_join(
     df: DataFrame,
     table: DataFrame,
@@ -85,7 +90,8 @@ def lookup_join(
     if not match_null:
         for i in range(len(keys)):
             settled = settled | F.col(f"_k{i}_null")
-    salt = (F.monotonically_increasing_id() % SALTS).cast("int") + 1
+    # From the row itself, so that a task run again after a loss sends it to the same place.
+    salt = F.pmod(F.xxhash64(*_hashable(df)), F.lit(SALTS)).cast("int") + 1
     joined = (
         df.join(F.broadcast(hot), parts, "left")
         .withColumn("_salt", F.when(settled, salt).otherwise(F.lit(0)))

@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
 )
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +20,12 @@ from pdloom.constants import MAX_AUC_GAP, MAX_BASELINE_AUC, TARGET, TUNING_GRID
 from pdloom.functions.columns import quoted
 from pdloom.operators.metrics import roc_auc
 from pdloom.operators.ordering import split_points
-from pdloom.operators.preprocess import Preprocessor, fit_preprocess, weight_column
+from pdloom.operators.preprocess import (
+    FeatureVectors,
+    Preprocessor,
+    fit_preprocess,
+    weight_column,
+)
 from pdloom.session import cached, materialize, shared_dir, small_table
 
 HASH_BITS = 12
@@ -35,9 +39,8 @@ def _training_rows(
 
 
 def assemble(pre: Preprocessor) -> PipelineModel:
-    """Preprocessing and the feature vector as one saved-with-the-model pipeline."""
-    vector = VectorAssembler(inputCols=pre.outputs, outputCol="features", handleInvalid="keep")
-    return PipelineModel([pre.stage(), vector])
+    """Preprocessing into the feature vector as a pipeline saved with the model."""
+    return PipelineModel([pre.stage()])
 
 
 def train_lr(
@@ -110,9 +113,8 @@ def score_loans(model: Transformer, df: DataFrame, output: str = "pd") -> DataFr
 
 def linear_terms(model: PipelineModel) -> tuple[dict[str, float], float]:
     """Coefficient per feature name, and the intercept, of a fitted logistic pipeline."""
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    names = next(s for s in model.stages if isinstance(s, FeatureVectors)).pre.outputs
     fitted = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
-    names = assembler.getInputCols()
     return dict(zip(names, fitted.coefficients.toArray().tolist())), fitted.intercept
 
 

@@ -31,6 +31,7 @@ from pdloom.operators.features import (
     loan_age_months,
     numeric_log_plan,
 )
+from pdloom.operators.positions import VectorPlan
 
 DOMAIN = ("loan_to_income", "term_months", "grade_numeric", "sub_grade_numeric")
 
@@ -115,6 +116,28 @@ class FeatureMatrix:
         """``keep`` columns, the target if present, and every feature column."""
         return self._select(self._encoded(self._plain(df, reference)), keep)
 
+    def transform_vectors(
+        self, df: DataFrame, keep: Sequence[str] = (), reference: dt.date | None = None
+    ) -> DataFrame:
+        """``keep`` columns, the target if present, and one vector ``features`` in the order of
+        ``vector_columns``: sparse, without a column per category."""
+        rows = self._plain(df, reference)
+        for encoder in self.lookups.values():
+            rows = encoder.transform(rows)
+        for i, encoder in enumerate(self.one_hot.values()):
+            rows = encoder.index(rows, f"_index{i}")
+        numbers = [*section_outputs(self.spec), *self.domain, *self.lookups]
+        rows = rows.withColumns({f"_number{i}": quoted(c).cast("double") for i, c in enumerate(numbers)})
+        widths = tuple(encoder.width for encoder in self.one_hot.values())
+        names = [*keep, *([self.target] if self.target in df.columns else [])]
+        return VectorPlan(len(numbers), widths).assemble(rows, "features").select(*names, "features")
+
+    @property
+    def vector_columns(self) -> list[str]:
+        """Names of the entries of ``transform_vectors``."""
+        names = [*section_outputs(self.spec), *self.domain, *self.lookups]
+        return names + [o for encoder in self.one_hot.values() for o in encoder.outputs]
+
     def transform_train(
         self, df: DataFrame, id_col: str, keep: Sequence[str] = (), folds: int = 5
     ) -> DataFrame:
@@ -189,7 +212,7 @@ def fit_feature_matrix(
     return FeatureMatrix(
         spec,
         reference,
-        fit_one_hot(aligned, one_hot) if one_hot else {},
+        fit_one_hot(aligned, one_hot, taken=[*section_outputs(spec), *DOMAIN]) if one_hot else {},
         fit_lookup_encoders(aligned, shares, means, target),
         target,
     )

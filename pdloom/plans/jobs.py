@@ -112,7 +112,7 @@ def explain_job(
     split = prepare_split(features, date_col, id_col, target, train_fraction)
     holdout = split.where(F.col("split") == "holdout")
     coefficients, _ = linear_terms(fitted)
-    prepared = fitted.stages[0]
+    prepared = fitted.stages[0].pre
     names = list(coefficients)
     base = holdout if background is None else sample_rows(holdout, background, id_col, seed)
     means = background_means(prepared.transform(base), names)

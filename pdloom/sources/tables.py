@@ -18,6 +18,8 @@ from pdloom.operators.cleaning import require_columns, require_rows
 from pdloom.operators.encoders import LookupEncoder, OneHotEncoder
 from pdloom.operators.lookup import fits_broadcast
 from pdloom.operators.models import apply_sigmoid, score_loans
+from pdloom.operators.positions import load_positions
+from pdloom.operators.preprocess import FeatureVectors
 from pdloom.plans.feature_matrix import FeatureMatrix
 from pdloom.session import small_table
 
@@ -73,6 +75,7 @@ class ModelBundle:
         return apply_sigmoid(scored, *self.calibration) if self.calibration else scored
 
 
+_CATEGORIES = "feature string, category string, n long, position long, stage string"
 _ENCODERS = (
     "output string, column string, prior double, total long, match_null boolean, "
     "category string, n long, value double"
@@ -91,6 +94,16 @@ def save_bundle(
     """Write model, encoder tables, metadata and calibration below ``root/name``."""
     folder = f"{root.rstrip('/')}/{name}"
     model.write().overwrite().save(f"{folder}/model")
+    prepared = [s for s in model.stages if isinstance(s, FeatureVectors)]
+    categories = small_table(spark, [], _CATEGORIES)
+    for i, stage in enumerate(prepared):
+        if stage.pre.positions is not None:
+            table = stage.pre.positions.table.withColumn("stage", F.lit(f"model-{i}"))
+            categories = categories.unionByName(table)
+    if features is not None and features.one_hot:
+        positions = next(iter(features.one_hot.values())).positions
+        categories = categories.unionByName(positions.table.withColumn("stage", F.lit("one_hot")))
+    write_table(categories, f"{folder}/categories", overwrite=True)
     plan: dict[str, Any] | None = None
     if features is not None:
         tables = small_table(spark, [], _ENCODERS)
@@ -112,7 +125,9 @@ def save_bundle(
             "spec": features.spec,
             "reference": features.reference.isoformat() if features.reference else None,
             "target": features.target,
-            "one_hot": {c: list(e.categories) for c, e in features.one_hot.items()},
+            "one_hot": {
+                c: [e.null_column, e.others, e.taken] for c, e in features.one_hot.items()
+            },
             "lookups": {
                 o: [e.column, e.prior, e.total, e.match_null] for o, e in features.lookups.items()
             },
@@ -144,6 +159,11 @@ def load_bundle(spark: SparkSession, root: str, name: str | None = None) -> Mode
     row = spark.read.schema(kinds).json(f"{folder}/metadata").first()
     plan = json.loads(row["plan"])
     features = None
+    categories = spark.read.parquet(f"{folder}/categories")
+
+    def categories_of(stage: str) -> DataFrame:
+        return categories.where(F.col("stage") == stage).drop("stage")
+
     if plan is not None:
         tables = spark.read.parquet(f"{folder}/encoders")
         lookups = {}
@@ -155,14 +175,21 @@ def load_bundle(spark: SparkSession, root: str, name: str | None = None) -> Mode
                 column, output, table, prior, total, match_null, fits_broadcast(table, "category")
             )
         reference = plan["reference"]
+        kept = plan["one_hot"]
+        positions = load_positions(categories_of("one_hot"), list(kept)) if kept else None
         features = FeatureMatrix(
             plan["spec"] or FEATURE_SPEC,
             dt.date.fromisoformat(reference) if reference else None,
-            {c: OneHotEncoder(c, tuple(v)) for c, v in plan["one_hot"].items()},
+            {
+                c: OneHotEncoder(c, positions, null_column, tuple(others), tuple(taken))
+                for c, (null_column, others, taken) in kept.items()
+            },
             lookups,
             plan["target"],
         )
     model = PipelineModel.load(f"{folder}/model")
+    for i, stage in enumerate(s for s in model.stages if isinstance(s, FeatureVectors)):
+        stage.attach_table(categories_of(f"model-{i}"))
     slope_intercept = json.loads(row["calibration"] or "null")
     calibration = tuple(slope_intercept) if slope_intercept else None
     return ModelBundle(name, model, features, json.loads(row["metadata"]), calibration)

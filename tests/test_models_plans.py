@@ -72,7 +72,7 @@ def test_baseline_is_better_than_chance(baseline, prepared):
 def test_attributions_add_up(baseline, prepared):
     pre, model = baseline
     beta, intercept = models.linear_terms(model)
-    rows = model.stages[0].transform(prepared)
+    rows = model.stages[0].pre.transform(prepared, prepared.columns)
     means = attribution.background_means(rows, list(beta))
     scored = attribution.top_factors(rows, beta, intercept, means, 10, "m")
     pds = models.score_loans(model, prepared).select("loan_id", F.col("pd").alias("p"))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pdloom.operators import encoders, lookup, ordering, splits
+from pdloom.operators import encoders, lookup, ordering, positions, preprocess, splits
 
 
 @pytest.fixture(scope="module")
@@ -172,8 +172,52 @@ def test_one_hot(categories):
     flags = fitted.transform(categories)
     total = sum(F.col(f"`{c}`") for c in fitted.outputs)
     assert flags.select(total.alias("t")).where("t <> 1").isEmpty()
-    with pytest.raises(ValueError):
-        encoders.fit_one_hot(categories, ["job"], most=10)
+
+
+@pytest.mark.parametrize("local", [5_000, 10])
+def test_many_categories_become_sparse_vectors(spark, monkeypatch, local):
+    monkeypatch.setattr(positions, "LOCAL_CATEGORIES", local)
+    count = 50_000 if local == 10 else 4_900
+    rows = spark.range(2 * count).select(
+        "id",
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("c"), F.col("id") % count)).alias("c"),
+    )
+    fitted = encoders.fit_one_hot(rows, ["c"])["c"]
+    assert fitted.width == count + 1
+    names = sorted(f"c{i}" for i in range(count))
+    if local > 10:
+        assert list(fitted.categories) == names
+    tested = rows.where("id < 2000").unionByName(spark.createDataFrame([(-1, "new")], rows.schema))
+    got = fitted.vectors(tested, "v").collect()
+    place = {n: i for i, n in enumerate(names)}
+    assert len(got) == 2001
+    for r in got:
+        wanted = [] if r["c"] == "new" else [count if r["c"] is None else place[r["c"]]]
+        assert r["v"].size == count + 1 and list(r["v"].indices) == wanted
+
+
+def test_names_never_collide(spark):
+    df = spark.createDataFrame(
+        [("a.b", "c"), ("a_b", "x"), ("nan", "<NA>"), (None, None), ("<NA>", "=<NA>"), ("b_c", "c")],
+        "a string, a_b string",
+    )
+    fitted = encoders.fit_one_hot(df, ["a", "a_b"], taken=["a_b", "loan"])
+    names = fitted["a"].outputs + fitted["a_b"].outputs
+    assert len(set(names)) == len(names) == 6 + 5 and "a_a.b" in names and "a_a_b" in names
+    flags = fitted["a_b"].transform(fitted["a"].transform(df))
+    assert flags.select(sum(F.col(f"`{n}`") for n in names).alias("t")).distinct().collect()[0]["t"] == 2
+    pre = preprocess.fit_preprocess(df, [], ["a", "a_b"], impute=False)
+    assert len(set(pre.outputs)) == pre.width == 6 + 5
+    wide = [list(r) for r in pre.transform(df).collect()]
+    sparse = [r["features"].toArray().tolist() for r in pre.vectors(df).collect()]
+    assert wide == sparse
+
+
+def test_numbered_is_the_rank(spark):
+    df = spark.range(3_000).select(F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("h"), "id")
+    ranked = positions.numbered(df, ["h", "id"], "rank").orderBy("rank").collect()
+    assert [r["rank"] for r in ranked] == list(range(3_000))
+    assert [(r["h"], r["id"]) for r in ranked] == sorted((r["h"], r["id"]) for r in ranked)
 
 
 def test_group_rare(categories):
