@@ -17,6 +17,7 @@ from pdloom.catalog.base import (
     split2,
     using,
 )
+from pdloom.catalog.model_sql import balanced, filled_inputs, flag_inputs, newton_steps
 from pdloom.operators import attribution, metrics, models, preprocess, splits
 from pdloom.plans.feature_matrix import align_features, fit_feature_matrix
 from pdloom.plans.validate import importance_checks, validate_matrix
@@ -272,6 +273,7 @@ def class_weights(spark, sf):
 
 _MODEL_NUMERIC = ["loan_amnt", "annual_inc", "int_rate", "dti", "term_months", "grade_numeric"]
 _MODEL_TEXT = ["term", "home_ownership"]
+_HOMES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def _baseline(spark, sf):
@@ -282,17 +284,54 @@ def _baseline(spark, sf):
         return rows, pre, models.train_lr(train, pre)
 
 
-@query("train_lr")
+_MODEL_INPUTS = [
+    *filled_inputs("split2", "part1", _MODEL_NUMERIC),
+    *flag_inputs("part1", {"term": _TERMS, "home_ownership": _HOMES}),
+]
+_BASELINE = {
+    "part1": "select * from split2 where split = 'train'",
+    "prepared": f"""select loan_id, split, "default", [{', '.join(f'({x})::double' for x in _MODEL_INPUTS)},
+        1.0::double] as inputs, {balanced("part1")} as w from split2""",
+    **newton_steps(
+        "(select * from prepared where split = 'train')",
+        [f"inputs[{i + 1}]" for i in range(len(_MODEL_INPUTS))],
+        '"default"',
+        "w",
+    ),
+    "margins": """select loan_id, split, "default", list_dot_product(inputs, beta) as margin
+        from prepared, fitted_lr""",
+    "scored": "select *, round(1 / (1 + exp(-margin)), 9) as prob from margins",
+}
+_AT_HALF = {name: body.replace("0.3", "0.5") for name, body in _RANKED.items()}
+_EVALUATED = """select split, cast(0.5 as double) as threshold, round(roc_auc, 6) as roc_auc,
+    round(avg_precision, 6) as pr_auc, round(brier, 6) as brier,
+    round(log_loss, 6) as log_loss, tn, fp, fn, tp, round(precision, 6) as precision,
+    round(recall, 6) as recall, round(f1, 6) as f1
+    from auc join ap using (split) join losses using (split)
+    join confusion using (split) join prf using (split)"""
+_METRICS = ["roc_auc", "pr_auc", "brier", "log_loss", "precision", "recall", "f1"]
+
+
+@query("train_lr", using("split2", _EVALUATED, **_BASELINE, **_AT_HALF))
 def train_lr(spark, sf):
     rows, _, model = _baseline(spark, sf)
-    scored_rows = materialize(models.score_loans(model, rows).select("split", "default", "pd"))
-    return metrics.evaluate_binary(scored_rows, "default", "pd", by=["split"])
+    scored_rows = rounded(models.score_loans(model, rows).select("split", "default", "pd"), 9, "pd")
+    found = metrics.evaluate_binary(materialize(scored_rows), "default", "pd", by=["split"])
+    return rounded(found, 6, *_METRICS)
 
 
-@query("score_loans")
+@query(
+    "score_loans",
+    using(
+        "split2",
+        "select loan_id, split, round(1 / (1 + exp(-margin)), 6) as pd, round(margin, 6) + 0 as margin from margins",
+        **_BASELINE,
+    ),
+)
 def score_loans(spark, sf):
     rows, _, model = _baseline(spark, sf)
-    return models.score_loans(model, rows).select("loan_id", "split", "pd", "margin")
+    found = models.score_loans(model, rows).select("loan_id", "split", "pd", "margin")
+    return rounded(found, 6, "pd", "margin")
 
 
 def _boosted(rows, rounds):
@@ -342,12 +381,6 @@ def _split3_matrix(spark, sf):
     return plan.transform(dated, ["loan_id", "split"]), plan
 
 
-@query("canary_lr")
-def canary_lr(spark, sf):
-    matrix, plan = _split3_matrix(spark, sf)
-    return models.canary_lr(part(matrix, "train"), part(matrix, "val"), plan.feature_columns)
-
-
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     rows, pre, model = _baseline(spark, sf)
@@ -495,8 +528,6 @@ def top_factors(spark, sf):
 
 # ---------------------------------------------------------------- composite jobs
 
-_HOMES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
 
 def _one_hot_sql(column: str, values) -> str:
     parts = [
@@ -549,6 +580,58 @@ def feature_matrix(spark, sf):
     return rounded(plan.transform(rows, ["loan_id"]), 9, *_MEAN_COLUMNS)
 
 
+# Median-filled, scaled features of the matrix; a feature missing everywhere is left out.
+_MATRIX3 = {
+    "wide": f"""select * replace (trim(term) as term), {DATE} as d from split3""",
+    **{k: v.replace("split2", "split3") for k, v in _MATRIX_STEPS.items()},
+    "matrix": _MATRIX_SQL.replace("round(ln(1 + greatest(annual_inc, 0)), 9)", "ln(1 + greatest(annual_inc, 0))")
+    .replace("round(coalesce(em, prior), 9)", "coalesce(em, prior)")
+    .replace("round(coalesce(sm, prior), 9)", "coalesce(sm, prior)")
+    + """, "default", split from wide cross join fitted left join emp using (emp_length)
+    left join sub using (sub_grade)""",
+    "part1": "select * from matrix where split = 'train'",
+}
+_MATRIX_FEATURES = [
+    "loan_amnt", "annual_inc", "int_rate", "dti", "annual_inc__log1p", "loan_to_income", "term_months",
+    "grade_numeric", "sub_grade_numeric", "issue_d_year", "issue_d_month", "issue_d_quarter",
+    "loan_age_months", *[f"grade_{g}" for g in "ABCDEFG"], '"grade_<NA>"', '"term_36 months"',
+    '"term_60 months"', '"term_<NA>"', *[f"home_ownership_{h}" for h in _HOMES],
+    '"home_ownership_<NA>"', "emp_length__target_mean", "sub_grade__target_mean",
+]
+_CANARY = {
+    **_MATRIX3,
+    "prepared": f"""select split, "default",
+        [{', '.join(f'({x})::double' for x in filled_inputs("matrix", "part1", _MATRIX_FEATURES, center=False))},
+        1.0::double] as inputs, {balanced("part1")} as w from matrix where split <> 'test'""",
+    **newton_steps(
+        "(select * from prepared where split = 'train')",
+        [f"inputs[{i + 1}]" for i in range(len(_MATRIX_FEATURES))],
+        '"default"',
+        "w",
+    ),
+    "scored": """select split, "default", round(1 / (1 + exp(-list_dot_product(inputs, beta))), 9)
+        as prob from prepared, fitted_lr""",
+    **{k: _RANKED[k] for k in ("counts", "curve", "auc")},
+    "areas": """select max(roc_auc) filter (where split = 'train') as t,
+        max(roc_auc) filter (where split = 'val') as v from auc""",
+}
+
+
+@query(
+    "canary_lr",
+    using(
+        "split3",
+        """select round(t, 6) as train_auc, round(v, 6) as val_auc, round(t - v, 6) + 0 as auc_gap,
+        v <= 0.95 as auc_ok, t - v <= 0.1 as gap_ok from areas""",
+        **_CANARY,
+    ),
+)
+def canary_lr(spark, sf):
+    matrix, plan = _split3_matrix(spark, sf)
+    found = models.canary_lr(part(matrix, "train"), part(matrix, "val"), plan.feature_columns)
+    return rounded(found, 6, "train_auc", "val_auc", "auc_gap")
+
+
 @query(
     "align_features",
     using(

@@ -7,11 +7,7 @@ from itertools import product
 from typing import Any
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,25 +15,20 @@ from pyspark.sql import functions as F
 from pdloom.constants import MAX_AUC_GAP, MAX_BASELINE_AUC, TARGET, TUNING_GRID
 from pdloom.functions.columns import quoted
 from pdloom.operators.metrics import roc_auc
+from pdloom.operators.newton import WIDEST, LinearScorer, fit_logistic
 from pdloom.operators.ordering import split_points
 from pdloom.operators.preprocess import (
     FeatureVectors,
     Preprocessor,
+    balanced_weight,
+    class_weights,
     fit_preprocess,
-    weight_column,
 )
 from pdloom.session import cached, materialize, shared_dir, small_table
 
 HASH_BITS = 12
 
 
-def _training_rows(
-    train: DataFrame, pre: Preprocessor, target: str, weight: Column
-) -> DataFrame:
-    rows = train.withColumns({"label": quoted(target).cast("double"), "weight": weight})
-    return assemble(pre).transform(rows).select("features", "label", "weight")
-
-
 def assemble(pre: Preprocessor) -> PipelineModel:
     """Preprocessing into the feature vector as a pipeline saved with the model."""
     return PipelineModel([pre.stage()])
@@ -51,18 +42,33 @@ def train_lr(
     max_iter: int = 2000,
     balanced: bool = True,
 ) -> PipelineModel:
-    """L2 logistic regression; ``c`` is the inverse penalty on the sum of losses."""
+    """L2 logistic regression; ``c`` is the inverse penalty on the sum of losses.
+
+    Newton steps while the products of the features fit a task (``newton.WIDEST`` features), else
+    L-BFGS; both end at the one optimum.
+    """
+    counts = {r[target]: r["n"] for r in class_weights(train, target).collect()}
+    n = sum(counts.values())
     # Balanced weights add up to the number of rows, so the penalty scale is the same.
-    weight = weight_column(train, target) if balanced else F.lit(1.0)
-    rows = _training_rows(train, pre, target, weight)
+    weight = balanced_weight(counts, target) if balanced else F.lit(1.0)
+    stages = assemble(pre).stages
+    rows = stages[0].transform(
+        train.withColumns({"label": quoted(target).cast("double"), "weight": weight})
+    )
+    if pre.width <= WIDEST:
+        numbers = rows.select(vector_to_array("features").alias("x"), "label", "weight")
+        with cached(numbers.where("label is not null")) as known:
+            terms, intercept = fit_logistic(known, pre.width, 1.0 / c, max_iter)
+        scorer = LinearScorer(coefficients=terms.tolist(), intercept=intercept)
+        return PipelineModel([*stages, scorer])
     model = LogisticRegression(
         weightCol="weight",
-        regParam=1.0 / (c * train.count()),
+        regParam=1.0 / (c * n),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-    ).fit(rows)
-    return PipelineModel([*assemble(pre).stages, model])
+    ).fit(rows.select("features", "label", "weight"))
+    return PipelineModel([*stages, model])
 
 
 def train_gbt(
@@ -114,8 +120,12 @@ def score_loans(model: Transformer, df: DataFrame, output: str = "pd") -> DataFr
 def linear_terms(model: PipelineModel) -> tuple[dict[str, float], float]:
     """Coefficient per feature name, and the intercept, of a fitted logistic pipeline."""
     names = next(s for s in model.stages if isinstance(s, FeatureVectors)).pre.outputs
-    fitted = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
-    return dict(zip(names, fitted.coefficients.toArray().tolist())), fitted.intercept
+    fitted = model.stages[-1]
+    if isinstance(fitted, LinearScorer):
+        terms, intercept = fitted.terms()
+    else:
+        terms, intercept = fitted.coefficients.toArray().tolist(), fitted.intercept
+    return dict(zip(names, terms)), intercept
 
 
 def calibrate_sigmoid(scored: DataFrame, target: str = TARGET, margin: str = "margin"):
@@ -132,12 +142,10 @@ def calibrate_sigmoid(scored: DataFrame, target: str = TARGET, margin: str = "ma
         F.struct(F.lit(1.0).alias("label"), share.alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1 - share).alias("weight")),
     )
-    rows = scored.select(
-        array_to_vector(F.array(quoted(margin).cast("double"))).alias("features"),
-        F.inline(both),
-    )
-    fitted = LogisticRegression(weightCol="weight", regParam=0.0, standardization=False).fit(rows)
-    return fitted.coefficients[0], fitted.intercept
+    rows = scored.select(F.array(quoted(margin).cast("double")).alias("x"), F.inline(both))
+    with cached(rows) as known:
+        slopes, intercept = fit_logistic(known, 1)
+    return float(slopes[0]), intercept
 
 
 def apply_sigmoid(
@@ -198,7 +206,8 @@ def canary_lr(
     both = train.select(*features, target, F.lit("train").alias("part")).unionByName(
         val.select(*features, target, F.lit("val").alias("part"))
     )
-    scored = materialize(score_loans(model, both).select("part", target, "pd"))
+    scored = score_loans(model, both).select("part", target, F.round("pd", 9).alias("pd"))
+    scored = materialize(scored)
     areas = roc_auc(scored, target, "pd", by=["part"])
     wide = areas.agg(
         F.max(F.when(F.col("part") == "train", F.col("roc_auc"))).alias("train_auc"),
