@@ -7,13 +7,14 @@ from itertools import product
 from typing import Any
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pdloom.constants import MAX_AUC_GAP, MAX_BASELINE_AUC, TARGET, TUNING_GRID
 from pdloom.functions.columns import quoted
+from pdloom.operators.boosting import BoostedScorer, BoostParams, fit_boosted, prefix_margins
 from pdloom.operators.metrics import roc_auc
 from pdloom.operators.newton import WIDEST, LinearScorer, fit_logistic
 from pdloom.operators.ordering import split_points
@@ -24,7 +25,7 @@ from pdloom.operators.preprocess import (
     class_weights,
     fit_preprocess,
 )
-from pdloom.session import cached, materialize, shared_dir, small_table
+from pdloom.session import cached, materialize, small_table
 
 HASH_BITS = 12
 
@@ -71,6 +72,27 @@ def train_lr(
     return PipelineModel([*stages, model])
 
 
+def _boosting_rows(
+    df: DataFrame,
+    pre: Preprocessor,
+    target: str,
+    id_col: str | None,
+    validation_share: float,
+    seed: int,
+) -> DataFrame:
+    """Features as an array, the label, a key that draws samples and the rows kept for validation."""
+    rows = assemble(pre).transform(df.where(quoted(target).isNotNull()))
+    x = vector_to_array("features")
+    if id_col is None:
+        key, valid = F.xxhash64(x), F.lit(False)
+    else:
+        key = F.xxhash64(quoted(id_col))
+        bucket = F.pmod(F.xxhash64(quoted(id_col), F.lit(seed)), F.lit(1000))
+        valid = bucket < int(1000 * validation_share)
+    label = quoted(target).cast("double").alias("label")
+    return rows.select(x.alias("x"), label, key.alias("key"), valid.alias("valid"))
+
+
 def train_gbt(
     train: DataFrame,
     pre: Preprocessor,
@@ -84,26 +106,15 @@ def train_gbt(
     subsample: float = 1.0,
     column_share: float = 1.0,
     seed: int = 42,
+    leaves: int | None = 31,
 ) -> PipelineModel:
-    """Boosted trees; with ``id_col`` a fixed share of the rows stops the rounds early."""
-    shared_dir(train.sparkSession)
-    rows = train.withColumn("label", quoted(target).cast("double"))
-    booster = GBTClassifier(
-        maxDepth=max_depth,
-        stepSize=step,
-        maxIter=rounds,
-        minInstancesPerNode=min_leaf,
-        subsamplingRate=subsample,
-        featureSubsetStrategy="all" if column_share >= 1.0 else str(column_share),
-        checkpointInterval=10,
-        seed=seed,
+    """Histogram boosting; with ``id_col`` a fixed share of the rows stops the rounds early."""
+    params = BoostParams(
+        rounds, max_depth, step, min_leaf, leaves, 0.0, subsample, column_share, seed
     )
-    if id_col is not None:
-        bucket = F.pmod(F.xxhash64(quoted(id_col), F.lit(seed)), F.lit(1000))
-        rows = rows.withColumn("is_validation", bucket < int(1000 * validation_share))
-        booster = booster.setValidationIndicatorCol("is_validation")
-    model = booster.fit(assemble(pre).transform(rows))
-    return PipelineModel([*assemble(pre).stages, model])
+    with cached(_boosting_rows(train, pre, target, id_col, validation_share, seed)) as rows:
+        boosted = fit_boosted(rows, pre.width, [params])[0]
+    return PipelineModel([*assemble(pre).stages, BoostedScorer(model=boosted.to_json())])
 
 
 def score_loans(model: Transformer, df: DataFrame, output: str = "pd") -> DataFrame:
@@ -162,29 +173,48 @@ def tune_grid(
     categorical: Sequence[str] = (),
     target: str = TARGET,
     grid: Mapping[str, Sequence[Any]] = TUNING_GRID,
-    **fixed: Any,
+    id_col: str | None = None,
+    min_leaf: int = 1,
 ) -> DataFrame:
-    """Area on the holdout of every grid point; ``is_best`` marks the first best one."""
+    """Area on the holdout of every grid point; ``is_best`` marks the first best one.
+
+    Points that differ in ``n_estimators`` only are prefixes of one fit, all fits grow side by side,
+    and one pass over the holdout scores every point.
+    """
+    sizes = list(grid.get("n_estimators", [200]))
+    others = {k: v for k, v in grid.items() if k != "n_estimators"}
+    fits = [dict(zip(others, values)) for values in product(*others.values())]
+    params = [
+        BoostParams(
+            rounds=max(sizes),
+            depth=p.get("max_depth", 6),
+            step=p.get("learning_rate", 0.05),
+            min_leaf=min_leaf,
+            leaves=None,
+            ridge=1.0,
+            subsample=p.get("subsample", 1.0),
+            column_share=p.get("colsample_bytree", 1.0),
+            patience=None,
+        )
+        for p in fits
+    ]
+    pre = fit_preprocess(train, numeric, categorical, impute=False)
+    with cached(_boosting_rows(train, pre, target, id_col, 0.0, 42)) as rows:
+        fitted = fit_boosted(rows, pre.width, params)
+    held = _boosting_rows(holdout, pre, target, id_col, 0.0, 42).select("x", "label")
+    margins = prefix_margins(held, fitted, sizes)
+    scored = materialize(margins.select("label", F.posexplode("margins").alias("point", "margin")))
+    areas = {r["point"]: r["roc_auc"] for r in roc_auc(scored, "label", "margin", by=["point"]).collect()}
+    at = {
+        (*fit.values(), size): areas[i * len(sizes) + j]
+        for i, fit in enumerate(fits)
+        for j, size in enumerate(sizes)
+    }
     results = []
-    with cached(train), cached(holdout):
-        pre = fit_preprocess(train, numeric, categorical, impute=False)
-        for values in product(*grid.values()):
-            params = dict(zip(grid, values))
-            model = train_gbt(
-                train,
-                pre,
-                target,
-                max_depth=params.get("max_depth", 6),
-                step=params.get("learning_rate", 0.05),
-                rounds=params.get("n_estimators", 200),
-                subsample=params.get("subsample", 1.0),
-                column_share=params.get("colsample_bytree", 1.0),
-                min_leaf=fixed.get("min_leaf", 1),
-            )
-            scored = score_loans(model, holdout).select(target, "pd")
-            with cached(scored):
-                area = roc_auc(scored, target, "pd").first()["roc_auc"]
-            results.append((*[float(v) for v in values], area))
+    for values in product(*grid.values()):
+        point = dict(zip(grid, values))
+        size = point.pop("n_estimators", sizes[0])
+        results.append((*[float(v) for v in values], at[(*point.values(), size)]))
     best = max(range(len(results)), key=lambda i: (results[i][-1], -i))
     schema = ", ".join([*[f"{k} double" for k in grid], "roc_auc double", "is_best boolean"])
     rows = [(*r, i == best) for i, r in enumerate(results)]
