@@ -8,38 +8,43 @@ STEPS = 9
 
 
 def newton_steps(
-    source: str, inputs: Sequence[str], label: str, weight: str, penalty: float = 1.0
+    source: str,
+    inputs: Sequence[str],
+    label: str,
+    weight: str,
+    penalty: float = 1.0,
+    name: str = "fitted_lr",
 ) -> dict[str, str]:
-    """Common table expressions that end in ``fitted_lr(beta)``, the intercept last.
+    """Common table expressions that end in ``name(beta)``, the intercept last.
 
     Sums of products over the rows of ``source``, then elimination on the list of their rows.
     """
     width = len(inputs) + 1
     ctes = {
-        "design": f"""select [{', '.join(f'({x})::double' for x in inputs)}, 1.0::double] as x,
+        f"{name}_design": f"""select [{', '.join(f'({x})::double' for x in inputs)}, 1.0::double] as x,
             ({label})::double as y, ({weight})::double as w from {source}""",
-        "beta0": f"select list_transform(range({width}), lambda i: 0.0::double) as beta",
+        f"{name}_beta0": f"select list_transform(range({width}), lambda i: 0.0::double) as beta",
     }
     ridge = f"case when i = j and i < {width} then {penalty!r}::double else 0 end"
     for r in range(STEPS):
-        ctes[f"margins{r}"] = f"""select x, w, y, beta, 1 / (1 + exp(-list_dot_product(x, beta))) as p
-            from design, beta{r}"""
-        ctes[f"sums{r}"] = f"""select i, j, sum(w * p * (1 - p) * x[i] * x[j]) + {ridge} as h,
+        ctes[f"{name}_margins{r}"] = f"""select x, w, y, beta, 1 / (1 + exp(-list_dot_product(x, beta))) as p
+            from {name}_design, {name}_beta{r}"""
+        ctes[f"{name}_sums{r}"] = f"""select i, j, sum(w * p * (1 - p) * x[i] * x[j]) + {ridge} as h,
             sum(w * (p - y) * x[i]) + case when i < {width} then {penalty!r}::double
             * any_value(beta)[i] else 0 end as g
-            from margins{r}, (select unnest(generate_series(1, {width})) as i),
+            from {name}_margins{r}, (select unnest(generate_series(1, {width})) as i),
             (select unnest(generate_series(1, {width})) as j) group by i, j"""
-        ctes[f"rows{r}"] = f"""select list(line order by i) as m from (select i,
-            list_concat(list(h order by j), [max(g)]) as line from sums{r} group by i)"""
-        ctes[f"solved{r}"] = f"""with recursive e(k, m) as (select 0, m from rows{r} union all
+        ctes[f"{name}_rows{r}"] = f"""select list(line order by i) as m from (select i,
+            list_concat(list(h order by j), [max(g)]) as line from {name}_sums{r} group by i)"""
+        ctes[f"{name}_solved{r}"] = f"""with recursive e(k, m) as (select 0, m from {name}_rows{r} union all
             select k + 1, list_transform(m, lambda line, i: case when i = k + 1
             then list_transform(line, lambda v: v / m[k + 1][k + 1])
             else list_transform(line, lambda v, j: v - line[k + 1] * m[k + 1][j] / m[k + 1][k + 1])
             end) from e where k < {width})
             select list_transform(m, lambda line: line[{width + 1}]) as step from e where k = {width}"""
-        ctes[f"beta{r + 1}"] = f"""select list_transform(beta, lambda b, i: b - step[i]) as beta
-            from beta{r}, solved{r}"""
-    ctes["fitted_lr"] = f"select beta from beta{STEPS}"
+        ctes[f"{name}_beta{r + 1}"] = f"""select list_transform(beta, lambda b, i: b - step[i]) as beta
+            from {name}_beta{r}, {name}_solved{r}"""
+    ctes[name] = f"select beta from {name}_beta{STEPS}"
     return ctes
 
 

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from pdloom.catalog.base import (
+    CTES,
     DATE,
     cleaned,
     engineered,
@@ -25,7 +26,7 @@ from pdloom.plans.validate import importance_checks, validate_matrix
 from pdloom.session import cached, materialize, scratch_path
 from pdloom.sources.fixture import loans
 from pdloom.sources.tables import load_bundle, save_bundle
-from pdloom.streaming.scoring import score_stream
+from pdloom.streaming.scoring import BundleScorer, committed, score_stream
 
 # ---------------------------------------------------------------- metrics
 
@@ -403,21 +404,6 @@ def importance_limits(spark, sf):
     return importance_checks(found)
 
 
-@query("model_bundle")
-def model_bundle(spark, sf):
-    dated = split2(spark, sf)
-    plan = fit_feature_matrix(part(dated, "train"))
-    with cached(plan.transform(part(dated, "train"), ["loan_id"])) as train:
-        pre = preprocess.fit_preprocess(train, plan.feature_columns)
-        model = models.train_lr(train, pre)
-    root = scratch_path(spark, "bundles")
-    save_bundle(spark, root, "pd_lr_v1", model, plan)
-    bundle = load_bundle(spark, root)
-    return bundle.score(dated, ("loan_id",)).select(
-        "loan_id", "pd", "model_version"
-    )
-
-
 # ---------------------------------------------------------------- attributions
 
 COEFFICIENTS = {
@@ -685,26 +671,95 @@ def validate(spark, sf):
     return checks.select("check", "passed")
 
 
+# The bundle: features and model fitted on the first of three parts, calibrated on the second.
+_BUNDLE_INPUTS = filled_inputs("matrix", "part1", _MATRIX_FEATURES)
+_BUNDLE_LIST = f"[{', '.join(f'({x})::double' for x in _BUNDLE_INPUTS)}, 1.0::double]"
+_BUNDLE_FIT = {
+    **_MATRIX3,
+    "prepared": f"""select loan_id, split, "default", {_BUNDLE_LIST} as inputs, {balanced("part1")} as w
+        from matrix""",
+    **newton_steps(
+        "(select * from prepared where split = 'train')",
+        [f"inputs[{i + 1}]" for i in range(len(_MATRIX_FEATURES))],
+        '"default"',
+        "w",
+    ),
+}
+_CALIBRATION = {
+    "margins": """select loan_id, split, "default", list_dot_product(inputs, beta) as margin
+        from prepared, fitted_lr""",
+    "sides": """select margin, 1 as label, case when "default" = 1 then (pos + 1.0) / (pos + 2.0)
+        else 1.0 / (neg + 2.0) end as share from margins, (select
+        count(*) filter (where "default" = 1) as pos, count(*) filter (where "default" = 0) as neg
+        from margins where split = 'val') where split = 'val'""",
+    "two_sided": "select margin, 1 as label, share from sides union all select margin, 0, 1 - share from sides",
+    **newton_steps("two_sided", ["margin"], "label", "share", 0.0, "sigmoid"),
+}
+
+
+def _saved_bundle(spark, sf):
+    """Root of a folder of bundles with the calibrated linear model."""
+    dated = splits.time_split3(cleaned(spark, sf), "issue_d", "loan_id")
+    plan = fit_feature_matrix(part(dated, "train"))
+    with cached(plan.transform(part(dated, "train"), ["loan_id"])) as train:
+        pre = preprocess.fit_preprocess(train, plan.feature_columns)
+        model = models.train_lr(train, pre)
+    val = models.score_loans(model, plan.transform(part(dated, "val"), ["loan_id"]))
+    calibration = models.calibrate_sigmoid(val.select("default", "margin"))
+    root = scratch_path(spark, "bundles")
+    save_bundle(spark, root, "pd_lr_v1", model, plan, calibration=calibration)
+    return root, dated
+
+
+@query(
+    "model_bundle",
+    using(
+        "split3",
+        """select loan_id, round(1 / (1 + exp(-margin)), 6) as pd, round(1 / (1 + exp(-(
+        beta[1] * margin + beta[2]))), 6) as pd_calibrated, 'pd_lr_v1' as model_version
+        from margins, sigmoid""",
+        **_BUNDLE_FIT,
+        **_CALIBRATION,
+    ),
+)
+def model_bundle(spark, sf):
+    root, dated = _saved_bundle(spark, sf)
+    found = load_bundle(spark, root).score(dated, ("loan_id",))
+    return rounded(found.select("loan_id", "pd", "pd_calibrated", "model_version"), 6, "pd", "pd_calibrated")
+
+
+_REQUEST_COLUMNS = "loan_id, loan_amnt, annual_inc, term, dti, grade, sub_grade, home_ownership"
+
+
 @query(
     "score_stream",
     using(
-        "loans",
-        """select loan_id, round(pd, 9) as pd, case when pd < 0.10 then 'Low'
-        when pd < 0.25 then 'Medium' else 'High' end as risk_band from (select loan_id,
-        1 / (1 + exp(-(-3 + 0.02 * dti))) as pd from loans
-        where annual_inc > 0 and loan_amnt > 0 and dti >= 0)""",
+        "split3",
+        """select loan_id, round(pd, 6) as pd, case when pd < 0.10 then 'Low'
+        when pd < 0.25 then 'Medium' else 'High' end as risk_band, 'pd_lr_v1' as model_version from (
+        select loan_id, 1 / (1 + exp(-list_dot_product(inputs, beta))) as pd from asked, fitted_lr)""",
+        **_BUNDLE_FIT,
+        requests=f"""select {_REQUEST_COLUMNS} from loans
+        where annual_inc > 0 and loan_amnt > 0 and dti >= 0""",
+        enriched=CTES["engineered"].replace("from cleaned)", "from requests)"),
+        raw="""select * replace (trim(term) as term), cast(null as double) as int_rate,
+        cast(null as varchar) as emp_length, cast(null as date) as d from enriched""",
+        request_matrix=_MATRIX3["matrix"]
+        .replace(', "default", split from wide', " from raw"),
+        asked=f"select loan_id, {_BUNDLE_LIST} as inputs from request_matrix",
     ),
 )
 def stream(spark, sf):
+    """Requests that lack some raw columns, scored on a stream by the newest bundle."""
+    bundles, _ = _saved_bundle(spark, sf)
     root = scratch_path(spark, "stream")
     requests = loans(spark, sf).drop("loan_status", "int_rate", "issue_d", "emp_length")
     requests.write.parquet(f"{root}/in")
     source = spark.readStream.schema(requests.schema).parquet(f"{root}/in")
-
-    def score(df):
-        return df.withColumn("pd", 1 / (1 + F.exp(F.lit(3.0) - F.lit(0.02) * F.col("dti"))))
-
-    running = score_stream(source, score, f"{root}/out", f"{root}/bad", f"{root}/state")
+    scorer = BundleScorer(spark, bundles, ["loan_id"])
+    running = score_stream(
+        source, scorer, f"{root}/out", f"{root}/bad", f"{root}/state", commits_path=f"{root}/commits"
+    )
     running.awaitTermination()
-    scored_rows = spark.read.parquet(f"{root}/out")
-    return rounded(scored_rows, 9, "pd").select("loan_id", "pd", "risk_band")
+    found = committed(spark, f"{root}/out", f"{root}/commits")
+    return rounded(found.select("loan_id", "pd", "risk_band", "model_version"), 6, "pd")
