@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, computed once and kept as Parquet in the shared folder.
 

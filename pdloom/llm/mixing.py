@@ -17,6 +17,7 @@ from pdloom.llm.common import (
     SPACE_CLASS,
     SPACES,
     counted_broadcast,
+    free_name,
     stored,
     with_running_total,
 )
@@ -160,11 +161,12 @@ def taken_documents(docs: DataFrame) -> DataFrame:
     epochs = mix_sources(docs).where("epochs > 0").groupBy("doc_id", "sampling_key").agg(
         F.max("epochs").alias("_epochs")
     )
+    id_, key_, times_, time_ = (free_name(docs, n) for n in ("_id", "_key", "_times", "_time"))
     keys = epochs.select(
-        F.col("doc_id").alias("_id"), F.col("sampling_key").alias("_key"), "_epochs"
+        F.col("doc_id").alias(id_), F.col("sampling_key").alias(key_), F.col("_epochs").alias(times_)
     )
     key = sampling_key(symbol_weight(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (key == F.col(key_))
     joined = docs.join(counted_broadcast(keys, keys.count()), same)
-    times = F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int"))).alias("_time")
-    return joined.select(*[docs[c] for c in docs.columns], times).drop("_time")
+    times = F.explode(F.sequence(F.lit(1), F.col(times_).cast("int"))).alias(time_)
+    return joined.select(*[docs[c] for c in docs.columns], times).drop(time_)

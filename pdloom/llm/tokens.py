@@ -6,6 +6,7 @@ import re
 import sys
 from array import array
 from collections.abc import Sequence
+from os.path import commonprefix
 
 import numpy as np
 
@@ -52,7 +53,9 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
+        # A text that holds one of these is left to the library as a whole.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = commonprefix(self.added)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts = _PartIds(self.tokenizer.model, self.pack)
 
@@ -79,6 +82,8 @@ class WordEncoder(dict):
             self.clear()
         if len(self.parts) > REMEMBERED:
             self.parts.clear()
+        if self.added and self.mark in text and any(a in text for a in self.added):
+            return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         words = _words(text)
         return b"".join(map(self.__getitem__, words))
 

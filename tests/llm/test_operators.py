@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pdloom.llm.chat import escaped, format_chats, read_chats, unescaped
@@ -15,8 +16,9 @@ from pdloom.llm.embeddings import near_duplicates
 from pdloom.llm.jaccard import jaccard_components
 from pdloom.llm.labelled import fold
 from pdloom.llm.licenses import license_scan
-from pdloom.llm.mixing import mix_sources
+from pdloom.llm.mixing import mix_sources, taken_documents
 from pdloom.llm.quality import fit_quality, score_quality
+from pdloom.llm import stages
 from pdloom.llm.sharding import shard_documents
 from pdloom.llm.token_files import TokenFile, tokenize_to_files
 from pdloom.llm.tokens import WordEncoder
@@ -165,7 +167,7 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
     path = tokenizers.path("byte_bpe_50k.json")
     folder = str(tmp_path / "files")
     rows = tokenize_to_files(odd_docs, path, folder).collect()
-    encoder = WordEncoder(path).tokenizer
+    encoder = Tokenizer.from_file(path)
     texts = sorted((r["doc_id"], r["text"] or "") for r in odd_docs.collect())
     start = 0
     for r, (doc_id, text) in zip(sorted(rows, key=lambda r: (r["doc_id"], r["start"])), texts):
@@ -181,11 +183,12 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
 
 def test_word_encoder_equals_library():
     encoder = WordEncoder(tokenizers.path("byte_bpe_50k.json"))
+    fresh = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
     random = np.random.default_rng(1)
     letters = list(" \t\n\r 　\x1c\x85aéZ1.'s<|>☃ 日​")
     texts = ["".join(random.choice(letters, random.integers(0, 14))) for _ in range(2_000)]
-    for text in [*texts, "x <|endoftext|> y", "it's  we'll\n\nOk"]:
-        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    for text in [*texts, "x <|endoftext|> y", "<|endoftext|>", "<|endoftext", "it's  we'll\n\nOk"]:
+        want = fresh.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == want
 
 
@@ -365,3 +368,26 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert 0 < len(out) and {r["doc_id"] for r in out} <= {r["doc_id"] for r in docs.collect()}
     assert isinstance(docs.schema["text"].dataType, T.StringType)
+
+
+def test_stages_keep_columns_with_clashing_names(spark, odd_docs):
+    names = ["_id", "_ID_", "_key", "_time", "_times", "_epochs", "score", "predicted"]
+    docs = odd_docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    left = stages.without(docs, spark.createDataFrame([(1,), (11,)], "doc_id bigint"))
+    assert left.columns == docs.columns and left.count() == 9
+    assert stages.without(docs.limit(0), docs).columns == docs.columns
+    taken = taken_documents(docs)
+    assert taken.columns == docs.columns
+    for n in names:
+        assert taken.where(F.col(n) != F.concat(F.lit(n), F.col("doc_id"))).isEmpty()
+    plain = taken_documents(odd_docs)
+    assert sorted(r[0] for r in taken.select("doc_id").collect()) == sorted(r[0] for r in plain.select("doc_id").collect())
+
+
+def test_quality_stage_keeps_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(
+        {"score": F.col("doc_id") + 1, "predicted": F.lit("mine")}
+    )
+    kept = stages.quality(spark, docs, SF)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+    assert kept.where("score <> doc_id + 1 or predicted <> 'mine'").isEmpty()
