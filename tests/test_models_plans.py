@@ -11,7 +11,15 @@ from pdloom.plans import inputs, jobs, validate
 from pdloom.plans.feature_matrix import fit_feature_matrix
 from pdloom.sources.fixture import loans
 from pdloom.sources.tables import load_bundle, pick_bundle, save_bundle
-from pdloom.streaming.scoring import rejected_requests, score_stream, scored_requests
+from pdloom.streaming.scoring import (
+    BundleScorer,
+    committed,
+    model_versions,
+    once_per_application,
+    rejected_requests,
+    score_stream,
+    scored_requests,
+)
 
 NUMERIC = ["loan_amnt", "annual_inc", "int_rate", "dti", "grade_numeric"]
 
@@ -258,3 +266,52 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     assert streamed.drop("batch").exceptAll(batch).isEmpty()
     assert streamed.count() == batch.count()
     assert spark.read.parquet(f"{folder}/bad").count() == rejected_requests(requests).count() > 0
+
+
+def test_primary_job_stores_a_scoring_bundle(spark, cleaned, tmp_path):
+    folder, found = jobs.primary_job(cleaned, str(tmp_path), "pd_1", rounds=6, step=0.2)
+    rows = {(r["model"], r["split"]): r for r in found.collect()}
+    assert len(rows) == 9 and folder.endswith("/pd_1")
+    assert rows["boosted", "train"]["roc_auc"] > 0.6 and rows["linear", "val"]["roc_auc"] > 0.55
+    bundle = load_bundle(spark, str(tmp_path))
+    kept = rows["calibrated", "test"]["brier"] < rows["boosted", "test"]["brier"]
+    assert (bundle.calibration is not None) == kept == bundle.metadata["calibrated"]
+    assert bundle.metadata["metrics"]["boosted/test"]["brier"] == rows["boosted", "test"]["brier"]
+    scored = bundle.score(cleaned, ("loan_id",))
+    assert scored.where("pd is null").isEmpty() and scored.count() == cleaned.count()
+
+
+def test_stream_switches_bundles_and_reads_committed_batches(spark, cleaned, tmp_path):
+    plan = fit_feature_matrix(cleaned)
+    matrix = plan.transform(cleaned)
+    pre = preprocess.fit_preprocess(matrix, ["loan_amnt", "dti", "annual_inc"])
+    model = models.train_lr(matrix, pre)
+    root = str(tmp_path / "bundles")
+    save_bundle(spark, root, "v1", model, plan)
+    folder = str(tmp_path)
+    asked = cleaned.drop("default").withColumn("at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    some = asked.where("loan_id % 2 = 0").limit(40)
+    some.unionByName(some).write.parquet(f"{folder}/in/a")
+    source = once_per_application(
+        spark.readStream.schema(asked.schema).parquet(f"{folder}/in/*"), "loan_id", "at", "1 hour"
+    )
+    scorer = BundleScorer(spark, root, ["loan_id"])
+
+    def run():
+        score_stream(
+            source, scorer, f"{folder}/out", f"{folder}/bad", f"{folder}/state",
+            commits_path=f"{folder}/commits",
+        ).awaitTermination()
+        return committed(spark, f"{folder}/out", f"{folder}/commits")
+
+    first = run()
+    assert first.count() == first.select("loan_id").distinct().count() == 40
+    save_bundle(spark, root, "v2", model, plan)
+    asked.where("loan_id % 2 = 1").limit(10).write.parquet(f"{folder}/in/b")
+    both = run()
+    assert {r["model_version"]: r["count"] for r in both.groupBy("model_version").count().collect()} == {"v1": 40, "v2": 10}
+    used = {r["model_version"] for r in model_versions(spark, f"{folder}/commits").collect()}
+    assert {"v1", "v2"} <= used
+    # A batch without its commit is not read.
+    both.select("loan_id").limit(3).write.parquet(f"{folder}/out/batch=99")
+    assert committed(spark, f"{folder}/out", f"{folder}/commits").count() == 50
