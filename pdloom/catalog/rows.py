@@ -72,8 +72,13 @@ def scan_loans_union(spark, sf):
 
 @query("write_cleaned", using("cleaned", f"select {CLEAN_COLUMNS} from cleaned"))
 def write_cleaned(spark, sf):
-    path = tables.write_table(cleaned(spark, sf), scratch_path(spark, "cleaned"))
-    return spark.read.parquet(path)
+    """Written by the job that also counts the steps; its last count is checked with the table."""
+    rows, steps = cleaning.clean_loans_counted(loans(spark, sf), ["loan_id"])
+    path = tables.write_table(rows, scratch_path(spark, "cleaned"))
+    written, last = spark.read.parquet(path), steps().where("name = 'require_rows'").first()
+    if written.count() != last["rows_after"]:
+        raise RuntimeError(f"{last['rows_after']} rows counted, others written")
+    return written
 
 
 @query("scan_features", using("engineered", "select * from engineered"))
@@ -87,16 +92,23 @@ def scan_features(spark, sf):
     using(
         "engineered",
         """select count(*) as n_rows, cast(16 as bigint) as n_cols, 'default' as target_col,
-        'issue_d' as date_col, cast(0.8 as double) as train_fraction,
-        md5('loan_amnt|annual_inc|int_rate|term|dti|grade|sub_grade|emp_length|home_ownership|'
+        'issue_d' as date_col, 'loan_id' as id_cols, 'time_based' as split_strategy,
+        cast(0.8 as double) as train_fraction, md5('loan_id:bigint|loan_amnt:double|'
+        || 'annual_inc:double|int_rate:double|term:string|dti:double|grade:string|'
+        || 'sub_grade:string|emp_length:string|home_ownership:string|issue_d:string|default:int|'
+        || 'loan_to_income:double|term_months:int|grade_numeric:int|sub_grade_numeric:int')
+        as schema_md5, 'loan_amnt|annual_inc|int_rate|term|dti|grade|sub_grade|emp_length|'
+        || 'home_ownership|loan_to_income|term_months|grade_numeric|sub_grade_numeric'
+        as first_features, md5('loan_amnt|annual_inc|int_rate|term|dti|grade|sub_grade|emp_length|home_ownership|'
         || 'loan_to_income|term_months|grade_numeric|sub_grade_numeric') as feature_list_md5
         from engineered""",
     ),
 )
 def manifest(spark, sf):
     return feature_manifest(engineered(spark, sf)).select(
-        "n_rows", "n_cols", "target_col", "date_col", "train_fraction", "feature_list_md5"
-    )
+        "n_rows", "n_cols", "target_col", "date_col", "id_cols", "split_strategy",
+        "train_fraction", "schema_md5", "first_features", "feature_list_md5",
+    )
 
 
 # ---------------------------------------------------------------- projections

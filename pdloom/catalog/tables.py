@@ -514,14 +514,14 @@ def prepare_split(spark, sf):
     "sample_rows",
     using(
         "cleaned",
-        """select loan_id, loan_amnt from cleaned
-        order by md5(cast(loan_id as varchar) || ':7'), loan_id limit 500""",
+        """select loan_id, loan_amnt from (select *, row_number() over (order by
+        md5(cast(loan_id as varchar) || ':7'), loan_id) as r, count(*) over () as total from cleaned)
+        where r <= total // 2""",
     ),
 )
 def sample_rows(spark, sf):
-    return splits.sample_rows(cleaned(spark, sf), 500, "loan_id", 7).select(
-        "loan_id", "loan_amnt"
-    )
+    rows = cleaned(spark, sf)
+    return splits.sample_rows(rows, rows.count() // 2, "loan_id", 7).select("loan_id", "loan_amnt")
 
 
 # ---------------------------------------------------------------- drift

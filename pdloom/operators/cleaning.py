@@ -6,10 +6,10 @@ one plan without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,41 +180,55 @@ def clean_loans(df: DataFrame, keep: Sequence[str] = (), check: bool = False) ->
     return require_rows(cleaned, "cleaned loans") if check else cleaned
 
 
-def step_row_counts(df: DataFrame) -> DataFrame:
-    """Rows and columns before and after every cleaning step, from one scan."""
-    raw_columns = len(df.columns)
+def _step_flags(df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Raw rows with a flag per filtering step, and the counts of the rows each step leaves."""
     named = normalize_columns(df)
     require_columns(named, [STATUS_COLUMN])
     labelled = named.withColumn(TARGET, status_label(F.col(STATUS_COLUMN)))
-    labelled_columns = len(labelled.columns)
     canonical = [c for c in CANONICAL_COLUMNS if c in labelled.columns]
     numeric = coerce_numeric(labelled)
-    required = has_required(numeric.select(*canonical))
-    flagged = numeric.select(
-        has_any_value(labelled.drop(TARGET)).alias("s1"),
-        F.col(TARGET).isNotNull().alias("s2"),
-        required.alias("s3"),
-        F.coalesce(is_plausible(canonical), F.lit(False)).alias("s4"),
+    flagged = numeric.withColumns(
+        {
+            "_s1": has_any_value(labelled.drop(TARGET)),
+            "_s2": F.col(TARGET).isNotNull(),
+            "_s3": has_required(numeric.select(*canonical)),
+            "_s4": F.coalesce(is_plausible(canonical), F.lit(False)),
+        }
     )
-    s1, s12 = F.col("s1"), F.col("s1") & F.col("s2")
-    s123 = s12 & F.col("s3")
-    rows = flagged.agg(
-        F.count("*").alias("raw"),
+    s1, s12 = F.col("_s1"), F.col("_s1") & F.col("_s2")
+    s123 = s12 & F.col("_s3")
+    counts = [
+        F.count(F.lit(1)).alias("raw"),
         F.count_if(s1).alias("filled"),
         F.count_if(s12).alias("labelled"),
         F.count_if(s123).alias("complete"),
-        F.count_if(s123 & F.col("s4")).alias("plausible"),
-    )
-    steps = [
-        ("drop_empty_rows", "raw", "filled", raw_columns, raw_columns),
-        ("normalize_columns", "filled", "filled", raw_columns, raw_columns),
-        ("define_target", "filled", "labelled", raw_columns, labelled_columns),
-        ("select_canonical", "labelled", "labelled", labelled_columns, len(canonical)),
-        ("coerce_numeric", "labelled", "labelled", len(canonical), len(canonical)),
-        ("drop_missing_critical", "labelled", "complete", len(canonical), len(canonical)),
-        ("filter_impossible", "complete", "plausible", len(canonical), len(canonical)),
-        ("require_rows", "plausible", "plausible", len(canonical), len(canonical)),
+        F.count_if(s123 & F.col("_s4")).alias("plausible"),
     ]
+    return flagged, counts
+
+
+def _steps(df: DataFrame) -> list[tuple[str, str, str, int, int]]:
+    """Each step with the counts and the numbers of columns before and after it."""
+    raw = len(df.columns)
+    labelled = [*normalize_columns(df).columns, TARGET]
+    all_columns = len(set(labelled))
+    canonical = len([c for c in CANONICAL_COLUMNS if c in labelled])
+    return [
+        ("drop_empty_rows", "raw", "filled", raw, raw),
+        ("normalize_columns", "filled", "filled", raw, raw),
+        ("define_target", "filled", "labelled", raw, all_columns),
+        ("select_canonical", "labelled", "labelled", all_columns, canonical),
+        ("coerce_numeric", "labelled", "labelled", canonical, canonical),
+        ("drop_missing_critical", "labelled", "complete", canonical, canonical),
+        ("filter_impossible", "complete", "plausible", canonical, canonical),
+        ("require_rows", "plausible", "plausible", canonical, canonical),
+    ]
+
+
+def step_row_counts(df: DataFrame) -> DataFrame:
+    """Rows and columns before and after every cleaning step, from one scan."""
+    flagged, counts = _step_flags(df)
+    rows = flagged.agg(*counts)
     return rows.select(
         F.inline(
             F.array(
@@ -227,13 +241,42 @@ def step_row_counts(df: DataFrame) -> DataFrame:
                         F.lit(cols_before).alias("cols_before"),
                         F.lit(cols_after).alias("cols_after"),
                     )
-                    for i, (name, before, after, cols_before, cols_after) in enumerate(steps)
+                    for i, (name, before, after, cols_before, cols_after) in enumerate(_steps(df))
                 ]
             )
         )
     )
 
 
+def clean_loans_counted(
+    df: DataFrame, keep: Sequence[str] = ()
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The rows of ``clean_loans``, and the step counts, taken by the job that reads them.
+
+    The counts are there after the first action on the rows, such as writing them; asking earlier
+    waits for it. All raw rows pass the counter, so filters stop short of the scan.
+    """
+    flagged, counts = _step_flags(df)
+    counter = Observation("cleaning steps")
+    rows = (
+        flagged.observe(counter, *counts)
+        .where("_s1 and _s2 and _s3 and _s4")
+        .drop("_s1", "_s2", "_s3", "_s4")
+        .transform(select_canonical, keep)
+    )
+
+    def steps() -> DataFrame:
+        seen = counter.get
+        lines = [
+            (i + 1, name, seen[before], seen[after], cols_before, cols_after)
+            for i, (name, before, after, cols_before, cols_after) in enumerate(_steps(df))
+        ]
+        schema = "step int, name string, rows_before long, rows_after long, cols_before int, cols_after int"
+        return small_table(df.sparkSession, lines, schema)
+
+    return rows, steps
+
+
 def request_constraints(df: DataFrame) -> DataFrame:
     """Adds the normalized term, the reasons a scoring request is refused, and ``valid``."""
     required = [

@@ -178,6 +178,20 @@ def require_no_overlap(meta: DataFrame, order: Sequence[str] = ("train", "val",
 
 
 def sample_rows(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """``n`` rows without replacement, the same for the same seed; all rows if fewer."""
-    key = F.md5(F.concat(quoted(id_col).cast("string"), F.lit(f":{seed}")))
-    return df.orderBy(key, id_col).limit(n)
+    """``n`` rows without replacement, the same for the same seed; all rows if fewer.
+
+    Rows are ordered by a hash of the id; the n-th hash is found by rank, and a filter keeps the rows
+    below it in place. Only rows with that very hash are sorted.
+    """
+    key = F.md5(F.concat(F.coalesce(quoted(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    # 52 bits of the hash, so that a double holds it.
+    rows = df.withColumn("_h", F.conv(F.substring(key, 1, 13), 16, 10).cast("bigint"))
+    total = df.count()
+    if n >= total:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    edge = kth_smallest(rows.select("_h"), {"_h": (n - 1, total)}, "bigint")["_h"]
+    below = rows.where(F.col("_h") < edge)
+    ties = rows.where(F.col("_h") == edge).orderBy(key, id_col).limit(n - below.count())
+    return below.unionByName(ties).drop("_h")

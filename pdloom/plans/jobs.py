@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from pdloom.constants import DATE_COLUMN, FEATURE_SPEC, TARGET, TUNING_GRID
 from pdloom.operators.attribution import background_means, global_importance
-from pdloom.operators.cleaning import clean_loans, require_columns, target_if_missing
+from pdloom.operators.cleaning import (
+    clean_loans,
+    clean_loans_counted,
+    require_columns,
+    target_if_missing,
+)
 from pdloom.operators.drift import drift_report, drift_summary
 from pdloom.operators.features import domain_features
 from pdloom.operators.metrics import calibration_curve, evaluate_binary, pr_curve, roc_curve
@@ -31,7 +36,7 @@ from pdloom.plans.feature_matrix import fit_feature_matrix
 from pdloom.plans.inputs import feature_manifest
 from pdloom.session import cached, materialize
 from pdloom.sources.loans import read_loans_union
-from pdloom.sources.tables import save_bundle, write_table
+from pdloom.sources.tables import save_bundle, write_report, write_table
 
 
 def preprocess_job(
@@ -41,10 +46,20 @@ def preprocess_job(
     pattern: str = "_2007_to_2018Q4",
     overwrite: bool = False,
     keep: Sequence[str] = (),
+    steps_path: str | None = None,
 ) -> str:
-    """Raw CSV folder to a cleaned Parquet table."""
-    cleaned = clean_loans(read_loans_union(spark, raw_dir, pattern), keep, check=True)
-    return write_table(cleaned, out_path, overwrite)
+    """Raw CSV folder to a cleaned Parquet table; with ``steps_path`` the rows that each step left
+    are counted by the job that writes, and reported there."""
+    raw = read_loans_union(spark, raw_dir, pattern)
+    if steps_path is None:
+        return write_table(clean_loans(raw, keep, check=True), out_path, overwrite)
+    cleaned, steps = clean_loans_counted(raw, keep)
+    write_table(cleaned, out_path, overwrite)
+    counted = steps()
+    write_report(counted.coalesce(1), steps_path)
+    if counted.where("name = 'require_rows'").first()["rows_after"] == 0:
+        raise ValueError("no rows left in cleaned loans")
+    return out_path
 
 
 def build_features_job(

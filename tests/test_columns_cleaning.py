@@ -234,3 +234,27 @@ def test_bands(spark):
     df = spark.createDataFrame([(0.09,), (0.10,), (0.25,), (None,)], "p double")
     got = [r[0] for r in df.select(C.risk_band(F.col("p"))).collect()]
     assert got == ["Low", "Medium", "High", None]
+
+
+def test_counts_taken_while_writing(spark, sf, tmp_path):
+    raw = loans(spark, sf)
+    rows, steps = cleaning.clean_loans_counted(raw, ["loan_id"])
+    rows.write.parquet(f"{tmp_path}/cleaned")
+    written = spark.read.parquet(f"{tmp_path}/cleaned")
+    plain = cleaning.clean_loans(raw, ["loan_id"])
+    assert written.columns == plain.columns and written.exceptAll(plain).isEmpty()
+    assert written.count() == plain.count()
+    assert steps().collect() == cleaning.step_row_counts(raw).collect()
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    import hashlib
+
+    from pdloom.operators.splits import sample_rows
+
+    df = spark.range(900).select(F.when(F.col("id") < 800, F.col("id")).otherwise(F.lit(7)).alias("loan_id"))
+    for n in (0, 1, 450, 899, 900, 2_000):
+        got = sorted(r[0] for r in sample_rows(df, n, "loan_id", 3).collect())
+        every = [r[0] for r in df.collect()]
+        wanted = sorted(sorted(every, key=lambda i: hashlib.md5(f"{i}:3".encode()).hexdigest())[:n])
+        assert got == wanted
