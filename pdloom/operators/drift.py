@@ -55,13 +55,14 @@ def align_periods(
     summary: DataFrame, period: str, baseline: str = "train", recent: str = "recent"
 ) -> DataFrame:
     """Baseline and recent statistics side by side, for features present in both."""
-    stats = ["mean", "std", "min", "max"]
-
-    def side(name: str) -> DataFrame:
-        rows = summary.where(F.col(period) == name)
-        return rows.select("feature", *[F.col(s).alias(f"{name}_{s}") for s in stats])
-
-    return side(baseline).join(side(recent), "feature")
+    sides = {side: F.col(period) == side for side in (baseline, recent)}
+    stats = [
+        F.max(F.when(here, F.col(s))).alias(f"{side}_{s}")
+        for side, here in sides.items()
+        for s in ("mean", "std", "min", "max")
+    ]
+    both = F.max(sides[baseline]) & F.max(sides[recent])
+    return summary.groupBy("feature").agg(*stats, both.alias("_both")).where("_both").drop("_both")
 
 
 def default_rate_drift(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pdloom.functions.columns import finite, quoted
-from pdloom.session import materialize, shuffle_partitions, small_table
+from pdloom.session import cached, shuffle_partitions, small_table
 
 ACCURACY = 10_000
 MAX_BUCKETS = 8_192
@@ -98,13 +98,26 @@ def _read_ranks(
                 _inside(segment, value, brackets).cast(dtype).alias("value"),
             )
         )
-    counts = materialize(
+    counts = (
         df.select(F.explode(F.array(*parts)).alias("p"))
         .select("p.*")
         .where(F.col("segment").isNotNull())
         .groupBy("c", "segment", "value")
         .agg(F.count("*").alias("n"))
     )
+    # Only numbers leave this function, so the counts are kept in memory, not written.
+    with cached(counts):
+        return _ranks_in(counts, df, plan, narrow_wide)
+
+
+def _ranks_in(
+    counts: DataFrame,
+    df: DataFrame,
+    plan: Mapping[str, tuple[list[_Bracket], list[int]]],
+    narrow_wide: bool,
+) -> tuple[dict[str, dict[int, Any]], dict[str, list[_Bracket]]]:
+    """The result of ``_read_ranks`` from rows per column, segment and value."""
+    names = list(plan)
     sizes: dict[int, dict[int, int]] = {i: {} for i in range(len(names))}
     values: dict[tuple[int, int], int] = {}
     totals = counts.groupBy("c", "segment").agg(F.sum("n").alias("n"), F.count("*").alias("values"))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pdloom.operators import drift, metrics, profiles
+from pdloom.operators import baseline, drift, metrics, profiles
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +150,27 @@ def test_quality_counts(spark):
     for name in ("int_rate_out_of_range", "negative_loan_amnt", "infinite_loan_amnt",
                  "invalid_grade", "unreadable_issue_d", "null_default", "duplicate_loan_id"):
         assert got[name] == 1, name
+
+
+def test_kept_baseline_equals_the_whole_report(two_periods):
+    names = ["moved", "spiked", "steady", "constant", "gone"]
+    kept = baseline.fit_baseline(two_periods.where("period = 'train'"), names)
+    new = two_periods.where("period = 'recent'")
+    parts = [baseline.period_counts(new.where(w), kept) for w in ("moved < 1", "not moved < 1")]
+    got = baseline.report_from_counts(kept, baseline.added(*parts))
+    wanted = {r["feature"]: r.asDict() for r in drift.drift_report(two_periods, "period", names).collect()}
+    found = {r["feature"]: r.asDict() for r in got.collect()}
+    assert set(found) == set(wanted) and "moved" in found and "gone" not in found
+    for feature, row in wanted.items():
+        for k, v in row.items():
+            if isinstance(v, float):
+                assert found[feature][k] == pytest.approx(v, abs=1e-9, nan_ok=True)
+            else:
+                assert found[feature][k] == v
+
+
+def test_counts_are_counted_without_the_baseline_rows(two_periods):
+    kept = baseline.fit_baseline(two_periods.where("period = 'train'"), ["moved"])
+    same = baseline.period_counts(two_periods.where("period = 'train'"), kept)
+    row = baseline.report_from_counts(kept, same).first()
+    assert row["psi"] == pytest.approx(0.0) and row["train_n"] == row["recent_n"] == 2500
