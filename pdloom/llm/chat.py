@@ -53,13 +53,24 @@ def format_chats(rows: DataFrame) -> DataFrame:
             F.collect_list(
                 F.struct(
                     F.col("turn").alias("turn"),
-                    escaped(F.coalesce("role", F.lit(""))).alias("role"),
-                    escaped(F.coalesce("text", F.lit(""))).alias("text"),
-                    F.coalesce("role", F.lit("")).isin(*LOSS_ROLES).alias("loss"),
+                    F.coalesce("role", F.lit("")).alias("role"),
+                    F.coalesce("text", F.lit("")).alias("text"),
                 )
             )
         ).alias("turns")
     )
+    # Sorted by the fields as they are, escaped afterwards.
+    chats = chats.withColumn(
+        "turns",
+        F.transform(
+            "turns",
+            lambda t: F.struct(
+                escaped(t["role"]).alias("role"),
+                escaped(t["text"]).alias("text"),
+                t["role"].isin(*LOSS_ROLES).alias("loss"),
+            ),
+        ),
+    )
     turns = F.col("turns")
     starts = F.filter(
         F.sequence(F.lit(0), F.size(turns) - 1),
