@@ -84,6 +84,25 @@ def _sum_if(condition: str, column: str) -> Column:
     return F.sum(F.when(F.expr(condition), F.col(column))).over(Window.partitionBy())
 
 
+def weight_bins(sizes: DataFrame) -> DataFrame:
+    """Per source the quality weights in bins of a fourth of a doubling: their mean and share of rows."""
+    step = F.round(F.log2("quality") * 4)
+    counted = sizes.groupBy("source", step.alias("bin")).agg(
+        F.avg("quality").alias("w"), F.count("*").alias("n")
+    )
+    total = F.sum("n").over(Window.partitionBy("source"))
+    shares = counted.select("source", F.struct("w", (F.col("n") / total).alias("share")).alias("b"))
+    return shares.groupBy("source").agg(F.sort_array(F.collect_list("b")).alias("bins"))
+
+
+def key_share(key: Column, bins: Column) -> Column:
+    """Share of a source's rows with a smaller sampling key: each key is exponential with the row's
+    weight. It rises with the key and is spread evenly from 0 to 1, whatever the weights."""
+    return F.aggregate(
+        bins, F.lit(0.0), lambda total, b: total + b["share"] * (1 - F.exp(-b["w"] * key))
+    )
+
+
 def sampling_key(weight: Column, seed: int = SEED) -> Column:
     """Exponential variable from a hash of doc_id and text, divided by the weight."""
     # 53 random bits, moved off zero so that the logarithm is finite.
@@ -117,13 +136,16 @@ def mix_sources(
             "source",
             word_count(F.col("text")).alias("size"),
             sampling_key(weight, seed).alias("sampling_key"),
+            F.coalesce(weight, F.lit(1.0)).cast("double").alias("quality"),
         ),
         "mix-sizes",
     )
+    binned = weight_bins(sizes).withColumnRenamed("source", "_binned")
     targets = source_targets(sizes, weights, max_epochs)
+    targets = targets.join(binned, F.col("source").eqNullSafe(F.col("_binned"))).drop("_binned")
     buckets = F.ceil(F.col("n_docs") / GROUP_ROWS)
-    # Rises with the key and spreads exponential keys evenly.
-    spread = F.least(F.floor((1 - F.exp(-F.col("sampling_key"))) * buckets), buckets - 1)
+    share = key_share(F.col("sampling_key"), F.col("bins"))
+    spread = F.least(F.floor(share * buckets), buckets - 1)
     joined = sizes.join(
         F.broadcast(targets.withColumnRenamed("source", "_source"))
         if targets.count() <= 10_000
@@ -131,7 +153,7 @@ def mix_sources(
         F.col("source").eqNullSafe(F.col("_source")),
     ).drop("_source")
     placed = with_running_total(
-        joined.withColumn("_spread", spread),
+        joined.withColumn("_spread", spread).drop("bins", "quality"),
         ["source"],
         "_spread",
         ["sampling_key", "doc_id", "size"],

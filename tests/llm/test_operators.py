@@ -16,7 +16,7 @@ from pdloom.llm.embeddings import near_duplicates
 from pdloom.llm.jaccard import jaccard_components
 from pdloom.llm.labelled import fold
 from pdloom.llm.licenses import license_scan
-from pdloom.llm.mixing import mix_sources, taken_documents
+from pdloom.llm.mixing import key_share, mix_sources, sampling_key, taken_documents, weight_bins
 from pdloom.llm.quality import fit_quality, score_quality
 from pdloom.llm import stages
 from pdloom.llm.sharding import shard_documents
@@ -391,3 +391,31 @@ def test_quality_stage_keeps_columns(spark):
     kept = stages.quality(spark, docs, SF)
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
     assert kept.where("score <> doc_id + 1 or predicted <> 'mine'").isEmpty()
+
+
+def test_equal_turns_are_ordered_by_the_plain_text(spark):
+    rows = [(1, 0, "user", "<|"), (1, 0, "user", "<a"), (1, 0, "user", "\\"), (1, 0, "user", "<")]
+    chats = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    turns = read_chats(format_chats(chats)).first()["turns"]
+    assert [t["text"] for t in turns] == sorted(["<|", "<a", "\\", "<"])
+
+
+def test_mixing_spreads_any_weight_over_its_windows(spark):
+    sizes = spark.range(40_000).select(
+        "id",
+        F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("source"),
+        F.when(F.col("id") % 4 == 0, 0.05).when(F.col("id") % 3 == 0, 0.3).otherwise(1.0).alias("quality"),
+        F.col("id").alias("doc_id"),
+        F.lit("").alias("text"),
+    ).withColumn("key", sampling_key(F.col("quality")))
+    bins = weight_bins(sizes).collect()
+    for source, held in ((r["source"], r["bins"]) for r in bins):
+        assert sum(b["share"] for b in held) == pytest.approx(1.0)
+        one = sizes.where(F.col("source") == source).join(weight_bins(sizes), "source")
+        shares = one.select(F.floor(key_share(F.col("key"), F.col("bins")) * 10).alias("s"))
+        counts = [r["count"] for r in shares.groupBy("s").count().collect()]
+        assert len(counts) == 10 and max(counts) < 1.2 * sum(counts) / 10
+    symbols = spark.range(2_000).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("<<>> $$ = word").alias("text")
+    )
+    assert mix_sources(symbols).agg(F.sum("taken")).first()[0] == mix_sources(symbols).agg(F.sum("size")).first()[0]
