@@ -22,6 +22,7 @@ from pdloom.catalog.model_sql import balanced, filled_inputs, flag_inputs, newto
 from pdloom.constants import TUNING_GRID
 from pdloom.operators import attribution, metrics, models, preprocess, splits
 from pdloom.plans.feature_matrix import align_features, fit_feature_matrix
+from pdloom.plans.spec import build_spec, spec_table
 from pdloom.plans.validate import importance_checks, validate_matrix
 from pdloom.session import cached, materialize, scratch_path
 from pdloom.sources.fixture import loans
@@ -649,6 +650,43 @@ def align(spark, sf):
     return rounded(matrix, 9, *_MEAN_COLUMNS)
 
 
+_SPEC_NUMBERS = ["annual_inc", "dti", "int_rate", "loan_amnt"]
+_SPEC_TEXTS = ["emp_length", "grade", "home_ownership", "sub_grade", "term"]
+
+
+@query(
+    "spec_from_data",
+    using(
+        "split2",
+        """select 'numerical' as section, feature, case when abs(skew) > 1 then 'log' else 'none' end as plan,
+        case when abs(skew) > 1 and low <= 0 then abs(low) + 1e-6 else 0.0 end as shift from numbers
+        union all select 'categorical', feature, case when k <= 10 then 'one_hot'
+        when k <= 100 then 'target_mean' else 'count_frequency' end, 0.0 from texts
+        union all select 'datetime', 'issue_d', 'derived', 0.0
+        union all select 'engineered', 'loan_age_months', 'derived', 0.0""",
+        part1="select * from split2 where split = 'train'",
+        numbers=" union all ".join(
+            f"select '{c}' as feature, skewness({c}) as skew, min({c})::double as low from part1"
+            for c in _SPEC_NUMBERS
+        ),
+        texts=" union all ".join(
+            f"""select '{c}' as feature, count(distinct {c}) + max(cast({c} is null as integer)) as k
+            from part1""" for c in _SPEC_TEXTS
+        ),
+    ),
+)
+def spec_from_data(spark, sf):
+    """The spec of the training rows, and a matrix fitted with it, whose columns must be complete."""
+    rows = split2(spark, sf)
+    train = part(rows, "train").drop("split")
+    spec = build_spec(train)
+    plan = fit_feature_matrix(train, spec)
+    missing = set(plan.feature_columns) - set(plan.transform(rows).columns)
+    if missing:
+        raise RuntimeError(f"columns missing from the matrix: {sorted(missing)}")
+    return spec_table(train, spec)
+
+
 @query(
     "validate_matrix",
     using(
