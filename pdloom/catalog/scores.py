@@ -383,8 +383,41 @@ def _split3_matrix(spark, sf):
     return plan.transform(dated, ["loan_id", "split"]), plan
 
 
-@query("permutation_importance")
-def permutation_importance(spark, sf):
+_WIDTH = len(_MODEL_INPUTS)
+_FEATURE_NAMES = [
+    *[f"num__{c}" for c in _MODEL_NUMERIC],
+    *[f"cat__term_{t}" for t in _TERMS],
+    *[f"cat__home_ownership_{h}" for h in _HOMES],
+]
+_IMPORTANCE = {
+    **{k: v for k, v in _BASELINE.items() if k not in ("margins", "scored")},
+    "held": """select loan_id, "default", inputs, beta, list_dot_product(inputs, beta) as margin,
+        cast(ceil(count(*) over () / 5000.0) as bigint) as buckets
+        from prepared, fitted_lr where split = 'holdout'""",
+    "turns": """select *, md5(loan_id::varchar || ':' || repeat) as h
+        from held, (select unnest(generate_series(1, 5)) as repeat)""",
+    "dealt": "select *, ('0x' || substr(h, 1, 8))::bigint % buckets as bucket from turns",
+    "donors": """select *, coalesce(lead(inputs) over w, first_value(inputs) over w) as donor
+        from dealt window w as (partition by repeat, bucket order by h, loan_id)""",
+    "swapped": f"""select repeat, j, "default", round(1 / (1 + exp(-(
+        margin + beta[j] * (donor[j] - inputs[j])))), 9) as prob
+        from donors, (select unnest(generate_series(1, {_WIDTH})) as j)
+        union all select 0, 0, "default", round(1 / (1 + exp(-margin)), 9) from held""",
+    "pairs": """select repeat, j, prob, sum("default") as pos, sum(1 - "default") as neg
+        from swapped group by 1, 2, 3""",
+    "upto": """select *, sum(neg) over (partition by repeat, j order by prob) as neg_upto
+        from pairs""",
+    "areas": """select repeat, j, sum(pos * (neg_upto - neg + neg / 2)) / (sum(pos) * sum(neg)) as area
+        from upto group by 1, 2""",
+    "lost": """select a.j, avg(b.area - a.area) as importance_mean,
+        stddev_pop(b.area - a.area) as importance_std
+        from areas a, areas b where b.j = 0 and a.j > 0 group by 1""",
+    "named": f"""select ([{', '.join(f"'{n}'" for n in _FEATURE_NAMES)}])[j] as feature,
+        importance_mean, importance_std from lost""",
+}
+
+
+def _importance(spark, sf):
     rows, pre, model = _baseline(spark, sf)
     vectors = PipelineModel(model.stages[:-1]).transform(part(rows, "holdout"))
     return models.permutation_importance(
@@ -392,17 +425,35 @@ def permutation_importance(spark, sf):
     )
 
 
-@query("importance_checks")
+@query(
+    "permutation_importance",
+    using(
+        "split2",
+        """select feature, round(importance_mean, 6) + 0 as importance_mean,
+        round(importance_std, 6) + 0 as importance_std from named""",
+        **_IMPORTANCE,
+    ),
+)
+def permutation_importance(spark, sf):
+    return rounded(_importance(spark, sf), 6, "importance_mean", "importance_std")
+
+
+@query(
+    "importance_checks",
+    using(
+        "split2",
+        """select max_by(feature, importance_mean) as top_feature,
+        round(max(importance_mean), 6) as top_importance,
+        round(coalesce(sum(importance_mean) filter (where starts_with(feature, 'issue_d_')), 0.0), 6)
+        as time_importance, count(*) as n_features, max(importance_mean) <= 0.3 as single_ok,
+        coalesce(sum(importance_mean) filter (where starts_with(feature, 'issue_d_')), 0.0) <= 0.25
+        as time_ok from named""",
+        **_IMPORTANCE,
+    ),
+)
 def importance_limits(spark, sf):
-    rows, pre, model = _baseline(spark, sf)
-    vectors = PipelineModel(model.stages[:-1]).transform(part(rows, "holdout"))
-    found = models.permutation_importance(
-        model.stages[-1],
-        vectors.select("loan_id", "default", "features"),
-        pre.outputs,
-        "loan_id",
-    )
-    return importance_checks(found)
+    found = importance_checks(_importance(spark, sf))
+    return rounded(found, 6, "top_importance", "time_importance")
 
 
 # ---------------------------------------------------------------- attributions

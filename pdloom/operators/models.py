@@ -27,7 +27,8 @@ from pdloom.operators.preprocess import (
 )
 from pdloom.session import cached, materialize, small_table
 
-HASH_BITS = 12
+#: Rows of one cycle of exchanged values, on average.
+CYCLE_ROWS = 5_000
 
 
 def assemble(pre: Preprocessor) -> PipelineModel:
@@ -253,32 +254,21 @@ def canary_lr(
     )
 
 
-def _shuffled_rank(df: DataFrame, id_col: str, repeat: str, output: str) -> DataFrame:
-    """Rank of each row in a random order given by a hash of its id, per repeat.
+def with_donors(rows: DataFrame, id_col: str, value: str, repeats: int, output: str) -> DataFrame:
+    """Every row once per ``repeat``, with the value of another row chosen at random.
 
-    The hash cuts the rows into even buckets; counts per bucket give the offsets.
+    Rows are put in the order of a hash of id and repeat and take the value of the next one, the last
+    one that of the first: a random cycle. The hash also deals the rows to buckets, whose number
+    follows the number of rows, and each bucket is a cycle of its own; one shuffle per repeat.
     """
-    h = F.xxhash64(quoted(id_col), F.col(repeat), F.lit(output))
-    rows = df.withColumn("_h", h).withColumn(
-        "_bucket", F.shiftright(F.col("_h"), 64 - HASH_BITS)
-    )
-    before = (
-        Window.partitionBy(repeat).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # At most 2^HASH_BITS rows per repeat.
-    offsets = (
-        rows.groupBy(repeat, "_bucket")
-        .agg(F.count("*").alias("n"))
-        .select(
-            repeat, "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset")
-        )
-    )
-    inside = Window.partitionBy(repeat, "_bucket").orderBy("_h", id_col)
-    return (
-        rows.join(F.broadcast(offsets), [repeat, "_bucket"])
-        .withColumn(output, F.col("_offset") + F.row_number().over(inside))
-        .drop("_h", "_bucket", "_offset")
-    )
+    copies = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    h = F.md5(F.concat(quoted(id_col).cast("string"), F.lit(":"), F.col("repeat").cast("string")))
+    buckets = max(1, -(-rows.count() // CYCLE_ROWS))
+    place = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    order = Window.partitionBy("repeat", "_bucket").orderBy("_h", id_col)
+    chosen = F.coalesce(F.lead(value).over(order), F.first(value).over(order))
+    dealt = copies.withColumn("_h", h).withColumn("_bucket", place)
+    return dealt.withColumn(output, chosen).drop("_h", "_bucket")
 
 
 def permutation_importance(
@@ -291,27 +281,31 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and deviation of the area lost when one feature is shuffled among the rows.
 
-    ``vectors`` has the id, the target and ``features`` (a vector ordered like ``names``).
-    Two random ranks per repeat pair each row with the row its value comes from; all
-    features and repeats are scored in one job.
+    ``vectors`` has the id, the target and ``features`` (a vector ordered like ``names``). All
+    features and repeats are scored in one job. A linear model needs no new scoring: exchanging one
+    value moves the margin by its coefficient times the difference.
     """
-    base = vectors.select(
-        id_col, F.col(target).alias("label"), vector_to_array("features").alias("x")
-    )
-    plain = model.transform(base.select("label", array_to_vector("x").alias("features")))
-    plain = materialize(plain.select("label", vector_to_array("probability")[1].alias("pd")))
-    points = split_points(plain, "pd")
-    base_auc = roc_auc(plain, "label", "pd", points=points).first()["roc_auc"]
-
-    copies = base.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    rows = _shuffled_rank(copies, id_col, "repeat", "rank_own")
-    donors = _shuffled_rank(copies.drop("label"), id_col, "repeat", "rank_donor").select(
-        "repeat", F.col("rank_donor").alias("rank_own"), F.col("x").alias("donor")
+    scored = model.transform(vectors.select(id_col, F.col(target).alias("label"), "features"))
+    base = materialize(
+        scored.select(
+            id_col,
+            "label",
+            vector_to_array("features").alias("x"),
+            vector_to_array("rawPrediction")[1].alias("margin"),
+            F.round(vector_to_array("probability")[1], 9).alias("pd"),
+        )
     )
-    swapped = (
-        rows.join(donors, ["repeat", "rank_own"])
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))))
-        .select(
+    points = split_points(base, "pd")
+    base_auc = roc_auc(base, "label", "pd", points=points).first()["roc_auc"]
+    paired = with_donors(base.drop("pd"), id_col, "x", repeats, "donor")
+    spread = paired.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("j"))
+    if isinstance(model, LinearScorer):
+        terms = F.array(*[F.lit(float(c)) for c in model.terms()[0]])
+        j = F.col("j")
+        moved = F.col("margin") + terms[j] * (F.col("donor")[j] - F.col("x")[j])
+        scored = spread.select("label", "repeat", "j", F.round(1 / (1 + F.exp(-moved)), 9).alias("pd"))
+    else:
+        swapped = spread.select(
             "label",
             "repeat",
             "j",
@@ -319,10 +313,9 @@ def permutation_importance(
                 F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("donor")[i]).otherwise(v))
             ).alias("features"),
         )
-    )
-    scored = model.transform(swapped).select(
-        "label", "repeat", "j", vector_to_array("probability")[1].alias("pd")
-    )
+        scored = model.transform(swapped).select(
+            "label", "repeat", "j", F.round(vector_to_array("probability")[1], 9).alias("pd")
+        )
     areas = roc_auc(scored, "label", "pd", by=["repeat", "j"], points=points)
     loss = F.lit(base_auc) - F.col("roc_auc")
     return areas.groupBy("j").agg(

@@ -7,11 +7,12 @@ features), the gradient and the loss; Spark adds the tasks' sums, and the step i
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -19,6 +20,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Functions of tasks travel with them: executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Widest model solved this way: a task returns the square of it.
 WIDEST = 128
 #: Rows multiplied at once.

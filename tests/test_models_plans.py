@@ -109,10 +109,28 @@ def test_permutation_importance_finds_the_signal(spark):
     assert not validate.importance_checks(found).first()["single_ok"]
 
 
-def test_shuffled_rank_is_a_permutation(spark):
-    df = spark.range(2000).select(F.col("id").alias("loan_id"), F.lit(1).alias("repeat"))
-    ranks = sorted(r["rank"] for r in models._shuffled_rank(df, "loan_id", "repeat", "rank").collect())
-    assert ranks == list(range(1, 2001))
+def test_donors_are_a_permutation_without_fixed_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "CYCLE_ROWS", 300)
+    df = spark.range(2000).select(F.col("id").alias("loan_id"), F.col("id").alias("v"))
+    paired = models.with_donors(df, "loan_id", "v", 3, "donor").collect()
+    for repeat in (1, 2, 3):
+        mine = [(r["loan_id"], r["donor"]) for r in paired if r["repeat"] == repeat]
+        assert sorted(d for _, d in mine) == list(range(2000)) and all(a != d for a, d in mine)
+    assert {r["donor"] for r in paired if r["loan_id"] == 5} != {5}
+
+
+def test_linear_importance_equals_new_scoring(spark, baseline, prepared):
+    pre, model = baseline
+    vectors = models.assemble(pre).transform(prepared.where("split = 'holdout'"))
+    vectors = vectors.select("loan_id", "default", "features")
+    fast = models.permutation_importance(model.stages[-1], vectors, pre.outputs, "loan_id", repeats=2)
+
+    class Plain:
+        transform = model.stages[-1].transform
+
+    slow = models.permutation_importance(Plain, vectors, pre.outputs, "loan_id", repeats=2)
+    got, wanted = ({r["feature"]: r["importance_mean"] for r in x.collect()} for x in (fast, slow))
+    assert got.keys() == wanted.keys() and all(abs(got[k] - wanted[k]) < 1e-6 for k in got)
 
 
 def test_canary_trips_on_a_leak(prepared):
