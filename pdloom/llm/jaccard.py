@@ -131,6 +131,64 @@ def deletion_keys(items: np.ndarray, band: int, m: int, chosen: list[int]) -> np
     return np.concatenate(found)
 
 
+def most_apart(size_a, size_b, percent: int):
+    """Most shingles in one but not both of two linked sets of these sizes."""
+    return (100 - percent) * (size_a + size_b) // (100 + percent)
+
+
+def signature(items: np.ndarray, percent: int) -> bytes:
+    """One byte per fine segment, the sum of its items' bytes. Each item in one but not both of two
+    sets changes one byte at most, so the number of unequal bytes is a lower bound of their
+    difference. Lengths are powers of two; a longer one folds to a shorter one by adding halves."""
+    size = 32
+    while size < 2 * (most_apart(len(items), len(items), percent) + 1) and size < 4_096:
+        size *= 2
+    place = mixed(items ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(size - 1)
+    value = (mixed(items ^ np.uint64(0x14057B7EF767814F)) & np.uint64(255)).astype(np.float64)
+    total = np.bincount(place.astype(np.int64), value, minlength=size)
+    return (total.astype(np.int64) & 255).astype(np.uint8).tobytes()
+
+
+def folded(signatures: list[bytes], size: int) -> np.ndarray:
+    """Signatures as rows of ``size`` bytes."""
+    out = np.empty((len(signatures), size), np.uint8)
+    for i, held in enumerate(signatures):
+        row = np.frombuffer(held, np.uint8)
+        out[i] = row if len(row) == size else row.reshape(-1, size).sum(axis=0, dtype=np.int64) & 255
+    return out
+
+
+def _may_link(percent: int) -> Callable[[Batches], Batches]:
+    """Pairs whose signatures leave a link possible."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            sigs_a, sigs_b = (batch.column(i).to_pylist() for i in (4, 5))
+            allowed = most_apart(batch.column(1).to_numpy(), batch.column(3).to_numpy(), percent)
+            sizes = np.array([min(len(a), len(b)) for a, b in zip(sigs_a, sigs_b)], np.int64)
+            near = np.zeros(batch.num_rows, bool)
+            for size in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == size)
+                one, two = (folded([x[i] for i in rows], size) for x in (sigs_a, sigs_b))
+                near[rows] = (one != two).sum(axis=1) <= allowed[rows]
+            yield batch.filter(pa.array(near)).select(["a", "n_a", "b", "n_b"])
+
+    return run
+
+
+def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, n_a, b, n_b) that sizes and signatures do not rule out."""
+    fits = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    sized = (
+        pairs.where(fits)
+        .join(signatures.toDF("a", "sig_a"), "a")
+        .join(signatures.toDF("b", "sig_b"), "b")
+        .select("a", "n_a", "b", "n_b", "sig_a", "sig_b")
+    )
+    schema = "a bigint, n_a bigint, b bigint, n_b bigint"
+    return sized.mapInArrow(_may_link(percent), schema).distinct()
+
+
 def _packed(keys: np.ndarray) -> bytes:
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
 
@@ -158,7 +216,7 @@ def _describe(k: int, percent: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         bands = Bands.up_to(1 << 40, percent)
         for batch in batches:
-            sizes, firsts, seconds, keys = [], [], [], []
+            sizes, firsts, seconds, keys, signatures = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 items = shingles(text, k)
                 sizes.append(len(items))
@@ -166,6 +224,7 @@ def _describe(k: int, percent: int) -> Callable[[Batches], Batches]:
                 again = mixed(items ^ np.uint64(0x2545F4914F6CDD1D))
                 seconds.append(int(again.sum(dtype=np.uint64).view(np.int64)))
                 keys.append(_packed(segment_keys(items, bands)) if len(items) else b"")
+                signatures.append(signature(items, percent))
             yield pa.record_batch(
                 [
                     batch.column(0),
@@ -173,8 +232,9 @@ def _describe(k: int, percent: int) -> Callable[[Batches], Batches]:
                     pa.array(firsts, pa.int64()),
                     pa.array(seconds, pa.int64()),
                     pa.array(keys, pa.binary()),
+                    pa.array(signatures, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "hash1", "hash2", "keys"],
+                names=["doc_id", "n_shingles", "hash1", "hash2", "keys", "signature"],
             )
 
     return run
@@ -256,11 +316,12 @@ def _sets(k: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Stored (a, b, linked) for candidate pairs (a, n_a, b, n_b); sets are made of the texts of
-    the documents in pairs only, pairs of too different sizes are not looked at."""
-    fits = "100 * least(n_a, n_b) >= {0} * greatest(n_a, n_b)".format(percent)
-    near = pairs.where(fits)
+def _verified(
+    pairs: DataFrame, signatures: DataFrame, docs: DataFrame, k: int, percent: int
+) -> DataFrame:
+    """Stored (a, b) for the linked ones of candidate pairs (a, n_a, b, n_b); sets are made of the
+    texts of documents in pairs that sizes and signatures leave possible."""
+    near = stored(_possible(pairs, signatures, percent), "jaccard-possible")
     ids = stored(
         near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "jaccard-ids"
     )
@@ -274,12 +335,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     checked = with_a.join(sets.toDF("b", "items_b"), "b").select(
         "a", "b", (100 * common >= percent * union).alias("linked")
     )
-    far = pairs.where(f"not ({fits})").select("a", "b", F.lit(False).alias("linked"))
-    out = stored(
-        checked.unionByName(far).groupBy("a", "b").agg(F.max("linked").alias("linked")),
-        "jaccard-checked",
-    )
-    discard(ids, sets)
+    out = stored(checked.where("linked").select("a", "b").distinct(), "jaccard-linked")
+    discard(near, ids, sets)
     return out
 
 
@@ -314,7 +371,9 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    schema = "doc_id bigint, n_shingles bigint, hash1 bigint, hash2 bigint, keys binary"
+    schema = (
+        "doc_id bigint, n_shingles bigint, hash1 bigint, hash2 bigint, keys binary, signature binary"
+    )
     described = stored(docs.mapInArrow(_describe(k, percent), schema), "jaccard-keys")
     sets = ["n_shingles", "hash1", "hash2"]
     filled = described.where("n_shingles > 0 and doc_id is not null")
@@ -333,15 +392,18 @@ def jaccard_components(
     )
     found = blocks.repartition(tasks, "part").mapInArrow(_meet, "a bigint, b bigint")
     pairs = stored(_by_class(found, members), "jaccard-pairs")
-    checked = _verified(pairs, docs, k, percent)
-    links = checked.where("linked").select("a", "b")
+    signatures = filled.select("doc_id", "signature")
+    links = _verified(pairs, signatures, docs, k, percent)
     labels = stored(components(links), "jaccard-labels")
-    failed = _with_labels(checked.where("not linked"), labels).where("la != lb")
-    open_pairs = stored(failed.select("a", "b"), "jaccard-failed")
+    unlinked = pairs.select("a", "b").join(links, ["a", "b"], "left_anti")
+    open_pairs = stored(
+        _with_labels(unlinked, labels).where("la != lb").select("a", "b"), "jaccard-failed"
+    )
     if open_pairs.count():
-        more = _across(docs, described, members, open_pairs, checked, labels, k, percent)
+        more = _across(docs, described, members, open_pairs, pairs, labels, k, percent)
         links = links.unionByName(more)
         labels = stored(components(links), "jaccard-labels")
+    discard(open_pairs)
     result = (
         members.join(_labelled(labels, "class_id", "_c"), "class_id", "left")
         .withColumn("component_id", F.coalesce("_c", "class_id"))
@@ -370,19 +432,21 @@ def _by_class(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _exploded(batches: Batches) -> Batches:
-    """Rows (id, place, key) of the packed buckets of documents."""
+    """Rows (id, place, key) of the packed buckets of documents, with their further columns."""
     for batch in batches:
         keys = [_unpacked(b) for b in batch.column(1).to_pylist()]
         counts = [len(x) for x in keys]
         if not keys:
             continue
+        owner = pa.array(np.repeat(np.arange(len(counts)), counts))
         yield pa.record_batch(
             [
-                pa.array(np.repeat(batch.column(0).to_numpy(), counts)),
+                batch.column(0).take(owner),
                 pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int64)),
                 pa.array(np.concatenate(keys).astype(np.int64)),
+                *[c.take(owner) for c in batch.columns[2:]],
             ],
-            names=["id", "place", "key"],
+            names=["id", "place", "key", *batch.schema.names[2:]],
         )
 
 
@@ -405,7 +469,7 @@ def _across(
     described: DataFrame,
     members: DataFrame,
     failed: DataFrame,
-    checked: DataFrame,
+    seen: DataFrame,
     labels: DataFrame,
     k: int,
     percent: int,
@@ -430,39 +494,98 @@ def _across(
     n_wanted = wanted.count()
     few = n_wanted <= BROADCAST_ROWS
     held = np.array(sorted(r[0] for r in wanted.collect()), np.int64) if few else None
-    rows = reps.mapInArrow(_holding(held), schema) if n_wanted else reps.limit(0).mapInArrow(_exploded, schema)
+    # Everything a bucket's row needs is joined per document, before the buckets are written out.
+    facts = members.where("class_id = doc_id").select("doc_id", "n_shingles").distinct()
+    sides = filled_signatures(described)
+    whole = (
+        reps.join(facts, "doc_id")
+        .join(_labelled(labels, "doc_id", "_c"), "doc_id", "left")
+        .join(sides, "doc_id")
+        .select("doc_id", "keys", "n_shingles", F.coalesce("_c", "doc_id").alias("comp"), "signature")
+    )
+    kinds = "id bigint, place bigint, key bigint, n_shingles bigint, comp bigint, signature binary"
+    rows = whole.mapInArrow(_holding(held), kinds) if n_wanted else whole.limit(0).mapInArrow(_holding(None), kinds)
     if not few:
         rows = rows.join(wanted, "key", "left_semi")
-    sizes = members.where("class_id = doc_id").select(F.col("doc_id").alias("id"), "n_shingles")
-    held_rows = stored(
-        rows.join(sizes.distinct(), "id")
-        .join(_labelled(labels, "id", "_c"), "id", "left")
-        .select("id", "place", "key", "n_shingles", F.coalesce("_c", "id").alias("comp")),
-        "jaccard-buckets-held",
-    )
     bands = Bands.up_to(max(1, members.agg(F.max("n_shingles")).first()[0] or 1), percent)
-    skipped, doubled = _allocation(held_rows, members, bands)
-    inner = held_rows
+    skipped, doubled = _allocation(rows.drop("signature"), members, bands)
+    inner = rows
     for band, segment in skipped:
         lone = (F.col("_band") == band) & (F.col("_segment") == segment)
         inner = _with_segment(inner, bands).where(~lone).drop("_band", "_segment")
+    entries_all = inner.select("key", "id", "n_shingles", "comp", "signature")
     more = _deleted(docs, members, labels, bands, doubled, k)
-    entries_all = inner.select("id", "key", "n_shingles", "comp")
     if more is not None:
-        entries_all = entries_all.unionByName(more)
-    x, y = (
-        entries_all.toDF(f"{s}", "key", f"n_{s}", f"comp_{s}") for s in ("a", "b")
-    )
+        more = more.join(sides.withColumnRenamed("doc_id", "id"), "id")
+        entries_all = entries_all.unionByName(more.select(*entries_all.columns))
     pairs = (
-        x.join(y, "key")
-        .where("a < b and comp_a != comp_b")
-        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select("a", "n_a", "b", "n_b")
+        entries_all.repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_compared(percent), "a bigint, n_a bigint, b bigint, n_b bigint")
         .distinct()
-        .join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        .join(seen.select("a", "b"), ["a", "b"], "left_anti")
     )
-    again = _verified(stored(pairs, "jaccard-pairs"), docs, k, percent)
-    return again.where("linked").select("a", "b")
+    fresh = stored(pairs, "jaccard-pairs")
+    found = _verified(fresh, sides, docs, k, percent)
+    discard(ids, entries, wanted, fresh)
+    return found
+
+
+def filled_signatures(described: DataFrame) -> DataFrame:
+    return described.where("n_shingles > 0 and doc_id is not null").select("doc_id", "signature")
+
+
+#: Bytes of signatures compared at once.
+COMPARED = 8_000_000
+
+
+def _compared(percent: int) -> Callable[[Batches], Batches]:
+    """Pairs across components in each bucket that sizes and signatures leave possible. Rows come
+    sorted by bucket; a bucket is compared in blocks, and nothing is emitted for the other pairs."""
+
+    def pairs_of(sizes, comps, signatures) -> np.ndarray:
+        """Places (i, j) of possible pairs. Rows of the largest component are not compared with one
+        another: they come last, and each other row meets the rows after it."""
+        found, counts = np.unique(comps, return_counts=True)
+        order = np.argsort(comps == found[counts.argmax()], kind="stable")
+        others = len(comps) - int(counts.max())
+        width = min(map(len, signatures))
+        rows, sizes, comps = folded(signatures, width)[order], sizes[order], comps[order]
+        pairs = []
+        low = 0
+        while low < others:
+            end = min(others, low + max(1, COMPARED // ((len(rows) - low) * width)))
+            apart = np.stack([np.count_nonzero(rows[low:] != rows[i], axis=1) for i in range(low, end)])
+            close = apart <= most_apart(sizes[low:end, None], sizes[None, low:], percent)
+            close &= comps[low:end, None] != comps[None, low:]
+            one, two = np.nonzero(close)
+            pairs.append(np.stack([one, two], 1)[one < two] + low)
+            low = end
+        return order[np.concatenate(pairs)]
+
+    def flush(held: list[tuple]) -> Batches:
+        ids, sizes, comps = (np.array([r[i] for r in held], np.int64) for i in (1, 2, 3))
+        if len(held) < 2 or (comps == comps[0]).all():
+            return
+        at = pairs_of(sizes, comps, [r[4] for r in held])
+        at = np.where((ids[at[:, 0]] > ids[at[:, 1]])[:, None], at[:, ::-1], at)
+        at = at[ids[at[:, 0]] != ids[at[:, 1]]]
+        if len(at):
+            columns = [ids[at[:, 0]], sizes[at[:, 0]], ids[at[:, 1]], sizes[at[:, 1]]]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["a", "n_a", "b", "n_b"])
+
+    def run(batches: Batches) -> Batches:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if held and row[0] != held[0][0]:
+                    yield from flush(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from flush(held)
+
+    return run
 
 
 def _with_segment(rows: DataFrame, bands: Bands) -> DataFrame:

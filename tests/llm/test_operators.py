@@ -18,7 +18,7 @@ from pdloom.llm.labelled import fold
 from pdloom.llm.licenses import license_scan
 from pdloom.llm.mixing import key_share, mix_sources, sampling_key, taken_documents, weight_bins
 from pdloom.llm.quality import fit_quality, score_quality
-from pdloom.llm import stages
+from pdloom.llm import jaccard, stages
 from pdloom.llm.sharding import shard_documents
 from pdloom.llm.token_files import TokenFile, tokenize_to_files
 from pdloom.llm.tokens import WordEncoder
@@ -419,3 +419,42 @@ def test_mixing_spreads_any_weight_over_its_windows(spark):
         F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("<<>> $$ = word").alias("text")
     )
     assert mix_sources(symbols).agg(F.sum("taken")).first()[0] == mix_sources(symbols).agg(F.sum("size")).first()[0]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_signatures_never_rule_out_a_link(percent):
+    random = np.random.default_rng(percent)
+    for n in (1, 5, 40, 300, 2_000):
+        base = random.integers(1, 1 << 62, n).astype(np.uint64)
+        for _ in range(40):
+            other = base.copy()
+            moved = random.integers(0, n + 1) if n < 40 else random.integers(0, n // 5)
+            other[:moved] = random.integers(1, 1 << 62, moved)
+            a, b = np.unique(base), np.unique(other[: len(other) - random.integers(0, n // 10 + 1)])
+            both = len(np.intersect1d(a, b))
+            if not len(b) or 100 * both < percent * (len(a) + len(b) - both):
+                continue
+            one, two = (jaccard.signature(x, percent) for x in (a, b))
+            size = min(len(one), len(two))
+            left, right = jaccard.folded([one, two], size)
+            assert (left != right).sum() <= jaccard.most_apart(len(a), len(b), percent)
+
+
+@pytest.mark.parametrize("block", [64, 8_000_000])
+def test_buckets_of_several_components(spark, monkeypatch, block):
+    """Variants of one text at distances around the threshold: brute force, few bytes at once."""
+    monkeypatch.setattr(jaccard, "COMPARED", block)
+    base = words(11, 150)
+    rows = []
+    for i in range(120):
+        random = np.random.default_rng(100 + i)
+        text = list(base)
+        for at in random.integers(0, 150, random.integers(0, 7)):
+            text[at] = f"x{random.integers(0, 3)}"
+        rows.append((int(random.integers(0, 1 << 40)), " ".join(text), "en", "a", 1, 2))
+    docs = spark.createDataFrame(rows, DOCS)
+    for k, percent in ((3, 90), (5, 80)):
+        found = jaccard_components(docs, k, percent)[0]
+        wanted = brute_components(docs.collect(), k, percent)
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+        assert got == wanted and len({component for _, _, component in wanted}) > 3
