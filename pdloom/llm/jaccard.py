@@ -35,9 +35,27 @@ from pdloom.llm.components import components
 KEY_BYTES = 6
 BAND_RATIO = 1.4
 #: Bucket entries one task of the index holds, on average.
-TASK_ENTRIES = 1_000_000
+TASK_ENTRIES = 250_000
 
 Batches = Iterator[pa.RecordBatch]
+#: Documents of a batch that are worked on at once.
+DOCUMENTS = 2_000
+
+
+def in_parts(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The work on batches of at most ``DOCUMENTS`` rows; what Arrow held is given back at the end, as
+    the worker stays for later tasks."""
+
+    def run(batches: Batches) -> Batches:
+        cut = (
+            batch.slice(low, DOCUMENTS)
+            for batch in batches
+            for low in range(0, max(1, batch.num_rows), DOCUMENTS)
+        )
+        yield from work(cut)
+        pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -186,7 +204,7 @@ def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFram
         .select("a", "n_a", "b", "n_b", "sig_a", "sig_b")
     )
     schema = "a bigint, n_a bigint, b bigint, n_b bigint"
-    return sized.mapInArrow(_may_link(percent), schema).distinct()
+    return sized.mapInArrow(in_parts(_may_link(percent)), schema).distinct()
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -328,7 +346,7 @@ def _verified(
     wanted = docs.join(
         counted_broadcast(ids, ids.count()), F.col("doc_id") == F.col("id"), "left_semi"
     )
-    sets = stored(wanted.mapInArrow(_sets(k), "id bigint, items array<bigint>"), "jaccard-sets")
+    sets = stored(wanted.mapInArrow(in_parts(_sets(k)), "id bigint, items array<bigint>"), "jaccard-sets")
     with_a = near.select("a", "b").join(sets.toDF("a", "items_a"), "a")
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common
@@ -374,7 +392,7 @@ def jaccard_components(
     schema = (
         "doc_id bigint, n_shingles bigint, hash1 bigint, hash2 bigint, keys binary, signature binary"
     )
-    described = stored(docs.mapInArrow(_describe(k, percent), schema), "jaccard-keys")
+    described = stored(docs.mapInArrow(in_parts(_describe(k, percent)), schema), "jaccard-keys")
     sets = ["n_shingles", "hash1", "hash2"]
     filled = described.where("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy(*sets).agg(F.min("doc_id").alias("class_id"))
@@ -387,10 +405,10 @@ def jaccard_components(
     entries = filled.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     tasks = tasks_for(spark, entries // KEY_BYTES, TASK_ENTRIES)
     blocks = filled.select("doc_id", *sets, "keys").mapInArrow(
-        _combine(4 * tasks),
+        in_parts(_combine(4 * tasks)),
         "part bigint, owners binary, counts binary, keys binary, pairs binary",
     )
-    found = blocks.repartition(tasks, "part").mapInArrow(_meet, "a bigint, b bigint")
+    found = blocks.repartition(tasks, "part").mapInArrow(in_parts(_meet), "a bigint, b bigint")
     pairs = stored(_by_class(found, members), "jaccard-pairs")
     signatures = filled.select("doc_id", "signature")
     links = _verified(pairs, signatures, docs, k, percent)
@@ -485,7 +503,7 @@ def _across(
     some = reps.join(
         counted_broadcast(ids, ids.count()), F.col("doc_id") == F.col("id"), "left_semi"
     )
-    entries = stored(some.mapInArrow(_exploded, schema), "jaccard-entries")
+    entries = stored(some.mapInArrow(in_parts(_exploded), schema), "jaccard-entries")
     sides = [entries.select(F.col("id").alias(c), "key").distinct() for c in ("a", "b")]
     wanted = stored(
         failed.join(sides[0], "a").join(sides[1], ["b", "key"]).select("key").distinct(),
@@ -504,7 +522,7 @@ def _across(
         .select("doc_id", "keys", "n_shingles", F.coalesce("_c", "doc_id").alias("comp"), "signature")
     )
     kinds = "id bigint, place bigint, key bigint, n_shingles bigint, comp bigint, signature binary"
-    rows = whole.mapInArrow(_holding(held), kinds) if n_wanted else whole.limit(0).mapInArrow(_holding(None), kinds)
+    rows = whole.mapInArrow(in_parts(_holding(held)), kinds) if n_wanted else whole.limit(0).mapInArrow(_holding(None), kinds)
     if not few:
         rows = rows.join(wanted, "key", "left_semi")
     bands = Bands.up_to(max(1, members.agg(F.max("n_shingles")).first()[0] or 1), percent)
@@ -521,7 +539,7 @@ def _across(
     pairs = (
         entries_all.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_compared(percent), "a bigint, n_a bigint, b bigint, n_b bigint")
+        .mapInArrow(in_parts(_compared(percent)), "a bigint, n_a bigint, b bigint, n_b bigint")
         .distinct()
         .join(seen.select("a", "b"), ["a", "b"], "left_anti")
     )
