@@ -17,7 +17,7 @@ from pdloom.catalog.base import (
 )
 from pdloom.operators import baseline, drift, encoders, features, profiles, splits
 from pdloom.plans.jobs import periods
-from pdloom.session import scratch_path
+from pdloom.session import cached, scratch_path
 from pdloom.sources import tables
 from pdloom.sources.fixture import loans
 
@@ -655,14 +655,15 @@ def drift_report(spark, sf):
 @query("kept_baseline", _REPORT_SQL)
 def kept_baseline(spark, sf):
     """The report of the recent period from a stored baseline and the added counts of two files."""
-    rows = periods(cleaned(spark, sf), "issue_d", "loan_id")
+    rows = periods(cleaned(spark, sf), "issue_d", "loan_id").select("loan_id", "period", *DRIFT_COLUMNS)
     folder = scratch_path(spark, "drift-state")
-    fitted = baseline.fit_baseline(rows.where("period = 'train'"), DRIFT_COLUMNS)
-    tables.write_table(fitted, f"{folder}/baseline")
-    kept = spark.read.parquet(f"{folder}/baseline")
-    for i in range(2):
-        arrived = rows.where(f"period = 'recent' and loan_id % 2 = {i}")
-        tables.write_table(baseline.period_counts(arrived, kept), f"{folder}/counts/file={i}")
+    with cached(rows):
+        fitted = baseline.fit_baseline(rows.where("period = 'train'"), DRIFT_COLUMNS)
+        tables.write_table(fitted, f"{folder}/baseline")
+        kept = spark.read.parquet(f"{folder}/baseline")
+        for i in range(2):
+            arrived = rows.where(f"period = 'recent' and loan_id % 2 = {i}")
+            tables.write_table(baseline.period_counts(arrived, kept), f"{folder}/counts/file={i}")
     counts = baseline.added(spark.read.parquet(f"{folder}/counts").drop("file"))
     report = baseline.report_from_counts(kept, counts)
     report = report.select("feature", "psi", "psi_label", *_SIDES)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pdloom.constants import PSI_EPSILON
 from pdloom.functions.columns import finite, quoted
 from pdloom.operators.drift import psi_label
-from pdloom.operators.ordering import exact_percentiles
+from pdloom.operators.ordering import exact_percentiles, with_bins
 from pdloom.session import small_table
 
 #: The bin of a value outside the range of the cuts.
@@ -24,30 +24,22 @@ OUTSIDE = -1
 _CUTS = "feature string, cuts array<double>, shift double"
 
 
-def _bin_of(value: Column, points: Sequence[float]) -> Column:
-    if len(points) <= 2:
-        return F.when(value.isNotNull(), F.lit(OUTSIDE))
-    inner = F.lit(0)
-    for point in points[1:-1]:
-        inner = inner + (value >= F.lit(point)).cast("int")
-    in_range = (value >= F.lit(points[0])) & (value <= F.lit(points[-1]))
-    return F.when(in_range, inner).when(value.isNotNull(), F.lit(OUTSIDE))
-
-
 def _counted(df: DataFrame, plan: dict[str, tuple[list[float], float]]) -> DataFrame:
     """Rows per feature and bin with their moments about the feature's shift and their range."""
     parts = []
-    for name, (points, shift) in plan.items():
-        value = finite(quoted(name).cast("double"))
+    values = [finite(quoted(name).cast("double")).alias(name) for name in plan]
+    binned = with_bins(df.select(*values), {name: points for name, (points, _) in plan.items()}, OUTSIDE)
+    for i, (name, (_, shift)) in enumerate(plan.items()):
+        value = quoted(name)
         parts.append(
             F.struct(
                 F.lit(name).alias("feature"),
-                _bin_of(value, points).alias("bin"),
+                F.col(f"_bin{i}").alias("bin"),
                 value.alias("value"),
                 (value - F.lit(float(shift))).alias("off"),
             )
         )
-    rows = df.select(F.explode(F.array(*parts)).alias("p")).select("p.*").where("bin is not null")
+    rows = binned.select(F.explode(F.array(*parts)).alias("p")).select("p.*").where("bin is not null")
     return rows.groupBy("feature", "bin").agg(
         F.count("*").alias("n"),
         F.sum("off").alias("s1"),

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from pdloom.constants import PSI_EPSILON, PSI_MODERATE, PSI_SIGNIFICANT, TARGET
 from pdloom.functions.columns import finite, quoted
-from pdloom.operators.ordering import exact_percentiles
+from pdloom.operators.ordering import exact_percentiles, with_bins
 from pdloom.operators.profiles import numeric_columns, tidy
-from pdloom.session import small_table
+from pdloom.session import cached, materialize, small_table
 
 
 def _finite_columns(df: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:
@@ -26,6 +26,11 @@ def numeric_summary(df: DataFrame, period: str, columns: Sequence[str] | None =
     Nulls and infinities are left out; a column without values in a period has no row.
     """
     columns = columns or [c for c in numeric_columns(df) if c != period]
+    return _summary_of(_finite_columns(df, period, columns), period, columns)
+
+
+def _summary_of(rows: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:
+    """``numeric_summary`` of finite columns."""
     aggs = []
     for i, name in enumerate(columns):
         value = quoted(name)
@@ -36,7 +41,7 @@ def numeric_summary(df: DataFrame, period: str, columns: Sequence[str] | None =
             F.min(value).alias(f"min{i}"),
             F.max(value).alias(f"max{i}"),
         ]
-    wide = _finite_columns(df, period, columns).groupBy(period).agg(*aggs)
+    wide = rows.groupBy(period).agg(*aggs)
     structs = [
         F.struct(
             F.lit(name).alias("feature"),
@@ -94,30 +99,26 @@ def psi(
     Bins lie between the distinct baseline quantiles; values outside the baseline range
     are left out; NaN when a side has no values or there are fewer than two bins.
     """
+    return _psi_of(_finite_columns(df, period, columns), period, columns, baseline, recent, bins)
+
+
+def _psi_of(
+    df: DataFrame, period: str, columns: Sequence[str], baseline: str, recent: str, bins: int = 10
+) -> DataFrame:
+    """``psi`` of finite columns."""
     probs = [i / bins for i in range(bins + 1)]
-    df = _finite_columns(df, period, columns)
     base = df.where(F.col(period) == baseline)
     cuts = {
         name: sorted(set(points))
         for name, points in exact_percentiles(base, {c: probs for c in columns}).items()
         if points is not None
     }
-    parts = []
-    for name in columns:
-        points = cuts.get(name, [])
-        value = quoted(name)
-        if len(points) > 2:
-            inner = F.lit(0)
-            for point in points[1:-1]:
-                inner = inner + (value >= F.lit(point)).cast("int")
-            in_range = (value >= F.lit(points[0])) & (value <= F.lit(points[-1]))
-            number = F.when(in_range, inner).when(value.isNotNull(), F.lit(-1))
-        else:
-            number = F.when(value.isNotNull(), F.lit(-1))
-        parts.append(F.struct(F.lit(name).alias("feature"), number.alias("bin")))
+    parts = [
+        F.struct(F.lit(name).alias("feature"), F.col(f"_bin{i}").alias("bin")) for i, name in enumerate(columns)
+    ]
     is_base = (F.col(period) == baseline).alias("is_base")
     rows = (
-        df.where(F.col(period).isin(baseline, recent))
+        with_bins(df.where(F.col(period).isin(baseline, recent)), {c: cuts.get(c, []) for c in columns})
         .select(is_base, F.explode(F.array(*parts)).alias("p"))
         .select("is_base", "p.*")
         .where(F.col("bin").isNotNull())
@@ -174,9 +175,20 @@ def drift_report(
     baseline: str = "train",
     recent: str = "recent",
 ) -> DataFrame:
-    """Stability index, its label and both summaries, for features present in both periods."""
-    aligned = align_periods(numeric_summary(df, period, columns), period, baseline, recent)
-    scores = psi(df, period, columns, baseline, recent)
+    """Stability index, its label and both summaries, for features present in both periods.
+
+    The finite columns are kept while they are read: for the sketch, the ranks, the bins and the
+    summary.
+    """
+    with cached(_finite_columns(df, period, columns)) as rows:
+        return materialize(_report_of(rows, period, columns, baseline, recent))
+
+
+def _report_of(
+    rows: DataFrame, period: str, columns: Sequence[str], baseline: str, recent: str
+) -> DataFrame:
+    aligned = align_periods(_summary_of(rows, period, columns), period, baseline, recent)
+    scores = _psi_of(rows, period, columns, baseline, recent)
     return scores.withColumn("psi_label", psi_label(F.col("psi"))).join(aligned, "feature")
 
 
@@ -189,7 +201,11 @@ def drift_summary(
     target: str = TARGET,
 ) -> DataFrame:
     """Default-rate and feature drift of a period as one tidy (metric, feature, value) table."""
-    rates = default_rate_drift(df, period, baseline, recent, target)
+    values = [finite(quoted(c).cast("double")).alias(c) for c in columns if c != target]
+    label = finite(quoted(target).cast("double")) if target in columns else quoted(target)
+    with cached(df.select(period, label.alias(target), *values)) as rows:
+        rates = materialize(default_rate_drift(rows, period, baseline, recent, target))
+        report = materialize(_report_of(rows, period, columns, baseline, recent))
     head = tidy(
         rates,
         [
@@ -197,7 +213,6 @@ def drift_summary(
             for m in ("train_rate", "recent_rate", "delta")
         ],
     )
-    report = drift_report(df, period, columns, baseline, recent)
     stats = ["psi", *[f"{p}_{s}" for p in (baseline, recent) for s in ("mean", "std", "min", "max")]]
     body = report.select(
         F.inline(

@@ -61,6 +61,36 @@ def _segment(value: Column, brackets: Sequence[_Bracket]) -> Column:
     return F.when(value.isNotNull(), expr)
 
 
+def _cut_points(brackets: Sequence[_Bracket]) -> tuple[list[float], list[int]]:
+    """Ascending splits of doubles, and the segment that starts at each but the last."""
+    starts = {-math.inf: 0}
+    for i, b in enumerate(brackets):
+        starts[float(b.low) + 0.0] = 2 * i + 1
+        starts[math.nextafter(float(b.high), math.inf) + 0.0] = 2 * i + 2
+    starts.pop(math.inf, None)
+    return [*starts, math.inf], list(starts.values())
+
+
+def _with_segments(df: DataFrame, dtype: str, plan: Mapping[str, tuple[list[_Bracket], list[int]]]) -> DataFrame:
+    """Adds ``_segment<i>``, the segment of the i-th column of the plan, found once per value.
+
+    Doubles are searched for by bisection. One expression of all comparisons of many columns is too
+    long a method for the JIT compiler, and it would be evaluated again wherever it is used.
+    """
+    for i, (name, (brackets, _)) in enumerate(plan.items()):
+        out, value = f"_segment{i}", quoted(name)
+        if dtype != "double" or any(math.isnan(b.low) or math.isnan(b.high) for b in brackets):
+            df = df.withColumn(out, _segment(value, brackets))
+            continue
+        splits, segments = _cut_points(brackets)
+        # Adding zero folds the two signed zeros into one value.
+        df = df.withColumn("__value", value + F.lit(0.0))
+        df = with_bucket(df, "__value", splits[1:-1], out).drop("__value")
+        number = F.element_at(F.array(*[F.lit(s) for s in segments]), F.col(out) + 1)
+        df = df.withColumn(out, F.when(value.isNotNull(), number))
+    return df
+
+
 def _inside(segment: Column, value: Column, brackets: Sequence[_Bracket]) -> Column:
     """The value where it has to be told apart: inside a bracket wider than one value."""
     wide = [2 * i + 1 for i, b in enumerate(brackets) if b.low != b.high]
@@ -90,7 +120,7 @@ def _read_ranks(
     parts = []
     for i, name in enumerate(names):
         brackets, value = plan[name][0], quoted(name)
-        segment = _segment(value, brackets)
+        segment = F.col(f"_segment{i}")
         parts.append(
             F.struct(
                 F.lit(i).alias("c"),
@@ -99,7 +129,8 @@ def _read_ranks(
             )
         )
     counts = (
-        df.select(F.explode(F.array(*parts)).alias("p"))
+        _with_segments(df, dtype, plan)
+        .select(F.explode(F.array(*parts)).alias("p"))
         .select("p.*")
         .where(F.col("segment").isNotNull())
         .groupBy("c", "segment", "value")
@@ -277,6 +308,21 @@ def split_points(df: DataFrame, column: str, buckets: int | None = None) -> list
     return sorted(set(points or []))
 
 
+def with_bins(df: DataFrame, cuts: Mapping[str, Sequence[float]], outside: int = -1) -> DataFrame:
+    """Adds ``_bin<i>``: the number of inner cuts of the i-th column at or below its value, ``outside``
+    beyond the ends or where there are fewer than three cuts, null for a null."""
+    for i, (name, points) in enumerate(cuts.items()):
+        value, out = quoted(name), f"_bin{i}"
+        beyond = F.when(value.isNotNull(), F.lit(outside))
+        if len(points) <= 2:
+            df = df.withColumn(out, beyond)
+            continue
+        df = with_bucket(df.withColumn("__value", value + F.lit(0.0)), "__value", points[1:-1], out).drop("__value")
+        in_range = (value >= F.lit(points[0])) & (value <= F.lit(points[-1]))
+        df = df.withColumn(out, F.when(in_range, F.col(out)).otherwise(beyond))
+    return df
+
+
 def with_bucket(df: DataFrame, column: str, points: Sequence[float], name: str) -> DataFrame:
     """Bucket number of a value; equal values share a bucket and buckets keep the order."""
     splits = [-math.inf, *(points or [0.0]), math.inf]

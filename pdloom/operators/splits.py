@@ -19,6 +19,7 @@ from pdloom.constants import TARGET
 from pdloom.functions.columns import quoted
 from pdloom.operators.features import domain_features, parsed_date
 from pdloom.operators.ordering import kth_smallest
+from pdloom.session import cached
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,13 @@ def time_cuts(
     """
     key, dtype = _order_key(df, id_col)
     rows = df.select(parsed_date(df, date_col).alias("d"), key.alias("k"))
+    # Dates are read once; the cuts are looked for among the kept dates and keys.
+    with cached(rows):
+        return _cuts_of(rows, date_col, dtype, sizes_of)
+
+
+def _cuts_of(rows: DataFrame, date_col: str, dtype: str, sizes_of) -> tuple[list[Cut], int]:
+    """Cuts of dates ``d`` and keys ``k``."""
     per_date = rows.groupBy("d").agg(F.count("*").alias("n"))
     # One row per calendar day at most reaches the driver.
     days, total = [], 0

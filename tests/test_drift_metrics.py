@@ -1,8 +1,10 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pdloom.operators import baseline, drift, metrics, profiles
+from pdloom.operators import baseline, drift, metrics, ordering, profiles
 
 
 @pytest.fixture(scope="module")
@@ -174,3 +176,30 @@ def test_counts_are_counted_without_the_baseline_rows(two_periods):
     same = baseline.period_counts(two_periods.where("period = 'train'"), kept)
     row = baseline.report_from_counts(kept, same).first()
     assert row["psi"] == pytest.approx(0.0) and row["train_n"] == row["recent_n"] == 2500
+
+
+def test_drift_report_computes_its_columns_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def told(value):
+        seen.add(1)
+        return value
+
+    period = F.when(F.col("id") < 100, "train").otherwise("recent").alias("period")
+    df = spark.range(200).select(period, told(F.col("id").cast("double")).alias("x"))
+    report = drift.drift_report(df, "period", ["x"]).collect()
+    assert seen.value == 200 and (report[0]["train_max"], report[0]["recent_min"]) == (99.0, 100.0)
+
+
+def test_bins_and_segments_at_their_edges(spark):
+    rows = [(v,) for v in (None, -1.0, -0.0, 0.0, 1.0, math.nextafter(1.0, 2.0), 2.0, 3.0, 4.0)]
+    df = spark.createDataFrame(rows, "v double")
+    cuts = {"v": [-1.0, 0.0, 2.0, 3.0]}
+    assert [r[0] for r in ordering.with_bins(df, cuts).select("_bin0").collect()] == [None, 0, 1, 1, 1, 1, 2, 2, -1]
+    after = math.nextafter(1.0, 2.0)
+    brackets = [ordering._Bracket(-0.0, 1.0), ordering._Bracket(after, after), ordering._Bracket(3.0, 3.0)]
+    fast = ordering._with_segments(df, "double", {"v": (brackets, [])}).select("_segment0")
+    slow = df.select(ordering._segment(F.col("v"), brackets))
+    wanted = [None, 0, 1, 1, 1, 3, 4, 5, 6]
+    assert [r[0] for r in fast.collect()] == [r[0] for r in slow.collect()] == wanted
