@@ -665,8 +665,11 @@ _CANARY = {
     ),
 )
 def canary_lr(spark, sf):
-    matrix, plan = _split3_matrix(spark, sf)
-    found = models.canary_lr(part(matrix, "train"), part(matrix, "val"), plan.feature_columns)
+    dated = splits.time_split3(cleaned(spark, sf), "issue_d", "loan_id")
+    with cached(dated):
+        plan = fit_feature_matrix(part(dated, "train"))
+        matrix = plan.transform(dated, ["loan_id", "split"])
+        found = models.canary_lr(part(matrix, "train"), part(matrix, "val"), plan.feature_columns)
     return rounded(found, 6, "train_auc", "val_auc", "auc_gap")
 
 
@@ -791,12 +794,13 @@ _CALIBRATION = {
 def _saved_bundle(spark, sf):
     """Root of a folder of bundles with the calibrated linear model."""
     dated = splits.time_split3(cleaned(spark, sf), "issue_d", "loan_id")
-    plan = fit_feature_matrix(part(dated, "train"))
-    with cached(plan.transform(part(dated, "train"), ["loan_id"])) as train:
-        pre = preprocess.fit_preprocess(train, plan.feature_columns)
-        model = models.train_lr(train, pre)
-    val = models.score_loans(model, plan.transform(part(dated, "val"), ["loan_id"]))
-    calibration = models.calibrate_sigmoid(val.select("default", "margin"))
+    with cached(dated):
+        plan = fit_feature_matrix(part(dated, "train"))
+        with cached(plan.transform(part(dated, "train"), ["loan_id"])) as train:
+            pre = preprocess.fit_preprocess(train, plan.feature_columns)
+            model = models.train_lr(train, pre)
+        val = models.score_loans(model, plan.transform(part(dated, "val"), ["loan_id"]))
+        calibration = models.calibrate_sigmoid(val.select("default", "margin"))
     root = scratch_path(spark, "bundles")
     save_bundle(spark, root, "pd_lr_v1", model, plan, calibration=calibration)
     return root, dated

@@ -59,8 +59,8 @@ def train_lr(
     )
     if pre.width <= WIDEST:
         numbers = rows.select(vector_to_array("features").alias("x"), "label", "weight")
-        with cached(numbers.where("label is not null")) as known:
-            terms, intercept = fit_logistic(known, pre.width, 1.0 / c, max_iter)
+        known = numbers.where("label is not null")
+        terms, intercept = fit_logistic(known, pre.width, 1.0 / c, max_iter)
         scorer = LinearScorer(coefficients=terms.tolist(), intercept=intercept)
         return PipelineModel([*stages, scorer])
     model = LogisticRegression(
@@ -146,17 +146,17 @@ def calibrate_sigmoid(scored: DataFrame, target: str = TARGET, margin: str = "ma
     Each row enters twice, as a positive and a negative with the smoothed target as weight.
     """
     y = quoted(target)
-    sides = scored.agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")).first()
-    high = (sides["pos"] + 1.0) / (sides["pos"] + 2.0)
-    low = 1.0 / (sides["neg"] + 2.0)
-    share = F.when(y == 1, F.lit(high)).otherwise(F.lit(low))
-    both = F.array(
-        F.struct(F.lit(1.0).alias("label"), share.alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - share).alias("weight")),
-    )
-    rows = scored.select(F.array(quoted(margin).cast("double")).alias("x"), F.inline(both))
-    with cached(rows) as known:
-        slopes, intercept = fit_logistic(known, 1)
+    with cached(scored.select(target, margin)) as held:
+        sides = held.agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")).first()
+        high = (sides["pos"] + 1.0) / (sides["pos"] + 2.0)
+        low = 1.0 / (sides["neg"] + 2.0)
+        share = F.when(y == 1, F.lit(high)).otherwise(F.lit(low))
+        both = F.array(
+            F.struct(F.lit(1.0).alias("label"), share.alias("weight")),
+            F.struct(F.lit(0.0).alias("label"), (1 - share).alias("weight")),
+        )
+        rows = held.select(F.array(quoted(margin).cast("double")).alias("x"), F.inline(both))
+        slopes, intercept = fit_logistic(rows, 1)
     return float(slopes[0]), intercept
 
 
@@ -231,14 +231,17 @@ def canary_lr(
     max_gap: float = MAX_AUC_GAP,
 ) -> DataFrame:
     """Quick linear model: a suspiciously high area or gap points at leakage."""
-    with cached(train):
+    # The rows fitted on are kept until they are scored.
+    with cached(train.select(*[quoted(c) for c in (*features, target)])) as train:
         pre = fit_preprocess(train, features, center=False)
         model = train_lr(train, pre, target, max_iter=400)
-    both = train.select(*features, target, F.lit("train").alias("part")).unionByName(
-        val.select(*features, target, F.lit("val").alias("part"))
-    )
-    scored = score_loans(model, both).select("part", target, F.round("pd", 9).alias("pd"))
-    scored = materialize(scored)
+        sides = [
+            score_loans(model, side.select(*[quoted(c) for c in (*features, target)])).select(
+                F.lit(name).alias("part"), target, F.round("pd", 9).alias("pd")
+            )
+            for name, side in (("train", train), ("val", val))
+        ]
+        scored = materialize(sides[0].unionByName(sides[1]))
     areas = roc_auc(scored, target, "pd", by=["part"])
     wide = areas.agg(
         F.max(F.when(F.col("part") == "train", F.col("roc_auc"))).alias("train_auc"),

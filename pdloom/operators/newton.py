@@ -2,7 +2,8 @@
 
 One aggregation per step: every task adds up the products of its rows (a matrix of features times
 features), the gradient and the loss; Spark adds the tasks' sums, and the step is solved from
-``(width + 1) ** 2`` numbers. The rows stay where they are.
+``(width + 1) ** 2`` numbers. The rows stay where they are, in blocks of numbers that are kept as
+arrays: a step converts no columns.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle, keyword_only
+from pyspark import RDD, StorageLevel, cloudpickle, keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -25,52 +26,52 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Widest model solved this way: a task returns the square of it.
 WIDEST = 128
-#: Rows multiplied at once.
-ROWS = 16_384
+
+
+BLOCK_SCHEMA = "x binary, label binary, weight binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One block per batch: the inputs by row, the labels and the weights."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = (batch.column(0).flatten(), batch.column(1), batch.column(2))
+        held = [c.to_numpy(zero_copy_only=False).astype(np.float64).tobytes() for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array([h], pa.binary()) for h in held], names=["x", "label", "weight"])
+
+
+def _blocks(rows: DataFrame) -> RDD:
+    def arrays(row) -> tuple[np.ndarray, ...]:
+        y = np.frombuffer(row["label"], np.float64)
+        return np.frombuffer(row["x"], np.float64).reshape(len(y), -1), y, np.frombuffer(row["weight"], np.float64)
+
+    return rows.mapInArrow(_pack, BLOCK_SCHEMA).rdd.map(arrays).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _summer(beta: np.ndarray, shift: np.ndarray) -> Callable:
-    """Sums of one partition, of inputs less ``shift``: products by row, the gradient, the loss."""
+    """Adds the sums of a block, of inputs less ``shift``: products by row, the gradient, the loss."""
     width = len(beta)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        products, gradient, loss = np.zeros((width, width)), np.zeros(width), 0.0
-        for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            x = np.ones((batch.num_rows, width))
-            x[:, :-1] = flat.reshape(batch.num_rows, width - 1) - shift
-            y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            margin = x @ beta
-            p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
-            loss += float((w * (np.logaddexp(0, margin) - y * margin)).sum())
-            gradient += x.T @ (w * (p - y))
-            products += (x * (w * p * (1 - p))[:, None]).T @ x
-        told = [*products, gradient, np.array([loss])]
-        place = np.concatenate([np.full(len(v), i) for i, v in enumerate(told)])
-        at = np.concatenate([np.arange(len(v)) for v in told])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(place.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(np.concatenate(told))],
-            names=["i", "j", "value"],
-        )
+    def add(total: np.ndarray, block: tuple[np.ndarray, ...]) -> np.ndarray:
+        inputs, y, w = block
+        x = np.ones((len(y), width))
+        x[:, :-1] = inputs - shift
+        margin = x @ beta
+        p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+        loss = float((w * (np.logaddexp(0, margin) - y * margin)).sum())
+        gradient = x.T @ (w * (p - y))
+        products = (x * (w * p * (1 - p))[:, None]).T @ x
+        return total + np.concatenate([products.ravel(), gradient, [loss]])
 
     return add
 
 
-def _sums(
-    rows: DataFrame, beta: np.ndarray, shift: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, float]:
+def _sums(blocks: RDD, beta: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     width = len(beta)
-    told = rows.mapInArrow(_summer(beta, shift), "i int, j int, value double")
-    added = told.groupBy("i", "j").agg(F.sum("value").alias("value"))
-    products, gradient, loss = np.zeros((width, width)), np.zeros(width), 0.0
-    for i, j, value in added.collect():
-        if i < width:
-            products[i, j] = value
-        elif i == width:
-            gradient[j] = value
-        else:
-            loss = value
-    return products, gradient, loss
+    zeros = np.zeros(width * width + width + 1)
+    told = blocks.treeAggregate(zeros, _summer(beta, shift), np.add)
+    return told[: width * width].reshape(width, width), told[width * width : -1], float(told[-1])
 
 
 def fit_logistic(
@@ -84,19 +85,27 @@ def fit_logistic(
     squared coefficients.
 
     ``rows`` has an array of ``width`` numbers, the 0/1 label (or a share of ones) and a weight, in
-    this order; it is read once per step. A step that raises the loss is halved. With no rows all
+    this order; it is read once. A step that raises the loss is halved. With no rows all
     coefficients are zero.
     """
+    blocks = _blocks(rows)
+    try:
+        return _newton(blocks, width, penalty, steps, tolerance)
+    finally:
+        blocks.unpersist()
+
+
+def _newton(blocks: RDD, width: int, penalty: float, steps: int, tolerance: float) -> tuple[np.ndarray, float]:
     beta = np.zeros(width + 1)
     ridge = np.full(width + 1, float(penalty))
     ridge[-1] = 0.0
 
     # Inputs are measured from their means: far from zero they would all but equal the intercept's.
-    products, _, _ = _sums(rows, beta, np.zeros(width))
+    products, _, _ = _sums(blocks, beta, np.zeros(width))
     shift = products[:-1, -1] / products[-1, -1] if products[-1, -1] else np.zeros(width)
 
     def at(point: np.ndarray):
-        products, gradient, loss = _sums(rows, point, shift)
+        products, gradient, loss = _sums(blocks, point, shift)
         whole = loss + 0.5 * float((ridge * point * point).sum())
         return products + np.diag(ridge), gradient + ridge * point, whole
 
