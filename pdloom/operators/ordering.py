@@ -341,16 +341,19 @@ def running_totals(
     (``<sum>_below``) and over the group (``<sum>_total``).
 
     Rows are summed per value before they move, and each window runs inside one bucket. The
-    bucket offsets come from a second look at the rows that shuffles at most
-    buckets x groups rows per task.
+    bucket offsets are added up from the same sums, whose shuffle is read again: the rows are
+    computed once, however costly they are.
     """
     keys = [*by, "_bucket"]
-    rows = with_bucket(df.select(*by, order, *sums), order, points, "_bucket")
+    rows = with_bucket(df.select(*by, order, *sums).where(quoted(order).isNotNull()), order, points, "_bucket")
+    # A bucket that can't be null: the join then filters neither side, and both read one shuffle.
+    rows = rows.withColumn("_bucket", F.coalesce("_bucket", F.lit(-1)))
     added = [F.sum(s).alias(s) for s in sums]
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*by)
+    counts = rows.groupBy(*keys, order).agg(*added)
     offsets = (
-        rows.groupBy(*keys)
+        counts.groupBy(*keys)
         .agg(*added)
         .select(
             *keys,
@@ -360,9 +363,7 @@ def running_totals(
     )
     inner = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        rows.groupBy(*keys, order)
-        .agg(*added)
-        .join(offsets, keys)
+        counts.join(offsets, keys)
         .withColumns(
             {
                 f"{s}_below": F.col(f"_{s}_offset") + F.coalesce(F.sum(s).over(inner), F.lit(0))

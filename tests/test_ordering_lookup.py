@@ -279,3 +279,19 @@ def test_sample_is_repeatable(spark):
     b = {r[0] for r in splits.sample_rows(df.repartition(7), 10, "loan_id", 1).collect()}
     assert a == b and len(a) == 10
     assert splits.sample_rows(df, 500, "loan_id").count() == 100
+
+
+def test_running_totals_shuffle_their_rows_once(spark):
+    rows = [(i % 2, i / 100.0) for i in range(100)] + [(0, None)]
+    df = spark.createDataFrame(rows, "g int, s double").select("g", "s", F.lit(1).alias("n"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = ordering.running_totals(df, "s", ["n"], [0.25, 0.5], ["g"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("ReusedExchange") == 1
+    found = got.collect()
+    assert len(found) == 100
+    assert all(r["n_total"] == 50 and r["n_below"] == round(r["s"] * 100) // 2 for r in found)
