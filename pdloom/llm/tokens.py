@@ -15,9 +15,11 @@ REMEMBERED = 800_000
 #: A cut between words: before a space that something other than white space follows. Byte-level
 #: BPE splits there in any case, so the parts have the same ids as the whole.
 _CUT = re.compile(r" (?=\S)")
-#: Parts of a word between which byte-level BPE always splits: letters, marks (no apostrophe, as
-#: that may start a contraction) and a single line end before a letter.
-_PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[.,!?*$%&#|:;()]+|\n(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+#: Parts of a text between which byte-level BPE always splits: letters, digits, marks (no apostrophe,
+#: as that may start a contraction) and a single line end before a letter.
+_PARTS = re.compile(
+    r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[.,!?*$%&#|:;()@=_/<>\[\]{}+\"\-]+| ?[0-9]+|\n(?=[A-Za-zÀ-ÖØ-öø-ÿ])"
+)
 
 
 def _byte_letters() -> list[str]:
@@ -31,21 +33,28 @@ def _byte_letters() -> list[str]:
 class _PartIds(dict):
     """Packed ids of one part, which the library's model encodes without any further split."""
 
-    def __init__(self, model, pack) -> None:
+    def __init__(self, model, packed: list[bytes]) -> None:
         super().__init__()
-        self.model, self.pack, self.letters = model, pack, _byte_letters()
+        self.tokenize, self.packed, self.letters = model.tokenize, packed, _byte_letters()
+        # Of the ASCII characters in parts, these two are not written as themselves.
+        self.space, self.line_end = self.letters[32], self.letters[10]
 
     def __missing__(self, part: str) -> bytes:
-        text = "".join([self.letters[b] for b in part.encode()])
-        found = self[part] = self.pack([t.id for t in self.model.tokenize(text)])
+        if part.isascii():
+            text = part.replace(" ", self.space).replace("\n", self.line_end)
+        else:
+            text = "".join([self.letters[b] for b in part.encode()])
+        packed = self.packed
+        found = self[part] = b"".join([packed[t.id] for t in self.tokenize(text)])
         return found
 
 
 class WordEncoder(dict):
     """Ids of texts by a byte-level BPE file of the tokenizers library, as packed unsigned ints.
 
-    The dictionary maps a word (with its leading space) to its packed ids. A word not seen yet
-    is split into parts where these make up all of it, else the library encodes it as a text.
+    A text that parts make up is encoded by its parts. Other texts are cut into words; the
+    dictionary maps a word (with its leading space) to its packed ids. A word not seen yet is split
+    into parts where these make up all of it, else the library encodes it as a text.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,7 +66,11 @@ class WordEncoder(dict):
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = commonprefix(self.added)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.parts = _PartIds(self.tokenizer.model, self.pack)
+        size, width = max(self.tokenizer.get_vocab().values(), default=-1) + 1, self.dtype.itemsize
+        ids = self.pack(range(size))
+        self.parts = _PartIds(
+            self.tokenizer.model, [ids[i : i + width] for i in range(0, len(ids), width)]
+        )
 
     def pack(self, ids: Sequence[int]) -> bytes:
         packed = array("H" if self.dtype.itemsize == 2 else "I", ids)
@@ -84,8 +97,10 @@ class WordEncoder(dict):
             self.parts.clear()
         if self.added and self.mark in text and any(a in text for a in self.added):
             return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = _words(text)
-        return b"".join(map(self.__getitem__, words))
+        parts = _PARTS.findall(text)
+        if "".join(parts) == text:
+            return b"".join(map(self.parts.__getitem__, parts))
+        return b"".join(map(self.__getitem__, _words(text)))
 
 
 def _words(text: str) -> list[str]:

@@ -458,3 +458,18 @@ def test_buckets_of_several_components(spark, monkeypatch, block):
         wanted = brute_components(docs.collect(), k, percent)
         got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
         assert got == wanted and len({component for _, _, component in wanted}) > 3
+
+
+def test_texts_made_of_parts_need_no_words():
+    """Whole texts of letters, digits and marks are encoded by their parts; all texts as the library
+    encodes them."""
+    encoder = WordEncoder(tokenizers.path("byte_bpe_50k.json"))
+    library = encoder.tokenizer
+    plain = 'Mail a.b-c@mail8.example.com (583) 555-7196, "éß" at 16.195.23.156.\nKey password=a9ce x2'
+    random = np.random.default_rng(5)
+    signs = ["a", "É", "²", "7", ".", "'s", '"', "-", "@", "=", "[", " ", " ", "  ", "\n", "\t", "ſ", "́"]
+    mixtures = ["".join(random.choice(signs, random.integers(1, 14))) for _ in range(3_000)]
+    assert encoder.encode(plain) and not len(encoder)
+    for text in (plain, *mixtures):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == encoder.pack(ids), repr(text)
