@@ -2,18 +2,20 @@
 
 Sets are put into bands of similar size. For a band, every shingle is hashed into one of m
 segments. Two sets of the band with Jaccard similarity at or over the threshold differ in at most
-H shingles, so with m = H + 1 segments they agree in one at least: equal hashes of equal segment
-subsets find every link. A set close below a band also joins the index of that band.
-
-1. Equal sets form classes; the smallest doc_id stands for its class.
-2. Documents that share a segment are compared with the smallest one in their bucket, and links
-   are verified on the whole sets. In a bucket of near copies that connects all of them, without
-   all pairs.
-3. A bucket whose members are not one component after that is taken up again with all its pairs
-   across components. Where that would cost more pairs in a segment of a band than another
+H shingles, so with m = H + 1 + s segments they agree in s + 1 at least: equal hashes of equal
+segment subsets find every link, also where a set leaves out its empty segments, s at most. A set
+close below a band also joins the index of that band.
+
+1. Equal sets form classes; the smallest doc_id stands for its class, and it alone is put into
+   buckets.
+2. Round by round, documents that share a segment are compared with one member of their bucket
+   whose component is another, and links are verified on the whole sets. In a bucket of near copies
+   that connects them without all pairs; a bucket of one member more than rounds is done.
+3. A larger bucket whose members are not one component after that is taken up again with all its
+   pairs across components. Where that would cost more pairs in a segment of a band than another
    segment's one-deletion neighbourhood has entries, the costly segment is left out and a cheap
-   one also matches subsets that differ by one shingle: m segments with tolerances t_i still find
-   every link while the sum of (t_i + 1) exceeds H.
+   one also matches subsets that differ by one shingle: segments with tolerances t_i still find
+   every link while the sum of (t_i + 1) exceeds H + s.
 
 Shingles are 64-bit hashes. Buckets are 48-bit hashes; a collision only costs a comparison.
 """
@@ -22,13 +24,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from math import exp
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pdloom.llm.common import BROADCAST_ROWS, counted_broadcast, discard, stored, tasks_for
+from pdloom.llm.common import counted_broadcast, discard, stored, tasks_for
 from pdloom.llm.components import components
 
 #: Bytes of a bucket's hash, and the growth of a band's size from the smallest to the largest.
@@ -36,6 +40,8 @@ KEY_BYTES = 6
 BAND_RATIO = 1.4
 #: Bucket entries one task of the index holds, on average.
 TASK_ENTRIES = 250_000
+#: Members of a bucket that all its others are compared with, one in a round.
+ROUNDS = 3
 
 Batches = Iterator[pa.RecordBatch]
 #: Documents of a batch that are worked on at once.
@@ -106,6 +112,16 @@ class Bands:
         largest = self.edges[band + 1] - 1
         return (100 - self.percent) * 2 * largest // (100 + self.percent)
 
+    def spare(self, band: int) -> int:
+        """Segments beyond those the threshold needs, about half more than a small set leaves empty."""
+        if self.percent >= 100:
+            return 0
+        filled = self.percent * (100 + self.percent) / (200 * (100 - self.percent) * BAND_RATIO)
+        return round(1.5 * (self.most_different(band) + 1) * exp(-filled))
+
+    def segments(self, band: int) -> int:
+        return self.most_different(band) + 1 + self.spare(band)
+
     def of(self, size: int) -> list[int]:
         """The band of a set of that size, and the next one if a partner may be there."""
         band = int(np.searchsorted(self.edges, size, side="right")) - 1
@@ -127,13 +143,16 @@ def _bucket(band: int, segment: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 def segment_keys(items: np.ndarray, bands: Bands) -> np.ndarray:
-    """Bucket hashes of all segments, for the own band and then the next one if near."""
+    """Bucket hashes of all segments, for the own band and then the next one if near; 0 for empty
+    segments, unless there are more than the spare ones."""
     found = []
     for band in bands.of(len(items)):
-        m = bands.most_different(band) + 1
+        m = bands.segments(band)
         values, starts, ends = _segments(items, band, m)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        found.append(_bucket(band, np.arange(m), sums[ends] - sums[starts]))
+        keys = np.maximum(_bucket(band, np.arange(m), sums[ends] - sums[starts]), np.uint64(1))
+        empty = starts == ends
+        found.append(np.where(empty, np.uint64(0), keys) if empty.sum() <= bands.spare(band) else keys)
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -155,16 +174,16 @@ def most_apart(size_a, size_b, percent: int):
 
 
 def signature(items: np.ndarray, percent: int) -> bytes:
-    """One byte per fine segment, the sum of its items' bytes. Each item in one but not both of two
-    sets changes one byte at most, so the number of unequal bytes is a lower bound of their
-    difference. Lengths are powers of two; a longer one folds to a shorter one by adding halves."""
+    """One byte per fine segment: the number of its items in two bits, the sum of their hashes in six.
+    Lengths are powers of two; a longer one folds to a shorter one by adding halves of both."""
     size = 32
     while size < 2 * (most_apart(len(items), len(items), percent) + 1) and size < 4_096:
         size *= 2
     place = mixed(items ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(size - 1)
-    value = (mixed(items ^ np.uint64(0x14057B7EF767814F)) & np.uint64(255)).astype(np.float64)
-    total = np.bincount(place.astype(np.int64), value, minlength=size)
-    return (total.astype(np.int64) & 255).astype(np.uint8).tobytes()
+    value = (mixed(items ^ np.uint64(0x14057B7EF767814F)) & np.uint64(63)).astype(np.float64)
+    count = np.bincount(place.astype(np.int64), minlength=size)
+    total = np.bincount(place.astype(np.int64), value, minlength=size).astype(np.int64)
+    return ((count & 3) << 6 | total & 63).astype(np.uint8).tobytes()
 
 
 def folded(signatures: list[bytes], size: int) -> np.ndarray:
@@ -172,10 +191,20 @@ def folded(signatures: list[bytes], size: int) -> np.ndarray:
     out = np.empty((len(signatures), size), np.uint8)
     for i, held in enumerate(signatures):
         row = np.frombuffer(held, np.uint8)
-        out[i] = row if len(row) == size else row.reshape(-1, size).sum(axis=0, dtype=np.int64) & 255
+        if len(row) != size:
+            parts = row.reshape(-1, size).astype(np.int64)
+            row = ((parts >> 6).sum(axis=0) & 3) << 6 | (parts & 63).sum(axis=0) & 63
+        out[i] = row
     return out
 
 
+def least_apart(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A lower bound of the items in one but not both of two sets, by rows of signatures: one in a
+    segment whose numbers of items differ by an odd one, two in others that differ."""
+    unequal = one ^ two
+    return 2 * np.count_nonzero(unequal, axis=-1) - np.count_nonzero(unequal & 64, axis=-1)
+
+
 def _may_link(percent: int) -> Callable[[Batches], Batches]:
     """Pairs whose signatures leave a link possible."""
 
@@ -188,23 +217,25 @@ def _may_link(percent: int) -> Callable[[Batches], Batches]:
             for size in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == size)
                 one, two = (folded([x[i] for i in rows], size) for x in (sigs_a, sigs_b))
-                near[rows] = (one != two).sum(axis=1) <= allowed[rows]
-            yield batch.filter(pa.array(near)).select(["a", "n_a", "b", "n_b"])
+                near[rows] = least_apart(one, two) <= allowed[rows]
+            yield batch.filter(pa.array(near)).select(["a", "b"])
 
     return run
 
 
-def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, n_a, b, n_b) that sizes and signatures do not rule out."""
-    fits = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+def _possible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and signatures do not rule out; ``facts`` has doc_id, n_shingles
+    and signature."""
+    sizes, signatures = facts.select("doc_id", "n_shingles"), facts.select("doc_id", "signature")
     sized = (
-        pairs.where(fits)
+        pairs.join(sizes.toDF("a", "n_a"), "a")
+        .join(sizes.toDF("b", "n_b"), "b")
+        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         .join(signatures.toDF("a", "sig_a"), "a")
         .join(signatures.toDF("b", "sig_b"), "b")
         .select("a", "n_a", "b", "n_b", "sig_a", "sig_b")
     )
-    schema = "a bigint, n_a bigint, b bigint, n_b bigint"
-    return sized.mapInArrow(in_parts(_may_link(percent)), schema).distinct()
+    return sized.mapInArrow(in_parts(_may_link(percent)), "a bigint, b bigint").distinct()
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -218,16 +249,6 @@ def _unpacked(data: bytes) -> np.ndarray:
     return full.view("<u8").reshape(-1)
 
 
-def _stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Smallest id of each bucket: its entry, and (smallest, other) pairs of the others."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
-    heads = ids[first][np.cumsum(first) - 1] if len(keys) else ids
-    pairs = np.stack([heads, ids], 1)[heads != ids]
-    return keys[first], ids[first], np.unique(pairs, axis=0) if len(pairs) else pairs
-
-
 def _describe(k: int, percent: int) -> Callable[[Batches], Batches]:
     """Per document: size and two hashes of its set, and its buckets."""
 
@@ -259,62 +280,62 @@ def _describe(k: int, percent: int) -> Callable[[Batches], Batches]:
 
 
 def _combine(parts: int) -> Callable[[Batches], Batches]:
-    """Buckets of a batch of documents dealt to parts; a bucket leaves with its smallest document
-    alone, the others leave as pairs with it. One document of a class is enough."""
+    """Buckets (doc_id, keys) of a batch of documents dealt to parts."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            sets = np.stack([batch.column(i).to_numpy() for i in (1, 2, 3)], 1)
-            kept = np.unique(sets, axis=0, return_index=True)[1] if len(ids) else []
-            kept = [i for i in kept if sets[i, 0] > 0]
-            blobs = [batch.column(4)[int(i)].as_py() for i in kept]
+            blobs = batch.column(1).to_pylist()
             counts = np.array([len(b) // KEY_BYTES for b in blobs], np.int64)
-            keys, owners, pairs = _stars(
-                _unpacked(b"".join(blobs)), np.repeat(ids[kept].astype(np.int64), counts)
-            )
+            keys = _unpacked(b"".join(blobs))
+            owners = np.repeat(batch.column(0).to_numpy(), counts)[keys != 0]
+            keys = keys[keys != 0]
             part = (keys % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((owners, part))
             keys, owners, part = keys[order], owners[order], part[order]
-            pair_part = (mixed(pairs[:, 0].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
             rows = []
-            for p in np.union1d(part, pair_part):
+            for p in np.unique(part):
                 low, high = np.searchsorted(part, [p, p + 1])
                 owner, count = np.unique(owners[low:high], return_counts=True)
-                rows.append(
-                    (
-                        int(p),
-                        owner.astype("<i8").tobytes(),
-                        count.astype("<u4").tobytes(),
-                        _packed(keys[low:high]),
-                        pairs[pair_part == p].astype("<i8").tobytes(),
-                    )
-                )
-            names = ["part", "owners", "counts", "keys", "pairs"]
-            kinds = [pa.int64(), *[pa.binary()] * 4]
-            columns = list(zip(*rows)) if rows else [[]] * 5
+                held = owner.astype("<i8").tobytes(), count.astype("<u4").tobytes()
+                rows.append((int(p), *held, _packed(keys[low:high])))
+            names = ["part", "owners", "counts", "keys"]
+            kinds = [pa.int64(), *[pa.binary()] * 3]
+            columns = list(zip(*rows)) if rows else [[]] * 4
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
     return run
 
 
 def _meet(batches: Batches) -> Batches:
-    """Pairs of a part: those of the batches and the smallest document of each bucket with the
-    others."""
-    keys, owners, pairs = [], [], []
+    """Members of the buckets of a part that have two or more: the bucket, its number of members, the
+    member and the first ones by a hash, which the others are compared with."""
+    keys, owners = [], []
     for batch in batches:
-        for owner, count, key, pair in zip(*[c.to_pylist() for c in batch.columns[1:]]):
+        for owner, count, key in zip(*[c.to_pylist() for c in batch.columns[1:]]):
             keys.append(_unpacked(key))
             owners.append(np.repeat(np.frombuffer(owner, "<i8"), np.frombuffer(count, "<u4")))
-            pairs.append(np.frombuffer(pair, "<i8").reshape(-1, 2))
     if not keys:
         return
-    found = np.concatenate([*pairs, _stars(np.concatenate(keys), np.concatenate(owners))[2]])
-    if len(found):
-        found = np.unique(found, axis=0)
-        for start in range(0, len(found), 50_000):
-            part = found[start : start + 50_000]
-            yield pa.record_batch([pa.array(part[:, 0]), pa.array(part[:, 1])], names=["a", "b"])
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(key, kind="stable")
+    key, owner = key[order], owner[order]
+    same = key[1:] == key[:-1]
+    met = np.r_[same, False] | np.r_[False, same]
+    key, owner = key[met], owner[met]
+    order = np.lexsort((owner, mixed(owner.astype(np.uint64)), key))
+    key, owner = key[order], owner[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    key, owner = key[new], owner[new]
+    start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    count = np.diff(np.r_[start, len(key)])
+    first, members = np.repeat(start, count), np.repeat(count, count)
+    heads = [owner[first + np.minimum(r, members - 1)] for r in range(ROUNDS)]
+    columns = [key.astype(np.int64), members, owner, *heads]
+    columns = [c[members > 1] for c in columns]
+    names = ["key", "members", "id", *[f"head{r}" for r in range(ROUNDS)]]
+    for low in range(0, len(columns[0]), 50_000):
+        yield pa.record_batch([pa.array(c[low : low + 50_000]) for c in columns], names=names)
 
 
 def _sets(k: int) -> Callable[[Batches], Batches]:
@@ -335,11 +356,11 @@ def _sets(k: int) -> Callable[[Batches], Batches]:
 
 
 def _verified(
-    pairs: DataFrame, signatures: DataFrame, docs: DataFrame, k: int, percent: int
+    pairs: DataFrame, facts: DataFrame, docs: DataFrame, k: int, percent: int
 ) -> DataFrame:
-    """Stored (a, b) for the linked ones of candidate pairs (a, n_a, b, n_b); sets are made of the
-    texts of documents in pairs that sizes and signatures leave possible."""
-    near = stored(_possible(pairs, signatures, percent), "jaccard-possible")
+    """Stored (a, b) for the linked ones of candidate pairs (a, b); sets are made of the texts of
+    documents in pairs that sizes and signatures leave possible."""
+    near = stored(_possible(pairs, facts, percent), "jaccard-possible")
     ids = stored(
         near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "jaccard-ids"
     )
@@ -402,51 +423,59 @@ def jaccard_components(
         .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id")),
         "jaccard-classes",
     )
+    reps = _representatives(described, members)
     entries = filled.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     tasks = tasks_for(spark, entries // KEY_BYTES, TASK_ENTRIES)
-    blocks = filled.select("doc_id", *sets, "keys").mapInArrow(
-        in_parts(_combine(4 * tasks)),
-        "part bigint, owners binary, counts binary, keys binary, pairs binary",
+    blocks = reps.select("doc_id", "keys").mapInArrow(
+        in_parts(_combine(4 * tasks)), "part bigint, owners binary, counts binary, keys binary"
     )
-    found = blocks.repartition(tasks, "part").mapInArrow(in_parts(_meet), "a bigint, b bigint")
-    pairs = stored(_by_class(found, members), "jaccard-pairs")
-    signatures = filled.select("doc_id", "signature")
-    links = _verified(pairs, signatures, docs, k, percent)
-    labels = stored(components(links), "jaccard-labels")
-    unlinked = pairs.select("a", "b").join(links, ["a", "b"], "left_anti")
-    open_pairs = stored(
-        _with_labels(unlinked, labels).where("la != lb").select("a", "b"), "jaccard-failed"
+    heads = ", ".join(f"head{r} bigint" for r in range(ROUNDS))
+    met = blocks.repartition(tasks, "part").mapInArrow(
+        _meet, f"key bigint, members bigint, id bigint, {heads}"
     )
-    if open_pairs.count():
-        more = _across(docs, described, members, open_pairs, pairs, labels, k, percent)
-        links = links.unionByName(more)
-        labels = stored(components(links), "jaccard-labels")
-    discard(open_pairs)
+    buckets = stored(met, "jaccard-buckets")
+    facts = reps.select("doc_id", "n_shingles", "signature")
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    labels = spark.createDataFrame([], "node bigint, component bigint")
+    tested: list[DataFrame] = []
+    for r in range(ROUNDS + 1):
+        if r < ROUNDS:
+            pairs = buckets.where(f"id != head{r}").select(
+                F.least("id", f"head{r}").alias("a"), F.greatest("id", f"head{r}").alias("b")
+            )
+            pairs = pairs.distinct()
+        else:
+            pairs = _across(docs, reps, members, buckets, labels, k, percent)
+        if tested:
+            pairs = _with_labels(pairs, labels).where("la != lb").select("a", "b")
+            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+        tested.append(stored(pairs, "jaccard-pairs"))
+        if not tested[-1].limit(1).count():
+            continue
+        found = _verified(tested[-1], facts, docs, k, percent)
+        if found.limit(1).count():
+            links = links.unionByName(found)
+            labels = stored(components(links), "jaccard-labels")
     result = (
         members.join(_labelled(labels, "class_id", "_c"), "class_id", "left")
         .withColumn("component_id", F.coalesce("_c", "class_id"))
         .select("doc_id", "n_shingles", "class_id", "component_id")
     )
-    discard(described, pairs)
+    discard(described, buckets, *tested)
     return result, links
 
 
-def _by_class(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Distinct pairs of class representatives with their sizes for pairs of documents."""
-    one = members.toDF("a", "n_a", "class_a").distinct()
-    two = members.toDF("b", "n_b", "class_b").distinct()
-    return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .where("class_a != class_b")
-        .select(
-            F.least("class_a", "class_b").alias("a"),
-            F.when(F.col("class_a") < F.col("class_b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-            F.greatest("class_a", "class_b").alias("b"),
-            F.when(F.col("class_a") < F.col("class_b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
-        )
-        .distinct()
+def _representatives(described: DataFrame, members: DataFrame) -> DataFrame:
+    """The described documents that stand for their class; the others' ids are the shorter list."""
+    others = (
+        members.groupBy(F.col("doc_id").alias("id"))
+        .agg(F.max(F.col("class_id") == F.col("doc_id")).alias("stands"))
+        .where("not stands")
+        .select("id")
     )
+    filled = described.where("n_shingles > 0 and doc_id is not null")
+    others = counted_broadcast(others, others.count())
+    return filled.join(others, F.col("doc_id") == F.col("id"), "left_anti")
 
 
 def _exploded(batches: Batches) -> Batches:
@@ -468,89 +497,65 @@ def _exploded(batches: Batches) -> Batches:
         )
 
 
-def _holding(wanted: np.ndarray | None) -> Callable[[Batches], Batches]:
-    """Like ``_exploded``, for the wanted buckets only (sorted); for all of them if None."""
-
-    def run(batches: Batches) -> Batches:
-        for batch in _exploded(batches):
-            if wanted is not None:
-                at = np.searchsorted(wanted, batch.column(2).to_numpy())
-                hit = wanted[np.minimum(at, len(wanted) - 1)] == batch.column(2).to_numpy()
-                batch = batch.filter(pa.array(hit))
-            yield batch
-
-    return run
+def _holding(batches: Batches) -> Batches:
+    """Like ``_exploded``, for the buckets in the last column only."""
+    for batch in batches:
+        wanted = batch.column(batch.num_columns - 1)
+        keys = [_unpacked(b).view(np.int64) for b in batch.column(1).to_pylist()]
+        hits = [np.isin(x, wanted[i].values.to_numpy()) for i, x in enumerate(keys)]
+        if hits:
+            hit = pa.array(np.concatenate(hits))
+            short = batch.select(batch.schema.names[:-1])
+            yield from (b.filter(hit) for b in _exploded(iter([short])))
 
 
 def _across(
     docs: DataFrame,
-    described: DataFrame,
+    reps: DataFrame,
     members: DataFrame,
-    failed: DataFrame,
-    seen: DataFrame,
+    buckets: DataFrame,
     labels: DataFrame,
     k: int,
     percent: int,
 ) -> DataFrame:
-    """Links between components that the comparison with the smallest of a bucket left open."""
-    schema = "id bigint, place bigint, key bigint"
-    ids = stored(
-        failed.select(F.col("a").alias("id")).union(failed.select("b")).distinct(), "jaccard-ids"
-    )
-    reps = described.join(
-        members.where("class_id = doc_id").select("doc_id").distinct(), "doc_id", "left_semi"
-    ).select("doc_id", "keys")
-    some = reps.join(
-        counted_broadcast(ids, ids.count()), F.col("doc_id") == F.col("id"), "left_semi"
-    )
-    entries = stored(some.mapInArrow(in_parts(_exploded), schema), "jaccard-entries")
-    sides = [entries.select(F.col("id").alias(c), "key").distinct() for c in ("a", "b")]
+    """Possible pairs (a, b) between components in the buckets that the rounds left open."""
+    ends = buckets.where(F.col("members") > ROUNDS + 1).select("key", "id", *buckets.columns[3:])
+    apart = _with_labels(ends.withColumnsRenamed({"id": "a", "head0": "b"}), labels).where("la != lb")
+    left = ends.where(" and ".join(f"id != head{r}" for r in range(ROUNDS)))
+    left = left.join(apart.select("key").distinct(), "key", "left_semi")
     wanted = stored(
-        failed.join(sides[0], "a").join(sides[1], ["b", "key"]).select("key").distinct(),
-        "jaccard-buckets",
+        left.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("key").alias("wanted")), "jaccard-open"
     )
-    n_wanted = wanted.count()
-    few = n_wanted <= BROADCAST_ROWS
-    held = np.array(sorted(r[0] for r in wanted.collect()), np.int64) if few else None
+    if not wanted.limit(1).count():
+        return buckets.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     # Everything a bucket's row needs is joined per document, before the buckets are written out.
-    facts = members.where("class_id = doc_id").select("doc_id", "n_shingles").distinct()
-    sides = filled_signatures(described)
     whole = (
-        reps.join(facts, "doc_id")
+        reps.join(wanted, "doc_id")
         .join(_labelled(labels, "doc_id", "_c"), "doc_id", "left")
-        .join(sides, "doc_id")
-        .select("doc_id", "keys", "n_shingles", F.coalesce("_c", "doc_id").alias("comp"), "signature")
+        .select(
+            "doc_id", "keys", "n_shingles", F.coalesce("_c", "doc_id").alias("comp"), "signature", "wanted"
+        )
     )
     kinds = "id bigint, place bigint, key bigint, n_shingles bigint, comp bigint, signature binary"
-    rows = whole.mapInArrow(in_parts(_holding(held)), kinds) if n_wanted else whole.limit(0).mapInArrow(_holding(None), kinds)
-    if not few:
-        rows = rows.join(wanted, "key", "left_semi")
+    rows = whole.mapInArrow(in_parts(_holding), kinds)
     bands = Bands.up_to(max(1, members.agg(F.max("n_shingles")).first()[0] or 1), percent)
     skipped, doubled = _allocation(rows.drop("signature"), members, bands)
     inner = rows
     for band, segment in skipped:
         lone = (F.col("_band") == band) & (F.col("_segment") == segment)
         inner = _with_segment(inner, bands).where(~lone).drop("_band", "_segment")
-    entries_all = inner.select("key", "id", "n_shingles", "comp", "signature")
+    entries = inner.select("key", "id", "n_shingles", "comp", "signature")
     more = _deleted(docs, members, labels, bands, doubled, k)
     if more is not None:
-        more = more.join(sides.withColumnRenamed("doc_id", "id"), "id")
-        entries_all = entries_all.unionByName(more.select(*entries_all.columns))
-    pairs = (
-        entries_all.repartition("key")
+        signatures = reps.select(F.col("doc_id").alias("id"), "signature")
+        more = more.join(signatures, "id")
+        entries = entries.unionByName(more.select(*entries.columns))
+    return (
+        entries.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(in_parts(_compared(percent)), "a bigint, n_a bigint, b bigint, n_b bigint")
+        .mapInArrow(in_parts(_compared(percent)), "a bigint, b bigint")
         .distinct()
-        .join(seen.select("a", "b"), ["a", "b"], "left_anti")
     )
-    fresh = stored(pairs, "jaccard-pairs")
-    found = _verified(fresh, sides, docs, k, percent)
-    discard(ids, entries, wanted, fresh)
-    return found
-
-
-def filled_signatures(described: DataFrame) -> DataFrame:
-    return described.where("n_shingles > 0 and doc_id is not null").select("doc_id", "signature")
 
 
 #: Bytes of signatures compared at once.
@@ -573,7 +578,7 @@ def _compared(percent: int) -> Callable[[Batches], Batches]:
         low = 0
         while low < others:
             end = min(others, low + max(1, COMPARED // ((len(rows) - low) * width)))
-            apart = np.stack([np.count_nonzero(rows[low:] != rows[i], axis=1) for i in range(low, end)])
+            apart = np.stack([least_apart(rows[low:], rows[i]) for i in range(low, end)])
             close = apart <= most_apart(sizes[low:end, None], sizes[None, low:], percent)
             close &= comps[low:end, None] != comps[None, low:]
             one, two = np.nonzero(close)
@@ -589,8 +594,8 @@ def _compared(percent: int) -> Callable[[Batches], Batches]:
         at = np.where((ids[at[:, 0]] > ids[at[:, 1]])[:, None], at[:, ::-1], at)
         at = at[ids[at[:, 0]] != ids[at[:, 1]]]
         if len(at):
-            columns = [ids[at[:, 0]], sizes[at[:, 0]], ids[at[:, 1]], sizes[at[:, 1]]]
-            yield pa.record_batch([pa.array(c) for c in columns], names=["a", "n_a", "b", "n_b"])
+            columns = [ids[at[:, 0]], ids[at[:, 1]]]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["a", "b"])
 
     def run(batches: Batches) -> Batches:
         held: list[tuple] = []
@@ -610,7 +615,7 @@ def _with_segment(rows: DataFrame, bands: Bands) -> DataFrame:
     """Band and segment of an entry, from the size of its set and its place among the entries."""
     edges = F.array(*[F.lit(e).cast("bigint") for e in bands.edges])
     own = (F.size(F.filter(edges, lambda e: e <= F.col("n_shingles"))) - 1).cast("int")
-    counts = F.array(*[F.lit(bands.most_different(b) + 1) for b in range(len(bands.edges) - 1)])
+    counts = F.array(*[F.lit(bands.segments(b)) for b in range(len(bands.edges) - 1)])
     in_own = F.element_at(counts, F.col("_own") + 1)
     next_one = F.col("place") >= in_own
     return rows.withColumn("_own", own).withColumns(
@@ -652,7 +657,7 @@ def _allocation(
     doubled: dict[int, list[int]] = {}
     # A doubled segment costs at least the sets of the band, so cheaper ones need no look.
     for r in costs.where(F.col("cost") > 100_000).orderBy(F.desc("cost")).collect():
-        b, m = r["_band"], bands.most_different(r["_band"]) + 1
+        b, m = r["_band"], bands.segments(r["_band"])
         near = sets.get(b, 0) + sets.get(b - 1, 0)
         if r["cost"] <= near * (1 + bands.edges[b + 1] / m):
             continue
@@ -684,7 +689,7 @@ def _deleted(
                 items = shingles(text, k)
                 for band in bands.of(len(items)) if len(items) else []:
                     if band in doubled:
-                        m = bands.most_different(band) + 1
+                        m = bands.segments(band)
                         keys.append(deletion_keys(items, band, m, doubled[band]).astype(np.int64))
                         ids.append(np.full(len(keys[-1]), doc_id, np.int64))
             if ids:

@@ -473,3 +473,43 @@ def test_texts_made_of_parts_need_no_words():
     for text in (plain, *mixtures):
         ids = library.encode(text, add_special_tokens=False).ids
         assert encoder.encode(text) == encoder.pack(ids), repr(text)
+
+
+def test_signatures_rule_out_pairs_just_over_the_bound():
+    """One bucket of copies with five of 148 items changed: 20 apart where 15 are allowed."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(6)
+    base = random.integers(1, 1 << 62, 148).astype(np.uint64)
+    sets = []
+    for i in range(80):
+        items = base.copy()
+        items[random.choice(148, 5, replace=False)] = random.integers(1, 1 << 62, 5)
+        sets.append(np.unique(items))
+    ids = np.arange(80, dtype=np.int64)
+    columns = [np.zeros(80, np.int64), ids, np.array([len(x) for x in sets], np.int64), ids]
+    rows = [*map(pa.array, columns), pa.array([jaccard.signature(x, 90) for x in sets], pa.binary())]
+    batch = pa.record_batch(rows, names=["key", "id", "n_shingles", "comp", "signature"])
+    found = set()
+    for made in jaccard._compared(90)(iter([batch])):
+        found |= set(zip(made.column("a").to_pylist(), made.column("b").to_pylist()))
+    pairs = [(i, j) for i in range(80) for j in range(i + 1, 80)]
+    apart = {p: len(np.setxor1d(sets[p[0]], sets[p[1]])) for p in pairs}
+    assert {p for p in pairs if apart[p] <= 15} <= found and len(found) < 0.1 * len(pairs)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_empty_segments_make_no_buckets(percent):
+    """Sets without a common item share no bucket; linked ones share one at least."""
+    random = np.random.default_rng(percent)
+    bands = jaccard.Bands.up_to(10_000, percent)
+    keys = lambda x: set(jaccard.segment_keys(x, bands).tolist()) - {0}
+    sets = [np.unique(random.integers(1, 1 << 62, 480).astype(np.uint64)) for _ in range(60)]
+    held = [keys(x) for x in sets]
+    assert not any(held[i] & held[j] for i in range(60) for j in range(i))
+    for n in (1, 3, 9, 10, 25, 60, 480, 2_000):
+        for _ in range(30):
+            items = np.unique(random.integers(1, 1 << 62, n).astype(np.uint64))
+            gone = random.integers(0, n * (100 - percent) // (100 + percent) + 1)
+            other = np.unique(np.r_[items[gone:], random.integers(1, 1 << 62, gone).astype(np.uint64)])
+            assert keys(items) & keys(other)
