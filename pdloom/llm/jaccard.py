@@ -12,10 +12,11 @@ close below a band also joins the index of that band.
    whose component is another, and links are verified on the whole sets. In a bucket of near copies
    that connects them without all pairs; a bucket of one member more than rounds is done.
 3. A larger bucket whose members are not one component after that is taken up again with all its
-   pairs across components. Where that would cost more pairs in a segment of a band than another
-   segment's one-deletion neighbourhood has entries, the costly segment is left out and a cheap
-   one also matches subsets that differ by one shingle: segments with tolerances t_i still find
-   every link while the sum of (t_i + 1) exceeds H + s.
+   pairs across components. An entry holds the smallest buckets of its document, and a pair that
+   shares one of them is left to that bucket. Where a segment of a band would cost much more pairs
+   than another segment's one-deletion neighbourhood has entries, the costly segment is left out and
+   a cheap one also matches subsets that differ by one shingle: segments with tolerances t_i still
+   find every link while the sum of (t_i + 1) exceeds H + s.
 
 Shingles are 64-bit hashes. Buckets are 48-bit hashes; a collision only costs a comparison.
 """
@@ -42,6 +43,12 @@ BAND_RATIO = 1.4
 TASK_ENTRIES = 250_000
 #: Members of a bucket that all its others are compared with, one in a round.
 ROUNDS = 3
+#: Smallest buckets of a document that its entries in other buckets hold.
+FIRST = 8
+#: Comparisons of signatures inside a task that take as long as one more entry of the index, and those
+#: of a segment that are worth a look at swaps.
+ENTRY_COST = 100
+SWAP_COST = 1_000_000
 
 Batches = Iterator[pa.RecordBatch]
 #: Documents of a batch that are worked on at once.
@@ -279,6 +286,17 @@ def _describe(k: int, percent: int) -> Callable[[Batches], Batches]:
     return run
 
 
+def _packed_ids(ids: np.ndarray) -> bytes:
+    """Ascending ids as steps, byte by byte: all lowest bytes first, so that a shuffle compresses them."""
+    steps = np.diff(ids, prepend=np.int64(0)).astype("<i8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked_ids(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint8).reshape(8, -1).T.copy()
+    return np.cumsum(steps.view("<i8").reshape(-1))
+
+
 def _combine(parts: int) -> Callable[[Batches], Batches]:
     """Buckets (doc_id, keys) of a batch of documents dealt to parts."""
 
@@ -296,7 +314,7 @@ def _combine(parts: int) -> Callable[[Batches], Batches]:
             for p in np.unique(part):
                 low, high = np.searchsorted(part, [p, p + 1])
                 owner, count = np.unique(owners[low:high], return_counts=True)
-                held = owner.astype("<i8").tobytes(), count.astype("<u4").tobytes()
+                held = _packed_ids(owner), count.astype("<u4").tobytes()
                 rows.append((int(p), *held, _packed(keys[low:high])))
             names = ["part", "owners", "counts", "keys"]
             kinds = [pa.int64(), *[pa.binary()] * 3]
@@ -313,7 +331,7 @@ def _meet(batches: Batches) -> Batches:
     for batch in batches:
         for owner, count, key in zip(*[c.to_pylist() for c in batch.columns[1:]]):
             keys.append(_unpacked(key))
-            owners.append(np.repeat(np.frombuffer(owner, "<i8"), np.frombuffer(count, "<u4")))
+            owners.append(np.repeat(_unpacked_ids(owner), np.frombuffer(count, "<u4")))
     if not keys:
         return
     key, owner = np.concatenate(keys), np.concatenate(owners)
@@ -356,11 +374,11 @@ def _sets(k: int) -> Callable[[Batches], Batches]:
 
 
 def _verified(
-    pairs: DataFrame, facts: DataFrame, docs: DataFrame, k: int, percent: int
+    pairs: DataFrame, facts: DataFrame | None, docs: DataFrame, k: int, percent: int
 ) -> DataFrame:
     """Stored (a, b) for the linked ones of candidate pairs (a, b); sets are made of the texts of
-    documents in pairs that sizes and signatures leave possible."""
-    near = stored(_possible(pairs, facts, percent), "jaccard-possible")
+    documents in pairs that sizes and signatures leave possible, which without ``facts`` all are."""
+    near = stored(_possible(pairs, facts, percent) if facts else pairs, "jaccard-possible")
     ids = stored(
         near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "jaccard-ids"
     )
@@ -434,7 +452,10 @@ def jaccard_components(
         _meet, f"key bigint, members bigint, id bigint, {heads}"
     )
     buckets = stored(met, "jaccard-buckets")
-    facts = reps.select("doc_id", "n_shingles", "signature")
+    ids = stored(buckets.select("id").distinct(), "jaccard-met")
+    facts = stored(
+        _among(reps.select("doc_id", "n_shingles", "signature"), ids), "jaccard-facts"
+    )
     links = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, component bigint")
     tested: list[DataFrame] = []
@@ -452,7 +473,7 @@ def jaccard_components(
         tested.append(stored(pairs, "jaccard-pairs"))
         if not tested[-1].limit(1).count():
             continue
-        found = _verified(tested[-1], facts, docs, k, percent)
+        found = _verified(tested[-1], facts if r < ROUNDS else None, docs, k, percent)
         if found.limit(1).count():
             links = links.unionByName(found)
             labels = stored(components(links), "jaccard-labels")
@@ -461,7 +482,7 @@ def jaccard_components(
         .withColumn("component_id", F.coalesce("_c", "class_id"))
         .select("doc_id", "n_shingles", "class_id", "component_id")
     )
-    discard(described, buckets, *tested)
+    discard(described, buckets, ids, facts, *tested)
     return result, links
 
 
@@ -478,35 +499,77 @@ def _representatives(described: DataFrame, members: DataFrame) -> DataFrame:
     return filled.join(others, F.col("doc_id") == F.col("id"), "left_anti")
 
 
-def _exploded(batches: Batches) -> Batches:
-    """Rows (id, place, key) of the packed buckets of documents, with their further columns."""
-    for batch in batches:
-        keys = [_unpacked(b) for b in batch.column(1).to_pylist()]
-        counts = [len(x) for x in keys]
-        if not keys:
-            continue
-        owner = pa.array(np.repeat(np.arange(len(counts)), counts))
-        yield pa.record_batch(
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is in the column id."""
+    ids = ids.select("id")
+    return docs.join(counted_broadcast(ids, ids.count()), F.col("doc_id") == F.col("id"), "left_semi")
+
+
+def _open_entries(
+    bands: Bands, skipped: list[tuple[int, int]]
+) -> Callable[[Batches], Batches]:
+    """Rows (id, place, key, first) of the wanted buckets of documents outside the skipped segments,
+    with their further columns. ``first`` has the smallest of these buckets. Documents come with
+    doc_id, keys and n_shingles first and wanted last; rows are only made of buckets that are wanted,
+    and a batch of them holds little more than ``HELD`` bytes."""
+    left_out = {}
+    for band, segment in skipped:
+        left_out.setdefault(band, []).append(segment)
+
+    def wanted_places(blob: bytes, size: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = _unpacked(blob).view(np.int64)
+        hit = np.isin(keys, wanted)
+        start = 0
+        for band in bands.of(size):
+            segments = np.array(left_out.get(band, []), np.int64)
+            hit[start + segments] = False
+            start += bands.segments(band)
+        places = np.flatnonzero(hit)
+        return places, keys[places]
+
+    def made(batch: pa.RecordBatch, owners: list, places: list, keys: list, firsts: list):
+        counts = [len(x) for x in places]
+        owner = pa.array(np.repeat(np.array(owners, np.int64), counts))
+        first = pa.array(firsts, pa.binary()).take(
+            pa.array(np.repeat(np.arange(len(counts)), counts))
+        )
+        columns = [c.take(owner) for c in batch.columns[2:-1]]
+        return pa.record_batch(
             [
                 batch.column(0).take(owner),
-                pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int64)),
-                pa.array(np.concatenate(keys).astype(np.int64)),
-                *[c.take(owner) for c in batch.columns[2:]],
+                pa.array(np.concatenate(places)),
+                pa.array(np.concatenate(keys)),
+                first,
+                *columns,
             ],
-            names=["id", "place", "key", *batch.schema.names[2:]],
+            names=["id", "place", "key", "first", *batch.schema.names[2:-1]],
         )
 
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            each = [c.nbytes // max(1, batch.num_rows) for c in batch.columns[2:-1]]
+            at = batch.schema.get_field_index("signature")
+            held: tuple[list, list, list, list] = ([], [], [], [])
+            total = 0
+            for i in range(batch.num_rows):
+                wanted = batch.column(batch.num_columns - 1)[i].values.to_numpy(zero_copy_only=False)
+                places, keys = wanted_places(
+                    batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), wanted
+                )
+                if not len(places):
+                    continue
+                row = len(batch.column(at)[i].as_py()) if at >= 0 else sum(each)
+                first = np.sort(keys)[:FIRST].astype("<i8").tobytes()
+                for to, value in zip(held, (i, places, keys, first)):
+                    to.append(value)
+                total += len(places) * (row + 8 * FIRST + 48)
+                if total > HELD:
+                    yield made(batch, *held)
+                    held, total = ([], [], [], []), 0
+            if held[0]:
+                yield made(batch, *held)
 
-def _holding(batches: Batches) -> Batches:
-    """Like ``_exploded``, for the buckets in the last column only."""
-    for batch in batches:
-        wanted = batch.column(batch.num_columns - 1)
-        keys = [_unpacked(b).view(np.int64) for b in batch.column(1).to_pylist()]
-        hits = [np.isin(x, wanted[i].values.to_numpy()) for i, x in enumerate(keys)]
-        if hits:
-            hit = pa.array(np.concatenate(hits))
-            short = batch.select(batch.schema.names[:-1])
-            yield from (b.filter(hit) for b in _exploded(iter([short])))
+    return run
 
 
 def _across(
@@ -529,26 +592,27 @@ def _across(
     if not wanted.limit(1).count():
         return buckets.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     # Everything a bucket's row needs is joined per document, before the buckets are written out.
-    whole = (
-        reps.join(wanted, "doc_id")
+    whole = stored(
+        _among(reps, wanted.select(F.col("doc_id").alias("id")))
+        .join(wanted, "doc_id")
         .join(_labelled(labels, "doc_id", "_c"), "doc_id", "left")
         .select(
             "doc_id", "keys", "n_shingles", F.coalesce("_c", "doc_id").alias("comp"), "signature", "wanted"
-        )
+        ),
+        "jaccard-whole",
     )
-    kinds = "id bigint, place bigint, key bigint, n_shingles bigint, comp bigint, signature binary"
-    rows = whole.mapInArrow(in_parts(_holding), kinds)
+    discard(wanted)
+    kinds = "id bigint, place bigint, key bigint, first binary, n_shingles bigint, comp bigint"
     bands = Bands.up_to(max(1, members.agg(F.max("n_shingles")).first()[0] or 1), percent)
-    skipped, doubled = _allocation(rows.drop("signature"), members, bands)
-    inner = rows
-    for band, segment in skipped:
-        lone = (F.col("_band") == band) & (F.col("_segment") == segment)
-        inner = _with_segment(inner, bands).where(~lone).drop("_band", "_segment")
-    entries = inner.select("key", "id", "n_shingles", "comp", "signature")
+    plain = whole.drop("signature").mapInArrow(in_parts(_open_entries(bands, [])), kinds)
+    skipped, doubled = _allocation(plain, members, bands)
+    rows = whole.mapInArrow(in_parts(_open_entries(bands, skipped)), f"{kinds}, signature binary")
+    entries = rows.select("key", "id", "n_shingles", "comp", "signature", "first")
     more = _deleted(docs, members, labels, bands, doubled, k)
     if more is not None:
+        firsts = rows.groupBy("id").agg(F.first("first").alias("first"))
         signatures = reps.select(F.col("doc_id").alias("id"), "signature")
-        more = more.join(signatures, "id")
+        more = more.join(signatures, "id").join(firsts, "id", "left")
         entries = entries.unionByName(more.select(*entries.columns))
     return (
         entries.repartition("key")
@@ -558,15 +622,27 @@ def _across(
     )
 
 
-#: Bytes of signatures compared at once.
+#: Bytes of signatures compared at once, and of rows of open buckets made at once.
 COMPARED = 8_000_000
+HELD = 8_000_000
+
+
+def _shared_before(one: np.ndarray, two: np.ndarray, key: int) -> np.ndarray:
+    """Whether rows of two arrays of buckets have one in common that is smaller than this one."""
+    none = np.iinfo(np.int64).max
+    one, two = (np.where(x < key, x, none) for x in (one, two))
+    found = np.zeros(len(one), bool)
+    for column in one.T:
+        found |= ((two == column[:, None]) & (column != none)[:, None]).any(axis=1)
+    return found
 
 
 def _compared(percent: int) -> Callable[[Batches], Batches]:
     """Pairs across components in each bucket that sizes and signatures leave possible. Rows come
-    sorted by bucket; a bucket is compared in blocks, and nothing is emitted for the other pairs."""
+    sorted by bucket; a bucket is compared in blocks, and nothing is emitted for the other pairs, nor
+    for those that share a smaller bucket by their last column: near copies share almost all."""
 
-    def pairs_of(sizes, comps, signatures) -> np.ndarray:
+    def pairs_of(sizes, comps, signatures, firsts, key) -> np.ndarray:
         """Places (i, j) of possible pairs. Rows of the largest component are not compared with one
         another: they come last, and each other row meets the rows after it."""
         found, counts = np.unique(comps, return_counts=True)
@@ -574,6 +650,7 @@ def _compared(percent: int) -> Callable[[Batches], Batches]:
         others = len(comps) - int(counts.max())
         width = min(map(len, signatures))
         rows, sizes, comps = folded(signatures, width)[order], sizes[order], comps[order]
+        firsts = firsts[order]
         pairs = []
         low = 0
         while low < others:
@@ -582,7 +659,9 @@ def _compared(percent: int) -> Callable[[Batches], Batches]:
             close = apart <= most_apart(sizes[low:end, None], sizes[None, low:], percent)
             close &= comps[low:end, None] != comps[None, low:]
             one, two = np.nonzero(close)
-            pairs.append(np.stack([one, two], 1)[one < two] + low)
+            one, two = one[one < two] + low, two[one < two] + low
+            new = ~_shared_before(firsts[one], firsts[two], key)
+            pairs.append(np.stack([one[new], two[new]], 1))
             low = end
         return order[np.concatenate(pairs)]
 
@@ -590,7 +669,11 @@ def _compared(percent: int) -> Callable[[Batches], Batches]:
         ids, sizes, comps = (np.array([r[i] for r in held], np.int64) for i in (1, 2, 3))
         if len(held) < 2 or (comps == comps[0]).all():
             return
-        at = pairs_of(sizes, comps, [r[4] for r in held])
+        firsts = np.full((len(held), FIRST), np.iinfo(np.int64).max)
+        for i, row in enumerate(held):
+            smallest = np.frombuffer((row[5] if len(row) > 5 else None) or b"", "<i8")
+            firsts[i, : len(smallest)] = smallest
+        at = pairs_of(sizes, comps, [r[4] for r in held], firsts, held[0][0])
         at = np.where((ids[at[:, 0]] > ids[at[:, 1]])[:, None], at[:, ::-1], at)
         at = at[ids[at[:, 0]] != ids[at[:, 1]]]
         if len(at):
@@ -656,10 +739,10 @@ def _allocation(
     skipped: list[tuple[int, int]] = []
     doubled: dict[int, list[int]] = {}
     # A doubled segment costs at least the sets of the band, so cheaper ones need no look.
-    for r in costs.where(F.col("cost") > 100_000).orderBy(F.desc("cost")).collect():
+    for r in costs.where(F.col("cost") > SWAP_COST).orderBy(F.desc("cost")).collect():
         b, m = r["_band"], bands.segments(r["_band"])
         near = sets.get(b, 0) + sets.get(b - 1, 0)
-        if r["cost"] <= near * (1 + bands.edges[b + 1] / m):
+        if r["cost"] <= ENTRY_COST * near * (1 + bands.edges[b + 1] / m):
             continue
         used = {s for c, s in skipped if c == b} | set(doubled.get(b, []))
         free = [s for s in range(m) if s not in used and s != r["_segment"]]

@@ -513,3 +513,95 @@ def test_empty_segments_make_no_buckets(percent):
             gone = random.integers(0, n * (100 - percent) // (100 + percent) + 1)
             other = np.unique(np.r_[items[gone:], random.integers(1, 1 << 62, gone).astype(np.uint64)])
             assert keys(items) & keys(other)
+
+
+def test_pairs_of_many_buckets_are_emitted_once():
+    """Near copies share almost all buckets; a pair comes from the smallest, also beyond the kept ones."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(12)
+    base = random.integers(1, 1 << 62, 300).astype(np.uint64)
+    sets = []
+    for _ in range(30):
+        items = base.copy()
+        items[random.choice(300, 4, replace=False)] = random.integers(1, 1 << 62, 4)
+        sets.append(np.unique(items))
+    bands = jaccard.Bands.up_to(10_000, 90)
+    held = [set(jaccard.segment_keys(x, bands).astype(np.int64).tolist()) - {0} for x in sets]
+    held.append({9, *sorted(held[0])[20:]})  # shares none of the smallest of the first
+    sets.append(sets[0])
+    rows = []
+    for i, keys in enumerate(held):
+        first = np.array(sorted(keys)[: getattr(jaccard, "FIRST", 8)], "<i8").tobytes()
+        rows += [(key, i, len(sets[i]), i, jaccard.signature(sets[i], 90), first) for key in keys]
+    kinds = [pa.int64()] * 4 + [pa.binary()] * 2
+    names = ["key", "id", "n_shingles", "comp", "signature", "first"]
+    columns = [pa.array(c, t) for c, t in zip(zip(*sorted(rows)), kinds)]
+    found = []
+    for made in jaccard._compared(90)(iter([pa.record_batch(columns, names=names)])):
+        found += zip(made.column("a").to_pylist(), made.column("b").to_pylist())
+    wanted = {
+        (i, j)
+        for i in range(31)
+        for j in range(i + 1, 31)
+        if held[i] & held[j] and len(np.setxor1d(sets[i], sets[j])) <= 30
+    }
+    assert wanted <= set(found) and (0, 30) in wanted
+    assert len([p for p in found if p[1] < 30]) == 30 * 29 // 2
+
+
+def test_only_open_buckets_take_memory():
+    """Rows are made of the wanted buckets, not of all buckets of a batch of documents."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(13)
+    bands = jaccard.Bands.up_to(10_000, 80)
+    ids, keys, sizes, signatures, wanted = [], [], [], [], []
+    for i in range(200):
+        items = np.unique(random.integers(1, 1 << 62, 1_500).astype(np.uint64))
+        of = jaccard.segment_keys(items, bands)
+        ids.append(i)
+        sizes.append(len(items))
+        keys.append(jaccard._packed(of))
+        signatures.append(jaccard.signature(items, 80))
+        wanted.append(np.sort(jaccard._unpacked(jaccard._packed(of[of != 0])).view(np.int64)[[3, 300]]).tolist())
+    columns = [
+        pa.array(ids), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(ids),
+        pa.array(signatures, pa.binary()), pa.array(wanted, pa.list_(pa.int64())),
+    ]
+    names = ["doc_id", "keys", "n_shingles", "comp", "signature", "wanted"]
+    batch = pa.record_batch(columns, names=names)
+    usual, counted = pa.default_memory_pool(), pa.proxy_memory_pool(pa.system_memory_pool())
+    work = jaccard._open_entries(bands, []) if hasattr(jaccard, "_open_entries") else jaccard._holding
+    pa.set_memory_pool(counted)
+    try:
+        made = [(b.column("id").to_pylist(), b.column("key").to_pylist()) for b in work(iter([batch]))]
+    finally:
+        pa.set_memory_pool(usual)
+    got = {}
+    for some in made:
+        for doc, key in zip(*some):
+            got.setdefault(doc, []).append(key)
+    assert {doc: sorted(x) for doc, x in got.items()} == dict(zip(ids, wanted))
+    print("peak MB", counted.max_memory() / 1e6)
+    assert counted.max_memory() < 20e6
+
+
+def test_swapped_segments_lose_no_link(spark, monkeypatch):
+    """Every costly segment left out and a cheap one matched with one deletion: brute force."""
+    monkeypatch.setattr(jaccard, "ENTRY_COST", 0)
+    monkeypatch.setattr(jaccard, "SWAP_COST", 0)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    base = words(14, 150)
+    rows = []
+    for i in range(90):
+        random = np.random.default_rng(300 + i)
+        text = list(base)
+        for at in random.integers(0, 150, random.integers(0, 7)):
+            text[at] = f"x{random.integers(0, 3)}"
+        rows.append((int(random.integers(0, 1 << 40)), " ".join(text), "en", "a", 1, 2))
+    docs = spark.createDataFrame(rows, DOCS)
+    for k, percent in ((3, 90), (5, 80)):
+        found = jaccard_components(docs, k, percent)[0]
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+        assert got == brute_components(docs.collect(), k, percent)
