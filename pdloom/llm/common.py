@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pdloom.session import scratch_path, shuffle_partitions
 
@@ -18,12 +21,42 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 GROUP_ROWS = 5_000
 #: A table is broadcast only after its rows were counted and found to be at most so many.
 BROADCAST_ROWS = 500_000
+#: Spark's limit on the bytes of an Arrow batch, and the one set where the session names none.
+ARROW_LIMIT, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+Batches = Iterator[pa.RecordBatch]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches small from now on, unless it sets a limit of its own.
+
+    An executor's JVM holds a batch in buffers that double as it is filled, the Python worker as bytes
+    and as objects. By default it has 10,000 rows or 64 MB, so long texts fill the memory of both.
+    """
+    if spark.conf.get(ARROW_LIMIT, None) is None:
+        spark.conf.set(ARROW_LIMIT, str(ARROW_BYTES))
+
+
+def giving_back(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The work; what Arrow held is given back at the end, as the worker stays for later tasks."""
+
+    def run(batches: Batches) -> Batches:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table as a local relation; one made of a list starts Python workers of its own."""
+    fields = T.StructType.fromDDL(schema)
+    return spark.createDataFrame(to_arrow_schema(fields).empty_table(), fields)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, lengthened until no column of the table has it in any case."""
     taken = {c.lower() for c in df.columns}

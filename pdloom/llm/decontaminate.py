@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pdloom.llm.common import discard, stored
+from pdloom.llm.common import Batches, discard, giving_back, small_batches, stored
 
 FEATURES = 4_096
 RANK = 96
@@ -48,7 +49,6 @@ COSINE = 0.5
 #: Share of an item's words in the common subsequence, and of its answer in the passage.
 LCS_SHARE, ANSWER_SHARE = 0.6, 0.5
 
-Batches = Iterator[pa.RecordBatch]
 _LETTERS = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
 
@@ -69,7 +69,7 @@ def _hash_texts(batches: Batches) -> Batches:
 def hashed(rows: DataFrame, id_column: str) -> DataFrame:
     """Stored (id, words) of all texts."""
     texts = rows.select(F.col(id_column).cast("bigint").alias("id"), "text")
-    return stored(texts.mapInArrow(_hash_texts, "id bigint, words binary"), "hashed-words")
+    return stored(texts.mapInArrow(giving_back(_hash_texts), "id bigint, words binary"), "hashed-words")
 
 
 def _document_frequency(batches: Batches) -> Batches:
@@ -83,7 +83,7 @@ def _document_frequency(batches: Batches) -> Batches:
 
 def inverse_frequency(words: DataFrame) -> np.ndarray:
     """Smoothed inverse document frequency of every feature, over all documents."""
-    counts = words.mapInArrow(_document_frequency, "feature bigint, n bigint")
+    counts = words.mapInArrow(giving_back(_document_frequency), "feature bigint, n bigint")
     found = np.zeros(FEATURES)
     for row in counts.groupBy("feature").agg(F.sum("n").alias("n")).collect():
         found[row["feature"]] = row["n"]
@@ -164,7 +164,7 @@ def _product(idf: np.ndarray, matrix: np.ndarray) -> Callable[[Batches], Batches
 
 
 def _multiplied(words: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    rows = words.mapInArrow(_product(idf, matrix), "feature bigint, value array<double>")
+    rows = words.mapInArrow(giving_back(_product(idf, matrix)), "feature bigint, value array<double>")
     sums = (
         rows.withColumn("value", array_to_vector("value"))
         .groupBy("feature")
@@ -435,17 +435,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reported once; an empty table on either side gives no row. Items are compared in blocks, each
     a pass over all stored documents; no candidate over the cosine bound is left out.
     """
+    small_batches(docs.sparkSession)
     items = hashed(benchmark, "item_id")
     words = hashed(docs, "doc_id")
     idf = inverse_frequency(words)
     weighted = _padded(idf[:, None] * singular_vectors(words, idf))
-    blocks = -(-items.count() // ITEM_BLOCK)
-    block = F.pmod(F.xxhash64("id", "words"), F.lit(max(1, blocks)))
+    blocks = max(1, -(-items.count() // ITEM_BLOCK))
+    block = F.pmod(F.xxhash64("id", "words"), F.lit(blocks))
     schema = "doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_share double, word_from bigint, word_to bigint"
-    found = docs.sparkSession.createDataFrame([], schema)
+    passes = []
     for number in range(blocks):
         part = _items(items.where(block == number).collect(), weighted, idf)
-        found = found.unionByName(words.mapInArrow(_search(part, weighted), schema))
+        passes.append(words.mapInArrow(giving_back(_search(part, weighted)), schema))
+    found = reduce(DataFrame.unionByName, passes)
     best = F.struct("lcs_share", "answer_share", "cosine", (-F.col("word_from")).alias("at"), "word_to")
     leaks = stored(
         found.groupBy("doc_id", "item_id")

@@ -23,7 +23,7 @@ Shingles are 64-bit hashes. Buckets are 48-bit hashes; a collision only costs a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from math import exp
@@ -33,7 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pdloom.llm.common import counted_broadcast, discard, stored, tasks_for
+from pdloom.llm.common import (
+    Batches,
+    counted_broadcast,
+    discard,
+    giving_back,
+    no_rows,
+    small_batches,
+    stored,
+    tasks_for,
+)
 from pdloom.llm.components import components
 
 #: Bytes of a bucket's hash, and the growth of a band's size from the smallest to the largest.
@@ -50,14 +59,12 @@ FIRST = 8
 ENTRY_COST = 100
 SWAP_COST = 1_000_000
 
-Batches = Iterator[pa.RecordBatch]
 #: Documents of a batch that are worked on at once.
 DOCUMENTS = 2_000
 
 
 def in_parts(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """The work on batches of at most ``DOCUMENTS`` rows; what Arrow held is given back at the end, as
-    the worker stays for later tasks."""
+    """The work on batches of at most ``DOCUMENTS`` rows; what Arrow held is given back at the end."""
 
     def run(batches: Batches) -> Batches:
         cut = (
@@ -66,9 +73,8 @@ def in_parts(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]
             for low in range(0, max(1, batch.num_rows), DOCUMENTS)
         )
         yield from work(cut)
-        pa.default_memory_pool().release_unused()
 
-    return run
+    return giving_back(run)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -427,6 +433,7 @@ def jaccard_components(
     An empty table gives no row.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = (
         "doc_id bigint, n_shingles bigint, hash1 bigint, hash2 bigint, keys binary, signature binary"
@@ -449,15 +456,15 @@ def jaccard_components(
     )
     heads = ", ".join(f"head{r} bigint" for r in range(ROUNDS))
     met = blocks.repartition(tasks, "part").mapInArrow(
-        _meet, f"key bigint, members bigint, id bigint, {heads}"
+        giving_back(_meet), f"key bigint, members bigint, id bigint, {heads}"
     )
     buckets = stored(met, "jaccard-buckets")
     ids = stored(buckets.select("id").distinct(), "jaccard-met")
     facts = stored(
         _among(reps.select("doc_id", "n_shingles", "signature"), ids), "jaccard-facts"
     )
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    labels = spark.createDataFrame([], "node bigint, component bigint")
+    links = no_rows(spark, "a bigint, b bigint")
+    labels = no_rows(spark, "node bigint, component bigint")
     tested: list[DataFrame] = []
     for r in range(ROUNDS + 1):
         if r < ROUNDS:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pdloom.llm.common import giving_back, small_batches
 from pdloom.llm.labelled import SAMPLE_ROWS, training_sample
 
 WORD_BITS = 14
@@ -186,6 +187,7 @@ def fit_quality(
     docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS
 ) -> Model:
     """Fit on at most ``rows`` labelled documents; only their features reach the driver."""
+    small_batches(docs.sparkSession)
     sample = training_sample(docs, labels, "quality", usable, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +204,7 @@ def fit_quality(
             )
 
     found = sample.mapInArrow(
-        run, "doc_id bigint, label int, words binary, counts binary, stats binary"
+        giving_back(run), "doc_id bigint, label int, words binary, counts binary, stats binary"
     ).collect()
     found.sort(key=lambda r: (r[0], r[1], bytes(r[2]), bytes(r[3]), bytes(r[4])))
     parts = [
@@ -222,6 +224,7 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = 0.3) -> Data
     Needs the column text; whole texts are scored. A null text is scored like an empty one.
     Other columns are kept, but for ones named score or predicted, which are replaced.
     """
+    small_batches(docs.sparkSession)
     kept = docs.drop("score", "predicted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,4 +249,4 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = 0.3) -> Data
             T.StructField("predicted", T.IntegerType()),
         ]
     )
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(giving_back(run), schema)

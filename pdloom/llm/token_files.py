@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pdloom.llm.common import stored
+from pdloom.llm.common import giving_back, small_batches, stored
 from pdloom.llm.tokens import WordEncoder
 from pdloom.session import scratch_path, shuffle_partitions
 
@@ -100,6 +100,7 @@ def write_token_files(
     it in the file) and n_tokens.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = (
         docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("_tie", F.xxhash64("text"))
@@ -138,7 +139,7 @@ def write_token_files(
         if writer is not None:
             writer.close()
 
-    return stored(rows.mapInArrow(write, INDEX), "token-index")
+    return stored(rows.mapInArrow(giving_back(write), INDEX), "token-index")
 
 
 def with_global_start(index: DataFrame) -> DataFrame:
@@ -218,7 +219,7 @@ def read_back(index: DataFrame, folder: str) -> DataFrame:
                 names=["doc_id", "start", "n_tokens", "ids_crc32", "file"],
             )
 
-    return rows.mapInArrow(read, schema)
+    return rows.mapInArrow(giving_back(read), schema)
 
 
 def tokenize_to_files(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> DataFrame:

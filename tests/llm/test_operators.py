@@ -605,3 +605,58 @@ def test_swapped_segments_lose_no_link(spark, monkeypatch):
         found = jaccard_components(docs, k, percent)[0]
         got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
         assert got == brute_components(docs.collect(), k, percent)
+
+
+def test_operators_keep_arrow_batches_small(spark, odd_docs):
+    """Long texts reach Python workers a few MB at once, whichever operator comes first."""
+    import pyarrow as pa
+
+    labels = spark.createDataFrame([(1, 1), (4, 0)], "doc_id bigint, quality int")
+    model = fit_quality(odd_docs, labels, F.lit(True))
+    bench = odd_docs.select(F.col("doc_id").alias("item_id"), "text").limit(2)
+    steps = {
+        "fit": lambda docs: fit_quality(docs, _in(docs, labels), F.lit(True)),
+        "score": lambda docs: score_quality(docs, model),
+        "jaccard": lambda docs: jaccard_components(docs, 5, 80),
+        "leaks": lambda docs: find_leaks(docs, _in(docs, bench)),
+        "tokens": lambda docs: tokenize_to_files(docs, tokenizers.path("byte_bpe_50k.json")),
+    }
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    for name, step in steps.items():
+        other = spark.newSession()
+        step(_in(other, odd_docs.limit(2)))
+        long = other.range(0, 3000, 1, 1).select(F.expr("repeat(concat(id, ' word '), 1000)"))
+        found = long.mapInArrow(sizes, "n bigint, bytes bigint").collect()
+        assert sum(r["n"] for r in found) == 3000
+        assert max(r["bytes"] for r in found) < 6e6, name
+    mine = spark.newSession()
+    mine.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    score_quality(_in(mine, odd_docs), model)
+    assert mine.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+
+
+def _in(other, df):
+    """The rows in another session, or in that of a table."""
+    session = getattr(other, "sparkSession", other)
+    return session.createDataFrame([tuple(r) for r in df.collect()], df.schema)
+
+
+def test_empty_tables_start_no_python_workers(spark, odd_docs, no_docs, monkeypatch):
+    """Executors keep workers of a second kind for tables made of lists."""
+    bench = odd_docs.select(F.col("doc_id").alias("item_id"), "text")
+    made = type(spark).createDataFrame
+
+    def create(self, data, *args, **options):
+        assert not isinstance(data, list)
+        return made(self, data, *args, **options)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", create)
+    assert jaccard_components(odd_docs, 5, 80)[0].count() == odd_docs.count()
+    assert jaccard_components(no_docs, 5, 80)[0].count() == 0
+    assert find_leaks(odd_docs, bench).count() > 0
+    assert find_leaks(odd_docs, bench.limit(0)).count() == 0
+    assert find_leaks(no_docs, bench).count() == 0
