@@ -149,6 +149,54 @@ def test_embedding_recall_by_codebook(size, words):
     assert recall >= 0.9875  # five of 400 missed where two are expected
 
 
+def test_embeddings_in_rounds_leave_few_copies_on_disk(spark, monkeypatch):
+    """Many rounds and blocks give the links of brute force; a vector has few filters, and the files
+    of a round do not wait for the end of the session."""
+    import time
+
+    from pdloom.llm import embeddings
+
+    random = np.random.default_rng(4)
+    rows = np.concatenate([random.normal(size=(300, 32)), np.ones((1, 32)) + 0.1 * random.normal(size=(60, 32))])
+    rows[:150] = rows[:150].astype(np.float32)  # singles, the others doubles
+    rows[100:150] = rows[:50] + random.normal(size=(50, 32)) * random.uniform(0.1, 0.6, (50, 1))
+    df = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>"
+    )
+    for name, value in (("LEAST_COPIES", 500), ("BLOCK", 16), ("NAMES", 7)):
+        monkeypatch.setattr(embeddings, name, value)
+    dealt, parts = embeddings._dealt, []
+
+    def told(words, codes, large, part, rounds):
+        parts.append((part, rounds, len(large)))
+        return dealt(words, codes, large, part, rounds)
+
+    def shuffled():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = manager.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.endswith(".data")}
+
+    monkeypatch.setattr(embeddings, "_dealt", told)
+    before = shuffled()
+    got = near_duplicates(df)
+    for _ in range(50):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert [p for p, *_ in parts] == list(range(parts[0][1])) and len(parts) > 4 and parts[0][2] > 2
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    got = {r["vec_id"]: r for r in got.collect()}
+    assert all(got[i]["n_links"] == near[i].sum() - 1 for i in range(len(rows)))
+    assert {got[i]["component_id"] for i in range(300, 360)} == {300}
+    for size, words in ((64, 16), (64, 64)):
+        codes = embeddings.codes_for([size], words, 0.9)
+        values = [v.tobytes() for v in embeddings.pairs_at(0.9, size, 400, 3)[0]]
+        assert np.mean([len(x) for x in embeddings.filters(values, words, codes)]) < 36
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", "a\\b<\\|", None, "", "<|turn|>x\n\\", "[\\INST]<|more|>é☃"]
     rows = [(1, i, ("user", "assistant", "assistant")[i % 3], t) for i, t in enumerate(texts)]
